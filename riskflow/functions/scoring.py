@@ -16,8 +16,8 @@ AMOUNT_BANDS = ((1000.0, 1.0), (500.0, 0.7), (200.0, 0.4))
 AMOUNT_FLOOR = 0.1
 DISTANCE_BANDS = ((500.0, 1.0), (200.0, 0.7), (50.0, 0.3))
 DISTANCE_FLOOR = 0.0
-HIGH_RISK = ("grocery_pos", "misc_net", "misc_pos", "shopping_net", "shopping_pos")
-MEDIUM_RISK = ("entertainment", "food_dining", "gas_transport")
+HIGH_RISK = ("shopping_net", "misc_net", "grocery_pos", "shopping_pos", "misc_pos")
+MEDIUM_RISK = ("entertainment", "gas_transport", "food_dining")
 HIGH_BAND, MEDIUM_BAND, CATEGORY_FLOOR = 0.6, 0.3, 0.1
 AMOUNT_WEIGHT, DISTANCE_WEIGHT, CATEGORY_WEIGHT = 0.4, 0.4, 0.2
 ALERT_THRESHOLD = 0.7

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # The characters a full whitespace strip removes (blank-only trims do not).
 ALL_WHITESPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
-    "           "
-    "    　"
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 
@@ -29,7 +29,7 @@ def full_name(first: Column, last: Column) -> Column:
 
 def whole_number(value: Column) -> Column:
     """Nearest integer as text, ties to even."""
-    return F.rint(value).cast("decimal(38,0)").cast("string")
+    return F.rint(value).try_cast("bigint").cast("string")
 
 
 def two_decimals(value: Column) -> Column:
