@@ -37,15 +37,23 @@ CATEGORY_OF_TYPE = {
     "LARGE": "health_fitness",
 }
 
+IS_FRAUD = "int(l_returnflag = 'R' and l_discount >= 0.09D and l_tax >= 0.07D)"
+CITY_POP = "int(500 + c_custkey * 37 % 100000)"
+GENDER = "if(c_custkey % 2 = 0, 'F', 'M')"
+BIRTH = "date_add(date'1935-01-01', int(c_custkey * 97 % 16000))"
+STREET = "string(c_custkey % 900 + 1) || ' Main St'"
+ZIP = "lpad(string(c_custkey % 100000), 5, '0')"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as a file stream."""
-    path = f"{sf_dir}/lineitem.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file stream."""
+    file = f"{name}.parquet"
+    schema = spark.read.parquet(f"{sf_dir}/{file}").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", file).parquet(sf_dir)
 
 
 def unique_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,12 +80,11 @@ def card_events(
         )
     )
     batch = F.col("o_orderstatus") != "O"
-    home_lat = 25 + F.expr("c_custkey * 41 % 240") / F.lit(10.0)
-    home_long = -120 + F.expr("c_custkey * 53 % 500") / F.lit(10.0)
+    home_lat, home_long = _home_lat(), _home_long()
     trans_at = _hours_after(F.col("o_orderdate"), F.col("l_partkey"))
     shipped = _hours_after(F.col("l_shipdate"), F.col("l_suppkey"))
     events = named.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trans_num"),
+        _line_id().alias("trans_num"),
         F.date_format(trans_at, "yyyy-MM-dd HH:mm:ss").alias("trans_date_trans_time"),
         F.unix_timestamp(trans_at).alias("unix_time"),
         _amount().alias("amt"),
@@ -88,21 +95,17 @@ def card_events(
         (home_long + (F.expr("l_suppkey % 21") - 10) * 0.5).alias("merch_long"),
         home_lat.alias("lat"),
         home_long.alias("long"),
-        F.expr("cast(500 + c_custkey * 37 % 100000 as int)").alias("city_pop"),
-        F.expr("int(l_returnflag = 'R' and l_discount >= 0.09D and l_tax >= 0.07D)").alias(
-            "is_fraud"
-        ),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last"),
-        F.expr("if(c_custkey % 2 = 0, 'F', 'M')").alias("gender"),
-        F.expr(
-            "string(date_add(date'1935-01-01', int(c_custkey * 97 % 16000)))"
-        ).alias("dob"),
+        F.expr(CITY_POP).alias("city_pop"),
+        F.expr(IS_FRAUD).alias("is_fraud"),
+        _name_part(1).alias("first"),
+        _name_part(2).alias("last"),
+        F.expr(GENDER).alias("gender"),
+        F.expr(BIRTH).cast("string").alias("dob"),
         F.col("c_mktsegment").alias("job"),
-        F.concat(F.expr("string(c_custkey % 900 + 1)"), F.lit(" Main St")).alias("street"),
+        F.expr(STREET).alias("street"),
         F.col("n_name").alias("city"),
         F.col("n_name").alias("state"),
-        F.expr("lpad(string(c_custkey % 100000), 5, '0')").alias("zip"),
+        F.expr(ZIP).alias("zip"),
         iso_utc(shipped).alias("produced_at"),
         F.when(batch, "batch").otherwise("stream").alias("source"),
         F.when(batch, F.col("o_custkey")).alias("customer_id"),
@@ -118,6 +121,68 @@ def unique_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return card_events(spark, sf_dir, unique_lines(spark, sf_dir))
 
 
+def transactions(
+    spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """The stored transaction table: ``lineitem`` and ``orders`` alone, no dimension join."""
+    lines = unique_lines(spark, sf_dir) if lines is None else lines
+    placed = lines.join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    trans_at = _hours_after(F.col("o_orderdate"), F.col("l_partkey"))
+    batch = F.col("o_orderstatus") != "O"
+    return placed.select(
+        _line_id().alias("trans_id"),
+        F.when(batch, F.col("o_custkey")).alias("customer_id"),
+        F.when(batch, F.col("l_suppkey")).alias("merchant_id"),
+        trans_at.alias("trans_at"),
+        F.unix_timestamp(trans_at).alias("unix_time"),
+        _amount().alias("amount"),
+        F.expr(IS_FRAUD).alias("is_fraud"),
+        F.when(batch, "batch").otherwise("stream").alias("source"),
+        _hours_after(F.col("l_shipdate"), F.col("l_suppkey")).alias("ingested_at"),
+    )
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as the stored customer table."""
+    return (
+        table(spark, sf_dir, "customer")
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_custkey").alias("cc_num"),
+            _name_part(1).alias("first_name"),
+            _name_part(2).alias("last_name"),
+            F.expr(GENDER).alias("gender"),
+            F.expr(BIRTH).alias("dob"),
+            F.col("c_mktsegment").alias("job"),
+            F.expr(STREET).alias("street"),
+            F.col("n_name").alias("city"),
+            F.col("n_name").alias("state"),
+            F.expr(ZIP).alias("zip"),
+            _home_lat().alias("lat"),
+            _home_long().alias("long"),
+            F.expr(CITY_POP).alias("city_pop"),
+            _created_at("c_custkey").alias("created_at"),
+        )
+    )
+
+
+def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``supplier`` as the stored merchant table; some categories need normalising."""
+    names = F.array(*[F.lit(name) for name in CATEGORY_OF_TYPE.values()])
+    category = F.element_at(names, F.expr("int(s_suppkey % 6) + 1"))
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("merchant_id"),
+        F.col("s_name").alias("merchant_name"),
+        F.when(F.expr("s_suppkey % 2 = 1"), F.concat(F.lit(" "), F.upper(category)))
+        .otherwise(category)
+        .alias("category"),
+        (25 + F.expr("s_suppkey * 31 % 240") / F.lit(10.0)).alias("merch_lat"),
+        (-120 + F.expr("s_suppkey * 59 % 500") / F.lit(10.0)).alias("merch_long"),
+        _created_at("s_suppkey").alias("created_at"),
+    )
+
+
 def raw_fields(events: DataFrame) -> DataFrame:
     """Only the 23 payload fields, in payload order and type."""
     return events.select(
@@ -125,6 +190,26 @@ def raw_fields(events: DataFrame) -> DataFrame:
     )
 
 
+def _line_id() -> Column:
+    return F.concat_ws("-", "l_orderkey", "l_linenumber")
+
+
+def _home_lat() -> Column:
+    return 25 + F.expr("c_custkey * 41 % 240") / F.lit(10.0)
+
+
+def _home_long() -> Column:
+    return -120 + F.expr("c_custkey * 53 % 500") / F.lit(10.0)
+
+
+def _name_part(number: int) -> Column:
+    return F.split_part("c_name", F.lit("#"), F.lit(number))
+
+
+def _created_at(key: str) -> Column:
+    return F.timestamp_seconds(788918400 + F.col(key) * 3600)  # hours from 1995-01-01
+
+
 def _hours_after(day: Column, key: Column) -> Column:
     """``day`` plus ``key % 24`` hours, as an instant."""
     hours = F.make_dt_interval(hours=(key % 24).cast("int"))

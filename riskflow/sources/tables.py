@@ -13,9 +13,7 @@ from pyspark.sql import types as T
 
 from riskflow.schemas import TABLES
 
-# The directory levels of each table.
-LAYOUT = {"transactions": ("source", "batch_id")}
-DEFAULT_LAYOUT = ("batch_id",)
+BY_SOURCE = ("transactions",)  # tables with a source= directory level
 
 
 class TableStore:
@@ -46,33 +44,26 @@ class TableStore:
         """The table without the rows of one batch; a partition filter, not a row filter."""
         return self.read(name, with_batch_id=True).filter(F.col("batch_id") != batch_id)
 
-    def publish(self, name: str, rows: DataFrame, batch_id: str) -> None:
-        """Replace the rows of ``batch_id``."""
-        levels = LAYOUT.get(name, DEFAULT_LAYOUT)
-        tagged = rows.withColumn("batch_id", F.lit(batch_id))
-        columns = [field.name for field in TABLES[name].fields]
-        typed = tagged.select(
-            *[F.col(c).cast(TABLES[name][c].dataType).alias(c) for c in columns], "batch_id"
-        )
-        (
-            typed.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*levels)
-            .parquet(self.path(name))
+    def batch_path(self, name: str, batch_id: str, source: str) -> str:
+        level = f"/source={source}" if name in BY_SOURCE else ""
+        return f"{self.path(name)}{level}/batch_id={batch_id}"
+
+    def publish(self, name: str, rows: DataFrame, batch_id: str, source: str) -> None:
+        """Replace what ``batch_id`` wrote before with ``rows``, even if these are empty."""
+        in_path = {"source"} if name in BY_SOURCE else set()
+        typed = rows.select(
+            *[
+                F.col(field.name).cast(field.dataType).alias(field.name)
+                for field in TABLES[name].fields
+                if field.name not in in_path
+            ]
         )
+        typed.write.mode("overwrite").parquet(self.batch_path(name, batch_id, source))
 
-    def retract(self, name: str, batch_id: str) -> None:
+    def retract(self, name: str, batch_id: str, source: str) -> None:
         """Empty what a failed batch left behind, so no row is both stored and dead-lettered."""
-        stored = self.read(name, with_batch_id=True)
-        levels = LAYOUT.get(name, DEFAULT_LAYOUT)
-        parents = [""]
-        if len(levels) > 1:
-            seen = stored.filter(F.col("batch_id") == batch_id).select(levels[0]).distinct()
-            parents = [f"/{levels[0]}={row[0]}" for row in seen.toLocalIterator()]
-        empty = stored.drop(*levels).limit(0)
-        for parent in parents:
-            target = f"{self.path(name)}{parent}/batch_id={batch_id}"
-            empty.write.mode("overwrite").parquet(target)
+        empty = self.spark.createDataFrame([], TABLES[name])
+        self.publish(name, empty, batch_id, source)
 
     def overwrite(self, name: str, rows: DataFrame) -> DataFrame:
         """Full rebuild of a derived table, read back from storage."""
