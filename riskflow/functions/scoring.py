@@ -60,7 +60,9 @@ def risk_score(amount: Column, distance_km: Column, category: Column) -> Column:
         + DISTANCE_WEIGHT * distance_band(distance_km)
         + CATEGORY_WEIGHT * category_band(category)
     )
-    return F.round(F.when(weighted > 1.0, 1.0).otherwise(weighted), 4)
+    # least() skips NULLs, hence the explicit test.
+    known = amount.isNotNull() & distance_km.isNotNull()
+    return F.when(known, F.round(F.least(weighted, F.lit(1.0)), 4))
 
 
 def is_alert(is_fraud: Column, score: Column, score_type: str = "double") -> Column:
@@ -89,5 +91,5 @@ def alert_reason(amount: Column, distance_km: Column, category: Column) -> Colum
     joined = F.concat_ws(REASON_SEPARATOR, far, large, risky)
     return F.when(
         amount.isNotNull() & distance_km.isNotNull(),
-        F.when(joined == "", REASON_DEFAULT).otherwise(joined),
+        F.coalesce(F.nullif(joined, F.lit("")), F.lit(REASON_DEFAULT)),
     )

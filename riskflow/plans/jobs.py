@@ -13,7 +13,7 @@ from riskflow.operators.dedup import insert_if_absent
 from riskflow.operators.keys import resolve_keys, surrogate_key
 from riskflow.plans import marts, staging, star
 from riskflow.sources import files
-from riskflow.sources.tables import TableStore
+from riskflow.sources.tables import TableStore, save_as_table
 from riskflow.streaming.dead_letters import to_dead_letters
 
 SOURCE = "batch"
@@ -172,11 +172,13 @@ def refresh_warehouse(
     warehouse: TableStore,
     as_of: Column | None = None,
     calendar: tuple[str, str] = (star.SPINE_START, star.SPINE_END),
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
     """Staging views, their tests, the rest of the models, all tests; stop at a failed gate.
 
     Marts are written before the final tests and tested as stored. The staging tests are part of
-    "all tests" but their input did not change, so their first report is kept.
+    "all tests" but their input did not change, so their first report is kept. With a ``database``
+    the marts become catalog tables of it, otherwise Parquet directories of ``warehouse``.
     """
     models = staged(store, as_of)
     register_views(models)
@@ -196,7 +198,7 @@ def refresh_warehouse(
             marts.mart_customer_360(txns, customers, merchants)
         ),
     }
-    stored = {name: warehouse.overwrite(name, df) for name, df in built.items()}
+    stored = {name: _materialise(warehouse, name, df, database) for name, df in built.items()}
     register_views(stored)
     rest = [check for check in quality.ALL_CHECKS if check not in quality.STAGING_CHECKS]
     models = {**models, "int_transaction_stats": stats, **stored}
@@ -204,6 +206,15 @@ def refresh_warehouse(
     return {**models, "quality_report": first.unionByName(second)}
 
 
+def _materialise(
+    warehouse: TableStore, name: str, rows: DataFrame, database: str | None
+) -> DataFrame:
+    if database is None:
+        return warehouse.overwrite(name, rows)
+    save_as_table(rows, database, name)
+    return warehouse.spark.table(f"`{database}`.`{name}`")
+
+
 def _gate(
     warehouse: TableStore, name: str, models: dict[str, DataFrame], checks: list
 ) -> DataFrame:

@@ -71,6 +71,12 @@ class TableStore:
         return self.spark.read.parquet(self.path(name))
 
 
+def save_as_table(rows: DataFrame, database: str, name: str) -> None:
+    """Full rebuild of a catalog table; the database name is used as given."""
+    rows.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    rows.write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+
+
 def read_jdbc(
     spark: SparkSession, url: str, name: str, column: str, bounds: tuple, tasks: int
 ) -> DataFrame:

@@ -61,14 +61,25 @@ def judge(events: DataFrame) -> DataFrame:
     return with_event_time(events).withColumn("_dlq_reason", rejection())
 
 
+def _bound(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters read as a value.
+
+    A filter on an ordinary projected column is rewritten in terms of its expression and moved
+    down, where no common subexpressions are shared: a filter on the score would compute the
+    distance many times per row. Generated columns are not rewritten.
+    """
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def score(events: DataFrame, distance_type: str = "double") -> DataFrame:
     """Add ``distance_km`` and ``risk_score``; ``distance_type="float"`` narrows the distance."""
     distance = haversine_km(
         F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long")
     )
     amount = F.col("amt").cast("double")
-    return events.withColumn("distance_km", distance.cast(distance_type)).withColumn(
-        "risk_score", risk_score(amount, F.col("distance_km"), F.col("category"))
+    located = events.withColumn("distance_km", distance.cast(distance_type))
+    return _bound(
+        located, "risk_score", risk_score(amount, F.col("distance_km"), F.col("category"))
     )
 
 

@@ -43,6 +43,25 @@ def rows_of(columns: list[str], rows: list) -> list:
     return sorted(tuple(_canonical(row[i]) for i in order) for row in rows)
 
 
+SPARK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+}
+
+
+def type_difference(df, connection, sql: str) -> str | None:
+    described = connection.execute(f"DESCRIBE {sql}").fetchall()
+    expected = {row[0]: row[1] for row in described}
+    actual = {name: SPARK_TYPES.get(kind, kind.upper()) for name, kind in df.dtypes}
+    wrong = {n: (actual.get(n), k) for n, k in expected.items() if actual.get(n) != k}
+    return f"types {wrong}" if wrong else None
+
+
 def difference(df, connection, sql: str) -> str | None:
     """None when both sides have the same columns and rows."""
     result = connection.execute(sql)
@@ -52,7 +71,7 @@ def difference(df, connection, sql: str) -> str | None:
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     actual = rows_of(df.columns, [tuple(row) for row in df.collect()])
     if actual == expected:
-        return None
+        return type_difference(df, connection, sql)
     extra = [row for row in actual if row not in set(expected)][:2]
     missing = [row for row in expected if row not in set(actual)][:2]
     return f"{len(actual)} rows != {len(expected)}\n  spark  {extra}\n  oracle {missing}"
