@@ -1,0 +1,26 @@
+"""Row counts taken while the rows pass by."""
+
+from __future__ import annotations
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+
+class RowCounter:
+    """Counts the rows of ``counted`` during whatever action uses it.
+
+    When the optimizer proves that a plan yields nothing it may drop the counted part without
+    running it; only then the rows are counted separately.
+    """
+
+    def __init__(self, rows: DataFrame) -> None:
+        self._rows = rows
+        self._observation = Observation()
+        self.counted = rows.observe(self._observation, F.count("*").alias("rows"))
+
+    def value(self) -> int:
+        try:
+            return self._observation.get["rows"]
+        except Py4JJavaError:
+            return self._rows.count()

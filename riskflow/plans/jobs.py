@@ -5,10 +5,11 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.operators import quality
+from riskflow.operators.counters import RowCounter
 from riskflow.operators.dedup import insert_if_absent
 from riskflow.operators.keys import resolve_keys, surrogate_key
 from riskflow.plans import marts, staging, star
@@ -112,26 +113,27 @@ def batch_load(
         store, "merchants", merchants, ["merchant_name"], order, load_id
     )
 
-    scanned, resolved = Observation(), Observation()
-    rows = F.count("*").alias("rows")
-    source_rows = files.scan_transactions(events).observe(scanned, rows)
-    keyed = resolve_keys(source_rows, store.read("customers"), store.read("merchants"))
+    scanned = RowCounter(files.scan_transactions(events))
+    resolved = RowCounter(
+        resolve_keys(scanned.counted, store.read("customers"), store.read("merchants"))
+    )
     valid, bad_transactions = quality.split_by_violation(
-        transaction_rows(keyed.observe(resolved, rows), now), quality.transaction_violation()
+        transaction_rows(resolved.counted, now), quality.transaction_violation()
     )
     counts.transactions_attempted, counts.transactions_inserted = _insert(
         store, "transactions", valid, ["trans_id"], TRANSACTION_ORDER, load_id
     )
-    counts.transactions_unresolved = scanned.get["rows"] - resolved.get["rows"]
+    counts.transactions_unresolved = scanned.value() - resolved.value()
 
     bad_transactions = bad_transactions.withColumnRenamed("trans_id", "trans_num")
-    letters = reduce(
-        DataFrame.unionByName,
-        map(to_dead_letters, (bad_customers, bad_merchants, bad_transactions)),
+    rejected = RowCounter(
+        reduce(
+            DataFrame.unionByName,
+            map(to_dead_letters, (bad_customers, bad_merchants, bad_transactions)),
+        )
     )
-    rejected = Observation()
-    store.publish("dead_letters", letters.observe(rejected, rows), load_id, SOURCE)
-    counts.rows_rejected = rejected.get["rows"]
+    store.publish("dead_letters", rejected.counted, load_id, SOURCE)
+    counts.rows_rejected = rejected.value()
     return counts
 
 
@@ -144,13 +146,12 @@ def _insert(
     load_id: str,
 ) -> tuple[int, int]:
     """Insert-if-absent with the number of rows attempted and inserted, without extra passes."""
-    attempted, inserted = Observation(), Observation()
-    count = F.count("*").alias("rows")
-    new = insert_if_absent(
-        rows.observe(attempted, count), store.read_others(name, load_id), keys, order
+    attempted = RowCounter(rows)
+    inserted = RowCounter(
+        insert_if_absent(attempted.counted, store.read_others(name, load_id), keys, order)
     )
-    store.publish(name, new.observe(inserted, count), load_id, SOURCE)
-    return attempted.get["rows"], inserted.get["rows"]
+    store.publish(name, inserted.counted, load_id, SOURCE)
+    return attempted.value(), inserted.value()
 
 
 def staged(store: TableStore, as_of: Column | None = None) -> dict[str, DataFrame]:
