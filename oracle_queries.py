@@ -94,10 +94,7 @@ def age(born: str) -> str:
     )
 
 
-PAYLOAD_ORDER = (
-    "unix_time, produced_at, trans_date_trans_time, amt, cc_num, merchant, category, merch_lat, "
-    'merch_long, lat, "long", city_pop, is_fraud'
-)
+STREAM_ORDER = "unix_time, produced_at, amt, is_fraud, category, distance_km"
 
 # name -> (needed relations, SQL)
 RELATIONS: dict[str, tuple[str, str]] = {
@@ -243,8 +240,8 @@ RELATIONS: dict[str, tuple[str, str]] = {
           max("offset") + 1 - min("offset") AS n FROM log GROUP BY 1, 2) GROUP BY 1""",
     ),
     "stream_raw": ("raw", "SELECT * FROM raw WHERE source = 'stream'"),
-    "stream_uniq": ("stream_raw", first_wins("stream_raw", "trans_num", PAYLOAD_ORDER)),
-    "stream_scored": ("stream_uniq", scored_sql("stream_uniq")),
+    "stream_all": ("stream_raw", scored_sql("stream_raw")),
+    "stream_scored": ("stream_all", first_wins("stream_all", "trans_num", STREAM_ORDER)),
     "outcomes": (
         "uniq",
         """SELECT CASE hour(trans_at) WHEN 12 THEN 'malformed json' WHEN 7 THEN 'trans_num is null'
@@ -656,9 +653,9 @@ _ORACLES: dict[str, tuple[str, str]] = {
           WHERE {IS_ALERT}""",
     ),
     "stream_transactions": (
-        "stream_uniq",
+        "stream_scored",
         """SELECT trans_num AS trans_id, trans_at, unix_time, amt AS amount, is_fraud, source
-          FROM stream_uniq""",
+          FROM stream_scored""",
     ),
     "stream_staging": (
         "stream_raw",
