@@ -45,6 +45,7 @@ def insert_if_absent(
 ) -> DataFrame:
     """Rows to append: first occurrence per key, and only keys that are not stored.
 
-    The anti join comes first: it may drop most rows before the deduplication shuffle.
+    Deduplication comes first: it shrinks repeated keys before the shuffle, and its output is
+    already partitioned by the key the anti join needs.
     """
-    return first_wins(absent_from(new, existing, keys), keys, order_by)
+    return absent_from(first_wins(new, keys, order_by), existing, keys)

@@ -31,17 +31,18 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def rejection() -> Column:
     """Why an event cannot be scored and stored, or NULL."""
-    coordinates = ("lat", "long", "merch_lat", "merch_long")
-    missing_place = F.lit(False)
-    for name in coordinates:
-        missing_place = missing_place | F.col(name).isNull() | F.isnan(name)
+    missing_place, endless_place = F.lit(False), F.lit(False)
+    for name in ("lat", "long", "merch_lat", "merch_long"):
+        missing_place = missing_place | F.col(name).isNull()
+        endless_place = endless_place | F.isnan(name) | (F.abs(name) == float("inf"))
     return (
         F.when(F.col(CORRUPT).isNotNull(), "malformed json")
         .when(F.col("trans_num").isNull(), "trans_num is null")
         .when(F.col("trans_at").isNull(), "trans_at is null")
         .when(F.col("amt").isNull() | F.isnan("amt"), "amount is null")
-        .when(F.abs("amt") >= AMOUNT_LIMIT, "amount out of range")
+        .when(F.round(F.abs("amt"), 2) >= AMOUNT_LIMIT, "amount out of range")
         .when(missing_place, "coordinates are null")
+        .when(endless_place, "coordinates are not finite")
         .when(F.col("is_fraud").isNull(), "is_fraud is null")
         .when(~F.col("is_fraud").isin(0, 1), "is_fraud not in (0, 1)")
         .otherwise(F.lit(None).cast("string"))

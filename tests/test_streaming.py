@@ -105,6 +105,20 @@ def test_rejected_events_keep_their_reason(spark, store, tmp_path):
             assert body[events.CORRUPT] == bad["malformed json"]
 
 
+def test_numbers_that_do_not_fit_are_rejected(spark, store):
+    rows = [
+        event("n1", amt=9999999999.996),
+        event("n2", amt=float("nan")),
+        event("n3", amt=float("inf")),
+        event("n4", lat=float("inf")),
+        event("n5", merch_long=float("nan")),
+        event("good", amt=9999999999.99),
+    ]
+    MicroBatchWriter(store, "s")(frame(spark, rows), 0)
+    assert ids(store, "dead_letters", "key") == ["n1", "n2", "n3", "n4", "n5"]
+    assert ids(store, "transactions") == ["good"]
+
+
 class BrokenStore(TableStore):
     """Fails when one of its tables is written with rows."""
 
