@@ -53,10 +53,12 @@ def hourly_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def alert_scores(alerts: DataFrame) -> DataFrame:
-    """Scores in ascending order, the input of the distribution panel."""
-    return alerts.filter(F.col("risk_score").isNotNull()).select("risk_score").orderBy(
-        "risk_score"
-    )
+    """Scores in ascending order, the input of the distribution panel.
+
+    There are few distinct scores; ordering by the id as well lets the sort split each of them.
+    """
+    known = alerts.filter(F.col("risk_score").isNotNull())
+    return known.orderBy("risk_score", "trans_id").select("risk_score")
 
 
 def score_histogram(alerts: DataFrame, buckets: int = 10) -> DataFrame:

@@ -13,6 +13,7 @@ from riskflow.operators.counters import RowCounter
 from riskflow.operators.dedup import insert_if_absent
 from riskflow.operators.keys import resolve_keys, surrogate_key
 from riskflow.plans import marts, staging, star
+from riskflow.session import work_dir
 from riskflow.sources import files
 from riskflow.sources.tables import TableStore, save_as_table
 from riskflow.streaming.dead_letters import to_dead_letters
@@ -91,12 +92,13 @@ def batch_load(
 ) -> LoadCounts:
     """Customers, then merchants, then transactions of one CSV.
 
-    Three pruned scans of the file. Stored rows always win over new ones, and earlier rows over
-    later ones. Rows that break a table constraint go to the dead letters. Running the same
+    The text is parsed once; each load then scans its own columns. Stored rows always win over new
+    ones, and earlier rows over later ones. Rows that break a table constraint go to the dead letters. Running the same
     ``load_id`` again leaves the same tables; another id for the same file inserts nothing.
     """
     now = F.current_timestamp() if now is None else now
-    events = files.read_csv_events(store.spark, csv_path)
+    landing = work_dir(store.spark, "landing")
+    events = files.land(files.read_csv_events(store.spark, csv_path), landing)
     counts = LoadCounts()
     order = list(files.ORDER_COLUMNS)
 

@@ -126,8 +126,14 @@ def mart_customer_360(
 
 def newest_first(summary: DataFrame) -> DataFrame:
     """Stored order of the daily mart; range-sorted files also let panels skip by date."""
-    return summary.orderBy(F.desc_nulls_first("txn_date"))
+    return summary.orderBy(
+        F.desc_nulls_first("txn_date"), "merchant_category", "customer_state"
+    )
 
 
 def riskiest_first(profiles: DataFrame) -> DataFrame:
-    return profiles.orderBy(F.desc_nulls_first("fraud_rate_pct"))
+    """Stored order of the customer mart.
+
+    Most customers share the rate 0; the key after it lets range partitioning split them.
+    """
+    return profiles.orderBy(F.desc_nulls_first("fraud_rate_pct"), "customer_id")

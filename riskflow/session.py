@@ -15,6 +15,11 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed key is worth one more shuffle of the (already reduced) join output.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keyed state lives on local disk and is checkpointed as changes, not held in the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

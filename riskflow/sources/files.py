@@ -25,6 +25,13 @@ def read_csv_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').csv(path)
 
 
+def land(events: DataFrame, path: str) -> DataFrame:
+    """Parse the text once into typed Parquet; the loads then read only their columns."""
+    names = [*CUSTOMER_COLUMNS, *MERCHANT_COLUMNS, *TRANSACTION_COLUMNS]
+    _typed(events, names).write.mode("overwrite").parquet(path)
+    return events.sparkSession.read.parquet(path)
+
+
 def _typed(events: DataFrame, names: list[str]) -> DataFrame:
     """Select and cast by the declared payload types; text that does not parse becomes NULL."""
     wanted = list(dict.fromkeys([*names, *ORDER_COLUMNS]))
