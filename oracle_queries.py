@@ -323,6 +323,17 @@ def hourly(relation: str, column: str, name: str, where: str = "true") -> str:
     )
 
 
+def precision_recall_sql(where: str) -> str:
+    return f"""SELECT *, true_positive::DOUBLE / nullif(true_positive + false_positive, 0)
+      AS precision, true_positive::DOUBLE / nullif(true_positive + false_negative, 0) AS recall
+      FROM (
+        SELECT count(*) FILTER (WHERE risk_score >= 0.7e0 AND is_fraud = 1) AS true_positive,
+          count(*) FILTER (WHERE risk_score >= 0.7e0 AND is_fraud <> 1) AS false_positive,
+          count(*) FILTER (WHERE risk_score < 0.7e0 AND is_fraud = 1) AS false_negative,
+          count(*) FILTER (WHERE risk_score < 0.7e0 AND is_fraud <> 1) AS true_negative
+        FROM scored WHERE {where})"""
+
+
 STAR = """SELECT f.date_id, f.trans_id, f.customer_id, f.merchant_id, f.trans_at, f.amount,
   f.is_fraud, f.source, f.hour_of_day, f.is_weekend, f.ingested_at, c.full_name, c.age, c.job,
   c.state AS customer_state, m.merchant_name, m.category AS merchant_category, d.full_date,
@@ -512,17 +523,8 @@ _ORACLES: dict[str, tuple[str, str]] = {
         """SELECT detected_at, trans_id, risk_score, distance_km, alert_reason FROM alerts
           ORDER BY detected_at DESC NULLS FIRST, trans_id LIMIT 50""",
     ),
-    "doc_precision_recall": (
-        "scored",
-        """SELECT *, true_positive::DOUBLE / nullif(true_positive + false_positive, 0)
-            AS precision,
-          true_positive::DOUBLE / nullif(true_positive + false_negative, 0) AS recall FROM (
-          SELECT count(*) FILTER (WHERE risk_score >= 0.7e0 AND is_fraud = 1) AS true_positive,
-            count(*) FILTER (WHERE risk_score >= 0.7e0 AND is_fraud <> 1) AS false_positive,
-            count(*) FILTER (WHERE risk_score < 0.7e0 AND is_fraud = 1) AS false_negative,
-            count(*) FILTER (WHERE risk_score < 0.7e0 AND is_fraud <> 1) AS true_negative
-          FROM scored)""",
-    ),
+    "doc_precision_recall": ("scored", precision_recall_sql("true")),
+    "doc_precision_recall_stored": ("scored", precision_recall_sql("source = 'stream'")),
     "doc_fraud_by_state": (
         "mart_fraud_summary",
         f"""SELECT customer_state, sum(total_transactions)::BIGINT AS total_transactions,
@@ -639,7 +641,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "dlq_action": (
         "depth",
         """SELECT topic, depth, CASE WHEN depth > 0 THEN 'alert_team' ELSE 'no_action' END
-          AS action FROM depth""",
+          AS action, CASE WHEN depth >= 1 THEN 'red' ELSE 'green' END AS band FROM depth""",
     ),
     "dlq_peek": (
         "log",

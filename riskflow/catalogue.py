@@ -61,9 +61,7 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = events.score(
         cards.unique_events(spark, sf_dir).filter(F.col("source") == "stream")
     )
-    rows = events.alert_rows(
-        events.alerts_of(scored.withColumn("_at", F.col("ingested_at"))), F.col("ingested_at")
-    )
+    rows = events.alert_rows(events.alerts_of(scored), F.col("ingested_at"))
     return rows.withColumns(
         {
             "risk_score": F.col("risk_score").cast("decimal(5,4)"),
@@ -382,6 +380,12 @@ def doc_precision_recall(spark, sf_dir):
     return panels.precision_recall(_scored(spark, sf_dir))
 
 
+@query
+def doc_precision_recall_stored(spark, sf_dir):
+    stored = _transactions(spark, sf_dir), _alerts(spark, sf_dir)
+    return panels.precision_recall(panels.scored_from_stored(*stored))
+
+
 @query
 def doc_fraud_by_state(spark, sf_dir):
     return panels.fraud_by_state(_summary(spark, sf_dir))

@@ -151,6 +151,18 @@ def precision_recall(scored: DataFrame) -> DataFrame:
     )
 
 
+def scored_from_stored(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Stored stream transactions with the score of their alert, for :func:`precision_recall`.
+
+    Alerts carry no label and transactions no score; a transaction without an alert scored below
+    the threshold.
+    """
+    stream = transactions.filter(F.col("source") == "stream").select("trans_id", "is_fraud")
+    scores = alerts.select("trans_id", F.col("risk_score").cast("double").alias("_score"))
+    joined = stream.join(scores, "trans_id", "left")
+    return joined.withColumn("risk_score", F.coalesce("_score", F.lit(0.0))).drop("_score")
+
+
 def daily_rate_bands(summary: DataFrame) -> DataFrame:
     rate = F.col("fraud_rate_pct")
     return daily_rate(summary).withColumn("band", threshold_band(rate, FRAUD_RATE_STEPS))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions import iso_utc, row_as_json
+from riskflow.functions import iso_utc, row_as_json, threshold_band
+from riskflow.functions.bands import DEAD_LETTER_STEPS
 from riskflow.streaming.events import CORRUPT
 
 PEEK_ROWS = 20
@@ -47,6 +48,7 @@ def peek(dead_letters: DataFrame, *order: str, limit: int = PEEK_ROWS) -> DataFr
 
 
 def depth_status(depth: DataFrame, threshold: int = DEPTH_THRESHOLD) -> DataFrame:
-    """Depth with the branch the monitor takes."""
+    """Depth with the branch the monitor takes and the colour its panel shows."""
     action = F.when(F.col("depth") > threshold, "alert_team").otherwise("no_action")
-    return depth.withColumn("action", action)
+    band = threshold_band(F.col("depth"), DEAD_LETTER_STEPS)
+    return depth.withColumns({"action": action, "band": band})

@@ -158,6 +158,21 @@ def test_stored_batch_rows_win_over_stream_rows(spark, store):
     assert ids(store, "fraud_alerts") == []
 
 
+@pytest.mark.parametrize(("days", "stored"), [(None, ["a", "b"]), (1, ["a", "b"])])
+def test_time_bound_guard_still_finds_repeated_events(spark, store, days, stored):
+    writer = MicroBatchWriter(store, "s", guard_days=days)
+    writer(frame(spark, [event("a")]), 0)
+    writer(frame(spark, [event("a"), event("b")]), 1)
+    assert ids(store, "transactions") == stored
+
+
+def test_unguarded_writer_leaves_repeats_to_the_state(spark, store):
+    writer = MicroBatchWriter(store, "s", guard_stored=False)
+    for epoch in (0, 1):
+        writer(frame(spark, [event("a"), event("a")]), epoch)
+    assert ids(store, "transactions") == ["a", "a"]
+
+
 def test_topics_receive_enriched_events_and_alerts(spark, store, tmp_path):
     root = str(tmp_path / "topics")
     writer = MicroBatchWriter(store, "s", topics=sources.json_topics(root))
