@@ -93,8 +93,9 @@ def batch_load(
     """Customers, then merchants, then transactions of one CSV.
 
     The text is parsed once; each load then scans its own columns. Stored rows always win over new
-    ones, and earlier rows over later ones. Rows that break a table constraint go to the dead letters. Running the same
-    ``load_id`` again leaves the same tables; another id for the same file inserts nothing.
+    ones, and earlier rows over later ones. Rows that break a table constraint go to the dead
+    letters. Running the same ``load_id`` again leaves the same tables; another id for the same
+    file inserts nothing.
     """
     now = F.current_timestamp() if now is None else now
     landing = work_dir(store.spark, "landing")
