@@ -635,31 +635,35 @@ def _stream_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _run_stream(messages: DataFrame, spark: SparkSession, **options) -> TableStore:
+def _run_stream(messages: DataFrame, spark: SparkSession, sf_dir: str) -> TableStore:
+    """Drain the messages; a table of few files is spread, one of many has enough tasks."""
     store = TableStore(spark, work_dir(spark, "tables"))
     checkpoint = work_dir(spark, "checkpoint")
-    job.drain(job.start_stream(messages, store, checkpoint, once=True, **options))
+    cores = spark.sparkContext.defaultParallelism
+    files_read = len(cards.table(spark, sf_dir, "lineitem").inputFiles())
+    tasks = cores if files_read < cores else None
+    job.drain(job.start_stream(messages, store, checkpoint, once=True, tasks=tasks))
     return store
 
 
 @query
 def stream_alerts(spark, sf_dir):
     messages = files.to_messages(_stream_payload(spark, sf_dir))
-    alerts = _run_stream(messages, spark).read("fraud_alerts")
+    alerts = _run_stream(messages, spark, sf_dir).read("fraud_alerts")
     return alerts.select("trans_id", "risk_score", "distance_km", "alert_reason")
 
 
 @query
 def stream_transactions(spark, sf_dir):
     messages = files.to_messages(_stream_payload(spark, sf_dir))
-    stored = _run_stream(messages, spark).read("transactions")
+    stored = _run_stream(messages, spark, sf_dir).read("transactions")
     return stored.select("trans_id", "trans_at", "unix_time", "amount", "is_fraud", "source")
 
 
 @query
 def stream_staging(spark, sf_dir):
     messages = files.to_messages(_stream_payload(spark, sf_dir))
-    return _run_stream(messages, spark).read("stream_staging")
+    return _run_stream(messages, spark, sf_dir).read("stream_staging")
 
 
 @query
@@ -687,7 +691,7 @@ def stream_dlq(spark, sf_dir):
     """Dead letters of a stream in which some messages are damaged."""
     lines = cards.table_stream(spark, sf_dir, "lineitem")
     messages = _damaged_messages(cards.card_events(spark, sf_dir, lines))
-    letters = _run_stream(messages, spark).read("dead_letters")
+    letters = _run_stream(messages, spark, sf_dir).read("dead_letters")
     return letters.groupBy(F.col("_dlq_reason").alias("reason")).agg(
         F.count("*").alias("letters"),
         F.count_if(
