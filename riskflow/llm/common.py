@@ -4,11 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for their Python workers."""
+    context = spark.sparkContext
+    if getattr(context, "_llm_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="llm-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))  # the driver serves the file
+    context._llm_shipped = True
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
 
@@ -47,9 +63,3 @@ def free_name(taken: list[str], wanted: str) -> str:
         wanted += "_"
     return wanted
 
-
-def arrow_schema(df: DataFrame):
-    """The Arrow schema Spark uses for ``df``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(df.schema, timezone="UTC")

@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskflow.llm.common import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def _query(build):
-    QUERIES[build.__name__] = build
+    @wraps(build)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = query
     return build
 
 
@@ -24,3 +32,11 @@ def op8_simhash_near_dedup(spark, sf_dir):
     from riskflow.llm.simhash_tiles import near_duplicates
 
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_suffix_array_dedup(spark, sf_dir):
+    from riskflow.llm.suffix_repeats import digest_of, remove_repeats
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digest_of(remove_repeats(docs))
