@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.llm.common import ship
 
@@ -34,6 +35,42 @@ def op8_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+MIX_WEIGHTS = {"src0": 10, "src1": 8, "src2": 6, "src3": 6, "src4": 4, "src5": 4}
+OTHER_WEIGHT = 3
+
+
+@_query
+def op3_pfair_mix(spark, sf_dir):
+    from riskflow.llm.pfair import mixed
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source")
+    placed = mixed(docs, MIX_WEIGHTS, default_weight=OTHER_WEIGHT)
+    return placed.select("row.doc_id", "source", "block", "slot", "in_block")
+
+
+@_query
+def op4_string_kernel_toxicity(spark, sf_dir):
+    from riskflow.llm.string_kernel import fit, held_out, with_score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = with_score(docs, fit(docs, labels.filter(~held_out())))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@_query
+def op6_streaming_viterbi(spark, sf_dir):
+    from riskflow.llm.viterbi import load, with_decoded, with_ids
+
+    pieces = load()
+    coded = with_ids(_table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
+    decoded = with_decoded(coded, pieces)
+    same = F.col("decoded") == F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", same.alias("round_trip"))
+
+
 @_query
 def op7_suffix_array_dedup(spark, sf_dir):
     from riskflow.llm.suffix_repeats import digest_of, remove_repeats

@@ -225,10 +225,11 @@ def fit(
     surprise = F.col("in_toxic") * F.log(share / expected) + F.col("in_clean") * F.log(
         F.greatest(1 - share, F.lit(1e-9)) / (1 - expected)
     )
-    # Beyond chance, and mostly in label 1.
+    # Mostly in label 1, and more so than the luckiest of all units would be by chance.
+    chance = float(np.log(max(1, usage.count())))
     marks = (
-        usage.filter("in_toxic >= 3").withColumn("surprise", surprise)
-        .filter((F.col("surprise") > 5) & (share > max(0.5, expected)))
+        usage.withColumn("surprise", surprise)
+        .filter((F.col("surprise") > chance) & (share > max(0.5, expected)))
         .orderBy(F.desc("surprise"), "unit").limit(landmarks)
     ).collect()
     if not marks:
