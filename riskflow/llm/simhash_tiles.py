@@ -113,39 +113,63 @@ def linked(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.
     return everything[away], everything[labels[away]]
 
 
-def links(distinct: DataFrame, name: str, radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Forest edges ``u, v`` among the distinct fingerprints in column ``name``."""
-    spark = distinct.sparkSession
-    counted = distinct.select(F.col(name).alias("f"), F.bit_count(name).alias("ones"))
-    rows = {r["ones"]: r["count"] for r in counted.groupBy("ones").count().collect()}
-    # At most 65 rows; the tiles of one population count follow one another.
-    tiles, first = [], {}
-    for ones in sorted(rows):
-        first[ones] = len(tiles)
-        tiles += [ones] * -(-rows[ones] // tile_rows)
+def _tiled(rows: DataFrame, prints: str, radius: int, tile_rows: int) -> DataFrame:
+    """Every row once for each pair of tiles that it takes part in.
+
+    Adds ``a, b`` (the tiles), ``second`` (its tile is b, not a). Neighbouring population counts share
+    a tile until it is full, a frequent one is split by a hash of the fingerprint. Pairs of tiles whose
+    population counts differ by more than ``radius`` are left out.
+    """
+    spark = rows.sparkSession
+    counted = rows.withColumn("ones", F.bit_count(prints))
+    # At most 65 rows.
+    number = {r["ones"]: r["count"] for r in counted.groupBy("ones").count().collect()}
+    spans: list[list[int]] = []  # lowest count, highest count, rows
+    first, split = {}, {}
+    for ones in sorted(number):
+        split[ones] = -(-number[ones] // tile_rows)
+        if spans and split[ones] == 1 and spans[-1][2] + number[ones] <= tile_rows:
+            spans[-1][1:] = ones, spans[-1][2] + number[ones]
+            first[ones] = len(spans) - 1
+        else:
+            first[ones] = len(spans)
+            spans += [[ones, ones, number[ones] // split[ones]] for _ in range(split[ones])]
     plan = []
-    for ones in first:
-        near = [t for t, other in enumerate(tiles) if abs(other - ones) <= radius]
-        plan.append((ones, first[ones], tiles.count(ones), near[0], near[-1]))
+    for ones in sorted(number):
+        low, high = spans[first[ones]][:2]
+        near = [t for t, (lo, hi, _) in enumerate(spans) if lo - high <= radius and low - hi <= radius]
+        plan.append((ones, first[ones], split[ones], near[0], near[-1]))
     shape = "ones int, first_tile int, own_tiles int, near_from int, near_to int"
-    # One row for each population count: 65 at most.
     of = F.broadcast(spark.createDataFrame(plan, shape))
-    own = F.col("first_tile") + F.pmod(F.xxhash64("f"), F.col("own_tiles"))
-    paired = (
-        counted.join(of, "ones")
-        .select("f", own.cast("int").alias("own"), F.explode(F.sequence("near_from", "near_to")).alias("other"))
-        .select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") > F.col("other")).alias("second"), "f")
+    own = F.col("first_tile") + F.pmod(F.xxhash64(prints), F.col("own_tiles"))
+    placed = counted.join(of, "ones").select(*rows.columns, own.cast("int").alias("own"), "near_from", "near_to")
+    return placed.select(*rows.columns, "own", F.explode(F.sequence("near_from", "near_to")).alias("other")).select(
+        *rows.columns, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+        (F.col("own") > F.col("other")).alias("second"),
     )
 
+
+def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
+    """Row numbers of the first tile, and of the second unless both are the same."""
+    second = group.column("second").to_numpy(zero_copy_only=False).astype(bool)
+    same = group.column("a")[0].as_py() == group.column("b")[0].as_py()
+    return np.flatnonzero(~second), None if same else np.flatnonzero(second)
+
+
+def links(distinct: DataFrame, name: str, radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Forest edges ``u, v`` among the distinct fingerprints in column ``name``."""
+
     def compare(group: pa.Table) -> pa.Table:
         prints = group.column("f").to_numpy().view(np.uint64)
-        second = group.column("second").to_numpy(zero_copy_only=False).astype(bool)
-        same = group.column("a")[0].as_py() == group.column("b")[0].as_py()
-        left, right = np.sort(prints[~second]), None if same else np.sort(prints[second])
-        u, v = linked(left, right, radius) if len(left) and (same or len(right)) else (left[:0],) * 2
+        left, right = _sides(group)
+        if not len(left) or right is not None and not len(right):
+            u = v = prints[:0]
+        else:
+            u, v = linked(np.sort(prints[left]), None if right is None else np.sort(prints[right]), radius)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    return paired.groupBy("a", "b").applyInArrow(compare, "u long, v long")
+    tiled = _tiled(distinct.select(F.col(name).alias("f")), "f", radius, tile_rows)
+    return tiled.groupBy("a", "b").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(
@@ -172,3 +196,165 @@ def near_duplicates(
     by_print = named.join(lowest, "label").select("f", "component_id")
     digits = F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint")
     return prints.join(by_print, "f").select("doc_id", digits, "component_id")
+
+
+# Similar texts: the fingerprints only propose, the shingles themselves decide.
+
+WIDTH, SIMILARITY = 5, 0.8
+#: Of 128 bits. At a Jaccard similarity of 0.8 the two fingerprints differ in 20 bits on average, with
+#: a deviation of 4; ``FIRST`` bounds the first 64 of them and is 3.5 deviations off as well.
+PROPOSE, FIRST = 34, 20
+SIMILAR_TILE_ROWS = 1_024
+
+
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles; none without words."""
+    words = text.lower().split()
+    if len(words) <= width:
+        shingles = {b" ".join(words)} if words else set()
+    else:
+        shingles = set(map(b" ".join, zip(*(words[k:] for k in range(width)))))
+    digest = xxhash.xxh3_64_intdigest
+    return np.sort(np.fromiter((digest(s) for s in shingles), np.uint64, len(shingles)))
+
+
+def _majority(h: np.ndarray) -> int:
+    """Signed fingerprint of a set of hashes."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), _SLICE):
+        bits = np.unpackbits(h[at : at + _SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits((2 * ones > len(h)).astype(np.uint8), bitorder="little").view(np.int64)[0])
+
+
+def _second(h: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _proposals(f: np.ndarray, g: np.ndarray, left: np.ndarray, right: np.ndarray | None, step: int = 2048):
+    """Pairs of row numbers whose fingerprints are near, chunk by chunk; each pair once."""
+    other = left if right is None else right
+    for p in range(0, len(left), step):
+        for q in range(p if right is None else 0, len(other), step):
+            one, two = left[p : p + step], other[q : q + step]
+            apart = np.bitwise_count(f[one][:, None] ^ f[two][None, :])
+            a, b = np.nonzero(apart <= FIRST)
+            if right is None and p == q:
+                a, b = a[a < b], b[a < b]
+            far = apart[a, b].astype(np.int16) + np.bitwise_count(g[one[a]] ^ g[two[b]])
+            yield one[a[far <= PROPOSE]], two[b[far <= PROPOSE]]
+
+
+def similar_groups(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = WIDTH,
+    similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS, similar_tile_rows: int = SIMILAR_TILE_ROWS,
+) -> DataFrame:
+    """``handle, doc_id, text_key, label`` of every row: its hash, id, the hash of its lower-cased words,
+    and its group.
+
+    Texts are linked if their sets of ``width``-word shingles have a Jaccard similarity of at least
+    ``similarity``, or if their words are equal; groups are what links reach. A first tiled pass finds
+    the texts whose fingerprint is near any other; these few are compared again with their shingles
+    at hand. Texts already joined within a task are not compared again, so a large group of near
+    copies costs about one exact comparison per member.
+
+    Null texts, empty ones and ones of white space have no shingles; they are copies of one another.
+    """
+    handle = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("handle")
+    source = docs.select(handle, F.col(f"`{doc_id}`").cast("long").alias("doc_id"), utf8(f"`{text}`").alias("body"))
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column(2)]
+            keys = [xxhash.xxh64_intdigest(b" ".join(t.lower().split())) for t in texts]
+            sets = [shingle_hashes(t, width) for t in texts]
+            columns = [np.array(keys, np.uint64).view(np.int64), [_majority(s) for s in sets], [_majority(_second(s)) for s in sets]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], *(pa.array(c, pa.int64()) for c in columns)], ["handle", "doc_id", "text_key", "f", "g"]
+            )
+
+    rows = stored(source.mapInArrow(prints, "handle long, doc_id long, text_key long, f long, g long"), "prints")
+    # One row for each text, merged on the map side.
+    every = stored(rows.groupBy("text_key", "f", "g").agg(F.min("handle").alias("handle")), "texts")
+
+    def propose(group: pa.Table) -> pa.Table:
+        f, g = (group.column(c).to_numpy().view(np.uint64) for c in "fg")
+        left, right = _sides(group)
+        found = np.zeros(len(f), bool)
+        for a, b in _proposals(f, g, left, right):
+            found[a] = found[b] = True
+        return pa.table({"text_key": group.column("text_key").filter(pa.array(found))})
+
+    near = _tiled(every, "f", FIRST, tile_rows).groupBy("a", "b").applyInArrow(propose, "text_key long")
+    chosen = stored(near.distinct(), "near")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingle_hashes(t.as_py(), width).tobytes() for t in batch.column(4)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(own, pa.binary())], ["handle", "text_key", "f", "g", "shingles"]
+            )
+
+    wanted = every.join(chosen, "text_key").select("handle", "text_key", "f", "g")
+    shingled = stored(
+        source.join(wanted, "handle").select("handle", "text_key", "f", "g", "body")
+        .mapInArrow(sets, "handle long, text_key long, f long, g long, shingles binary")
+        .dropDuplicates(["handle"]),
+        "shingles",
+    )
+
+    def decide(group: pa.Table) -> pa.Table:
+        f, g = (group.column(c).to_numpy().view(np.uint64) for c in "fg")
+        key, own = group.column("text_key").to_numpy(), group.column("shingles").combine_chunks()
+        sets = [np.frombuffer(s.as_py(), np.uint64) for s in own]
+        labels = np.arange(len(f))
+        for a, b in _proposals(f, g, *_sides(group)):
+            for i, j in zip(a.tolist(), b.tolist()):
+                x, y = _root(labels, i), _root(labels, j)
+                if x != y and _jaccard_at_least(sets[i], sets[j], similarity):
+                    labels[max(x, y)] = min(x, y)
+        roots = np.array([_root(labels, k) for k in range(len(f))], np.int64)
+        away = np.flatnonzero(roots != np.arange(len(f)))
+        return pa.table({"u": key[away], "v": key[roots[away]]})
+
+    tiles = _tiled(shingled, "f", FIRST, similar_tile_rows)
+    edges = tiles.groupBy("a", "b").applyInArrow(decide, "u long, v long")
+    groups = components(edges).withColumnRenamed("node", "text_key")
+    named = every.select("text_key").join(groups, "text_key", "left")
+    named = named.select("text_key", F.coalesce("label", "text_key").alias("label"))
+    return rows.select("handle", "doc_id", "text_key").join(named, "text_key")
+
+
+def _root(labels: np.ndarray, k: int) -> int:
+    while labels[k] != k:
+        labels[k] = labels[labels[k]]
+        k = int(labels[k])
+    return k
+
+
+def _jaccard_at_least(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    small, large = sorted((a, b), key=len)
+    if not len(small) or len(small) < similarity * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    both = int((large[at] == small).sum())
+    return both >= similarity * (len(a) + len(b) - both)
+
+
+def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` less all but one of each group of similar texts, columns unchanged.
+
+    The row with the smallest id stays, then the one with the smallest hash; rows whose id is null
+    come last. Repeated rows are copies of each other. Options are those of ``similar_groups``.
+    """
+    groups = similar_groups(docs, doc_id, text, **options)
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "handle")
+    handle = free_name(docs.columns, "handle")
+    kept = groups.groupBy("label").agg(F.min(best).alias("best")).select(F.col("best.handle").alias(handle))
+    rows = docs.withColumn(handle, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    # Rows alike in every column share a handle: the aggregation keeps one of them.
+    return rows.join(kept, handle, "left_semi").dropDuplicates([handle]).drop(handle)

@@ -162,14 +162,15 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def remove_repeats(
     docs: DataFrame, text: str = "text", *, length: int = 400, period: int = PERIOD,
-    block_bytes: int = blocks.BLOCK_BYTES,
+    block_bytes: int = blocks.BLOCK_BYTES, whole_characters: bool = False,
 ) -> DataFrame:
     """``row, n_bytes, spans, kept``: what is left of each text.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else, in the
     same document or another; passages never cross documents. ``row`` is a struct of all other
     columns of ``docs``, so that no name clashes; ``spans`` are the maximal removed runs
-    ``start, stop``, ``kept`` the remaining bytes in turn.
+    ``start, stop``, ``kept`` the remaining bytes in turn. With ``whole_characters`` the bytes of a
+    character of UTF-8 go only together, so that what is kept remains UTF-8.
 
     Null text counts as empty. Texts shorter than ``length`` stay whole. Repeated rows are copies of
     one another and, if long enough, lose every byte. An empty table gives an empty result.
@@ -204,6 +205,11 @@ def remove_repeats(
         for row in _rows(batches):
             block = _Block(row, length, buckets)
             cover, spans, kept = block.covered(period), [], []
+            if whole_characters:
+                inner = (block.data & 0xC0) == 0x80
+                inner[block.starts[:-1][block.sizes > 0]] = False
+                of = np.cumsum(~inner) - 1
+                cover = np.bincount(of, ~cover, of[-1] + 1)[of] == 0 if len(of) else cover
             for a, b in zip(block.starts, block.starts[1:]):
                 edges = np.flatnonzero(np.diff(np.r_[False, cover[a:b], False]))
                 spans.append([{"start": s, "stop": e} for s, e in edges.reshape(-1, 2).tolist()])
