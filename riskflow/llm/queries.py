@@ -77,3 +77,17 @@ def op7_suffix_array_dedup(spark, sf_dir):
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return digest_of(remove_repeats(docs))
+
+
+@_query
+def op9_no_random_access_topk(spark, sf_dir):
+    from riskflow.llm.nra_topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op5_learned_partitions(spark, sf_dir):
+    from riskflow.llm.learned_partitions import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
