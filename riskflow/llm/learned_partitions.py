@@ -20,9 +20,9 @@ from riskflow.llm.common import stored
 from riskflow.llm.routed import best_per_query, every, finite_vectors, matrix
 
 SAMPLE_ROWS = 8_192
-ROWS_PER_PART = 2_048
+ROWS_PER_PART = 1_024
 MOST_PARTS = 256
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.93
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:

@@ -91,3 +91,10 @@ def op5_learned_partitions(spark, sf_dir):
     from riskflow.llm.learned_partitions import nearest
 
     return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op10_html_layout(spark, sf_dir):
+    from riskflow.llm.html_layout import with_visible_text
+
+    return with_visible_text(_table(spark, sf_dir, "pages").select("page_id", "html"))
