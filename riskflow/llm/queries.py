@@ -98,3 +98,17 @@ def op10_html_layout(spark, sf_dir):
     from riskflow.llm.html_layout import with_visible_text
 
     return with_visible_text(_table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
+@_query
+def op1_chat_prefix_tree(spark, sf_dir):
+    from riskflow.llm.chat_tree import chat_tree, digests, ranks, read_back
+
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    vocabulary = ranks()
+    segments, members = chat_tree(rows, vocabulary)
+    return digests(read_back(segments, members, vocabulary))
