@@ -112,3 +112,11 @@ def op1_chat_prefix_tree(spark, sf_dir):
     vocabulary = ranks()
     segments, members = chat_tree(rows, vocabulary)
     return digests(read_back(segments, members, vocabulary))
+
+
+@_query
+def op2_attention_lm(spark, sf_dir):
+    from riskflow.llm.attention_lm import scored
+    from riskflow.llm.chat_tree import ranks
+
+    return scored(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks())
