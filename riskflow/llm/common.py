@@ -7,6 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,17 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def in_slices(column, most_bytes: int = 4 << 20):
+    """Starts and stops of runs of rows of an Arrow column of texts, a few megabytes each."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(column):
+        done = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, done + most_bytes, "right")))
+        yield start, stop
+        start = stop
+
+
 def crc_mod(column: str, divisor: int) -> Column:
     """crc32 of the value written as text, modulo ``divisor``; null hashes as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -81,7 +81,7 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 def _subtiles(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order by the word counts, the starts of equal counts, and those counts."""
-    counts = np.bitwise_count(prints.view(np.uint16).reshape(-1, 4)).astype(np.int16)
+    counts = np.bitwise_count(np.ascontiguousarray(prints).view(np.uint16).reshape(-1, 4)).astype(np.int16)
     key = counts @ np.array([4913, 289, 17, 1], dtype=np.int64)
     order = np.argsort(key, kind="stable")
     starts = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])

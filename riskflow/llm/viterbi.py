@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import free_name, utf8
+from riskflow.llm.common import in_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -171,34 +171,34 @@ def with_ids(docs: DataFrame, pieces: Pieces, text: str = "text", name: str = "i
     """
     if name.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"there is a column {name} already")
-    body = free_name([*docs.columns, name], "body")
-    source = docs.withColumn(body, utf8(f"`{text}`"))
+    at = docs.columns.index(text)
     sent = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(sent.value)
         for batch in batches:
-            coded = [encoder.encode(t.as_py()) for t in batch.column(batch.num_columns - 1)]
-            ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32))
-            )
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], [*batch.schema.names[:-1], name])
+            for start, stop in in_slices(batch.column(at)):
+                part = batch.slice(start, stop - start)
+                coded = [encoder.encode(t.as_py() or b"") for t in part.column(at).cast(pa.binary())]
+                ends = np.cumsum([0, *(len(c) // 4 for c in coded)])
+                ids = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32))
+                )
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*batch.schema.names, name])
 
-    return source.mapInArrow(encode, docs.withColumn(name, F.array(F.lit(0))).schema)
+    return docs.mapInArrow(encode, docs.withColumn(name, F.array(F.lit(0))).schema)
 
 
 def with_decoded(coded: DataFrame, pieces: Pieces, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """All columns and the bytes that the ids stand for; null ids count as none."""
-    body = free_name([*coded.columns, name], "body")
-    source = coded.withColumn(body, F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")))
+    at = coded.columns.index(ids)
     sent = coded.sparkSession.sparkContext.broadcast(pieces.texts)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = sent.value.__getitem__
         for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            texts = [b"".join(map(look, v.values.to_numpy().tolist() if len(v) else ()))[1:] for v in lists]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], [*batch.schema.names[:-1], name])
+            lists = batch.column(at)
+            texts = [b"".join(map(look, v.values.to_numpy().tolist() if v.is_valid and len(v) else ()))[1:] for v in lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, name])
 
-    return source.mapInArrow(decode, coded.withColumn(name, F.lit(b"")).schema)
+    return coded.mapInArrow(decode, coded.withColumn(name, F.lit(b"")).schema)
