@@ -38,7 +38,8 @@ def period(weights: dict[str, int]) -> list[str]:
 
 def phases(weights: dict[str, int], blocks: dict[str, int]) -> list[tuple[str, int, int, int, int, list[int]]]:
     """``source, first block, first slot, weight, period, slots in the period``: one row for each
-    source and phase. A phase ends when a source has no block left; there are as many as sources."""
+    source and phase. A phase ends when it is the turn of a source with no block left; there are at
+    most as many as sources."""
     left, used, start, rows = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, []
     while left:
         now = {s: weights[s] for s in left}
@@ -52,13 +53,12 @@ def phases(weights: dict[str, int], blocks: dict[str, int]) -> list[tuple[str, i
             left[s] -= whole * now[s]
             used[s] += whole * now[s]
         start += whole * len(slots)
-        if all(left.values()):
-            for source in slots:
-                left[source] -= 1
-                used[source] += 1
-                start += 1
-                if not left[source]:
-                    break
+        for source in slots:
+            if not left[source]:
+                break
+            left[source] -= 1
+            used[source] += 1
+            start += 1
         left = {s: n for s, n in left.items() if n}
     return rows
 
