@@ -6,12 +6,11 @@ and their own needs follow.
 
 from __future__ import annotations
 
-from riskflow.operators.quality import ALL_CHECKS, STAGING_CHECKS
-
 LINE_ORDER = (
     "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
     "l_returnflag, l_linestatus"
 )
+# The category lists of the score.
 HIGH = "('shopping_net', 'misc_net', 'grocery_pos', 'shopping_pos', 'misc_pos')"
 MEDIUM = "('entertainment', 'gas_transport', 'food_dining')"
 
@@ -231,8 +230,8 @@ RELATIONS: dict[str, tuple[str, str]] = {
     "log": (
         "",
         """SELECT CASE WHEN event_type = 'error' THEN 'dlq_transactions'
-          ELSE 'raw_transactions' END AS topic, (user_id % 3)::INTEGER AS partition,
-          event_id AS "offset", ts, props AS value FROM events""",
+          ELSE 'raw_transactions' END AS topic, (event_id % 3)::INTEGER AS partition,
+          event_id // 3 AS "offset", ts, props AS value FROM events""",
     ),
     "depth": (
         "log",
@@ -274,29 +273,78 @@ def build(needs: str, sql: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({t})" for n, t in ordered.items()) + "\n" + sql
 
 
+# The declared tests of every model; the last item says which rows fail.
+CHECKS = (
+    ("stg_transactions", "trans_id", "not_null", "trans_id IS NULL"),
+    ("stg_transactions", "trans_id", "unique", ""),
+    ("stg_transactions", "amount", "not_null", "amount IS NULL"),
+    ("stg_transactions", "amount", "accepted_range", "amount < 0 OR amount > 50000"),
+    ("stg_transactions", "is_fraud", "not_null", "is_fraud IS NULL"),
+    ("stg_transactions", "is_fraud", "accepted_values", "is_fraud NOT IN (0, 1)"),
+    ("stg_transactions", "source", "not_null", "source IS NULL"),
+    ("stg_transactions", "source", "accepted_values", "source NOT IN ('batch', 'stream')"),
+    ("stg_transactions", "trans_at", "not_null", "trans_at IS NULL"),
+    ("stg_customers", "customer_id", "not_null", "customer_id IS NULL"),
+    ("stg_customers", "customer_id", "unique", ""),
+    ("stg_customers", "cc_num", "not_null", "cc_num IS NULL"),
+    ("stg_customers", "cc_num", "unique", ""),
+    ("stg_customers", "full_name", "not_null", "full_name IS NULL"),
+    ("stg_customers", "state", "not_null", "state IS NULL"),
+    ("stg_merchants", "merchant_id", "not_null", "merchant_id IS NULL"),
+    ("stg_merchants", "merchant_id", "unique", ""),
+    ("stg_merchants", "merchant_name", "not_null", "merchant_name IS NULL"),
+    ("stg_merchants", "merchant_name", "unique", ""),
+    ("stg_merchants", "category", "not_null", "category IS NULL"),
+    ("int_transaction_stats", "trans_id", "not_null", "trans_id IS NULL"),
+    ("int_transaction_stats", "trans_id", "unique", ""),
+    ("int_transaction_stats", "amount", "not_null", "amount IS NULL"),
+    ("int_transaction_stats", "amount", "accepted_range", "amount < 0"),
+    ("int_transaction_stats", "is_fraud", "not_null", "is_fraud IS NULL"),
+    ("int_transaction_stats", "is_fraud", "accepted_values", "is_fraud NOT IN (0, 1)"),
+    ("int_transaction_stats", "customer_age", "accepted_range", "customer_age < 18 OR customer_age > 110"),
+    ("fact_transactions", "trans_id", "not_null", "trans_id IS NULL"),
+    ("fact_transactions", "trans_id", "unique", ""),
+    ("fact_transactions", "amount", "not_null", "amount IS NULL"),
+    ("fact_transactions", "amount", "accepted_range", "amount < 0"),
+    ("fact_transactions", "is_fraud", "not_null", "is_fraud IS NULL"),
+    ("fact_transactions", "is_fraud", "accepted_values", "is_fraud NOT IN (0, 1)"),
+    ("fact_transactions", "source", "not_null", "source IS NULL"),
+    ("fact_transactions", "source", "accepted_values", "source NOT IN ('batch', 'stream')"),
+    ("dim_customer", "customer_id", "not_null", "customer_id IS NULL"),
+    ("dim_customer", "customer_id", "unique", ""),
+    ("dim_merchant", "merchant_id", "not_null", "merchant_id IS NULL"),
+    ("dim_merchant", "merchant_id", "unique", ""),
+    ("dim_date", "date_id", "not_null", "date_id IS NULL"),
+    ("dim_date", "date_id", "unique", ""),
+    ("dim_date", "full_date", "not_null", "full_date IS NULL"),
+    ("dim_date", "full_date", "unique", ""),
+    ("mart_fraud_summary", "txn_date", "not_null", "txn_date IS NULL"),
+    ("mart_fraud_summary", "total_transactions", "not_null", "total_transactions IS NULL"),
+    ("mart_fraud_summary", "total_transactions", "accepted_range", "total_transactions < 1"),
+    ("mart_fraud_summary", "fraud_rate_pct", "accepted_range", "fraud_rate_pct < 0 OR fraud_rate_pct > 100"),
+    ("mart_customer_360", "total_transactions", "not_null", "total_transactions IS NULL"),
+    ("mart_customer_360", "total_transactions", "accepted_range", "total_transactions < 1"),
+    ("mart_customer_360", "risk_tier", "not_null", "risk_tier IS NULL"),
+    ("mart_customer_360", "risk_tier", "accepted_values", "risk_tier NOT IN ('HIGH', 'MEDIUM', 'LOW')"),
+)
+ALL_CHECKS = CHECKS
+STAGING_CHECKS = [check for check in CHECKS if check[0].startswith("stg_")]
+
+
 def check_sql(checks, tables: dict[str, str]) -> str:
     """The check report as a union of counts; ``tables`` maps a model to its relation."""
     parts = []
-    for check in checks:
-        relation, column = tables.get(check.model, check.model), check.column
-        if check.test == "unique":
+    for model, column, test, fails in checks:
+        relation = tables.get(model, model)
+        count = f"SELECT count(*) FROM {relation} WHERE {fails}"
+        if test == "unique":
             count = (
                 f"SELECT count(*) FROM (SELECT {column} FROM {relation} WHERE {column} "
                 f"IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
             )
-        elif check.test == "not_null":
-            count = f"SELECT count(*) FROM {relation} WHERE {column} IS NULL"
-        elif check.test == "accepted_values":
-            values = ", ".join(repr(value) for value in check.accepted)
-            count = f"SELECT count(*) FROM {relation} WHERE {column} NOT IN ({values})"
-        else:
-            low, high = check.accepted
-            tests = [f"{column} < {low}"] if low is not None else []
-            tests += [f"{column} > {high}"] if high is not None else []
-            count = f"SELECT count(*) FROM {relation} WHERE {' OR '.join(tests)}"
         parts.append(
-            f"SELECT '{check.model}' AS model, '{column}' AS column_name, "
-            f"'{check.test}' AS test, ({count}) AS failures"
+            f"SELECT '{model}' AS model, '{column}' AS column_name, "
+            f"'{test}' AS test, ({count}) AS failures"
         )
     return "\nUNION ALL ".join(parts)
 
@@ -625,11 +673,22 @@ _ORACLES: dict[str, tuple[str, str]] = {
     "event_rate_15s": ("", WINDOWS),
     "event_rate_lag": (
         "log",
-        """SELECT topic, make_timestamp(tick) AS sampled_at, end_offset,
-          coalesce((end_offset - lag(end_offset) OVER w) * 1000000e0
-            / (tick - lag(tick) OVER w), 0e0) AS events_per_second
-          FROM (SELECT topic, (epoch_us(ts) // 15000000 + 1) * 15000000 AS tick,
-            max("offset") + 1 AS end_offset FROM log GROUP BY 1, 2)
+        """SELECT topic, make_timestamp(tick) AS sampled_at,
+            (total - lag(total, 1, begun) OVER w)::BIGINT AS messages,
+            coalesce((total - lag(total) OVER w) * 1000000e0 / (tick - lag(tick) OVER w), 0e0)
+              AS events_per_second
+          FROM (SELECT topic, tick, sum(coalesce(reached, begin_offset)) AS total,
+              sum(begin_offset) AS begun
+            FROM (SELECT t.topic, t.tick, p.begin_offset, max(s.end_offset) OVER (
+                PARTITION BY t.topic, p.partition ORDER BY t.tick) AS reached
+              FROM (SELECT DISTINCT topic, (epoch_us(ts) // 15000000 + 1) * 15000000 AS tick
+                FROM log) t
+              JOIN (SELECT topic, partition, min("offset") AS begin_offset FROM log
+                GROUP BY 1, 2) p ON t.topic = p.topic
+              LEFT JOIN (SELECT topic, partition, (epoch_us(ts) // 15000000 + 1) * 15000000
+                  AS tick, max("offset") + 1 AS end_offset FROM log GROUP BY 1, 2, 3) s
+                ON s.topic = t.topic AND s.tick = t.tick AND s.partition = p.partition)
+            GROUP BY 1, 2)
           WINDOW w AS (PARTITION BY topic ORDER BY tick)""",
     ),
     "topic_offsets": (
@@ -676,18 +735,88 @@ _ORACLES: dict[str, tuple[str, str]] = {
     ),
     "stream_dlq": (
         "raw",
-        RELATIONS["outcomes"][1].replace("FROM uniq", "FROM raw").join(
-            (
-                "SELECT outcome AS reason, count(*) AS letters, "
-                "count(*) AS with_reason_in_value FROM (",
-                ") WHERE outcome <> 'accepted' GROUP BY 1",
-            )
-        ),
+        """SELECT reason, count(*) AS letters, count(*) AS with_reason_in_value FROM (
+            SELECT CASE hour(trans_at) WHEN 12 THEN 'malformed json'
+              WHEN 7 THEN 'trans_num is null' WHEN 8 THEN 'trans_at is null'
+              WHEN 9 THEN 'amount is null' WHEN 10 THEN 'coordinates are null'
+              WHEN 11 THEN 'is_fraud not in (0, 1)' END AS reason FROM raw)
+          WHERE reason IS NOT NULL GROUP BY 1""",
     ),
     "stream_dedup": ("stream_raw", "SELECT DISTINCT trans_num FROM stream_raw"),
     "stream_event_rate": (
         "",
-        f"SELECT * FROM ({WINDOWS}) WHERE window_end <= (SELECT max(ts) FROM events)",
+        WINDOWS,
+    ),
+    "stream_compacted": (
+        "stream_raw stream_scored",
+        f"""SELECT 'stream_staging' AS table_name, 'closed-' || cc_num % 3 AS batch_id,
+            count(*) AS rows FROM stream_raw GROUP BY 2
+          UNION ALL SELECT 'transactions', 'closed-' || cc_num % 3, count(*)
+            FROM stream_scored GROUP BY 2
+          UNION ALL SELECT 'fraud_alerts', 'closed-' || cc_num % 3, count(*)
+            FROM stream_scored WHERE {IS_ALERT} GROUP BY 2
+          UNION ALL SELECT 'stored again', 'closed-3', 0""",
+    ),
+    "epoch_counters": (
+        "stream_scored",
+        f"""SELECT 'rows' AS counter, count(*) AS value FROM stream_scored
+          UNION ALL SELECT 'alerts', count(*) FROM stream_scored WHERE {IS_ALERT}""",
+    ),
+    "topic_messages": (
+        "stream_scored",
+        f"""SELECT topic, trans_num AS key, trans_num, alert_reason FROM stream_scored,
+            (VALUES ('enriched_transactions'), ('fraud_alerts')) AS t(topic)
+          WHERE topic = 'enriched_transactions' OR {IS_ALERT}""",
+    ),
+    "dlq_pipeline": (
+        "raw",
+        """SELECT 'dlq_transactions' AS topic, count(*) AS depth, 'alert_team' AS action,
+          'red' AS band FROM raw WHERE hour(trans_at) BETWEEN 7 AND 12""",
+    ),
+    "replay_order": (
+        "raw",
+        """SELECT 'messages' AS measure, count(*) AS value FROM raw
+          UNION ALL SELECT 'falls', 0 UNION ALL SELECT 'overlaps', 0""",
+    ),
+    "message_keys": (
+        "uniq",
+        """SELECT count(*) AS messages, count(*) FILTER (WHERE hour(trans_at) <> 7) AS by_number,
+          count(*) FILTER (WHERE hour(trans_at) = 7) AS by_hash, 0::BIGINT AS without_key,
+          count(DISTINCT trans_num) AS keys FROM uniq""",
+    ),
+    "payload_defaults": (
+        "uniq",
+        """SELECT CASE hour(trans_at) WHEN 3 THEN 'amount is null'
+            WHEN 4 THEN 'coordinates are null' ELSE 'accepted' END AS outcome,
+          count(*) AS rows, 0::BIGINT AS city_pop FROM uniq GROUP BY 1""",
+    ),
+    "consumer_progress": (
+        "log",
+        """SELECT description AS source, topic, partition, latest // share AS end_offset,
+          latest AS latest_offset, latest - latest // share AS lag
+          FROM (SELECT topic, partition, max("offset") + 1 AS latest FROM log GROUP BY 1, 2),
+            (VALUES (1, 'all'), (2, 'half'), (3, 'third')) AS s(share, description)""",
+    ),
+    "panel_from_store": (
+        "mart_fraud_summary mart_customer_360",
+        f"""SELECT unnest(['total_transactions', 'total_fraud', 'fraud_rate',
+            'average_fraud_amount', 'stream_events', 'customers']) AS panel,
+          unnest([sum(total_transactions)::DOUBLE, sum(fraud_count)::DOUBLE, {SUMMARY_RATE},
+            round(avg(avg_fraud_amount), 2), sum(stream_count)::DOUBLE,
+            (SELECT count(customer_id) FROM mart_customer_360)::DOUBLE]) AS value
+          FROM mart_fraud_summary""",
+    ),
+    "load_unresolved": (
+        "batch_raw",
+        """SELECT unnest(['customers_attempted', 'customers_inserted', 'merchants_attempted',
+            'merchants_inserted', 'transactions_attempted', 'transactions_inserted',
+            'transactions_unresolved', 'rows_rejected']) AS counter,
+          unnest([count(*) FILTER (WHERE cc_num % 11 <> 0),
+            count(DISTINCT cc_num) FILTER (WHERE cc_num % 11 <> 0), count(*),
+            count(DISTINCT merchant), count(*) FILTER (WHERE cc_num % 11 <> 0),
+            count(DISTINCT trans_num) FILTER (WHERE cc_num % 11 <> 0),
+            count(*) FILTER (WHERE cc_num % 11 = 0),
+            count(*) FILTER (WHERE cc_num % 11 = 0)]) AS value FROM batch_raw""",
     ),
     "load_counters": (
         "batch_raw",

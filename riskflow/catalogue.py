@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions import amount_band, category_band, distance_band, is_alert
@@ -15,6 +16,7 @@ from riskflow.operators.keys import orphans, resolve_keys, unresolved_keys
 from riskflow.plans import health, jobs, marts, panels, staging, star
 from riskflow.session import configure, work_dir
 from riskflow.sources import cards, files
+from riskflow.sources.events import ALERT_TOPIC, DEAD_LETTER_TOPIC, ENRICHED_TOPIC, json_topics
 from riskflow.sources.tables import TableStore
 from riskflow.streaming import dead_letters, events, job
 from riskflow.streaming.writer import MicroBatchWriter
@@ -515,7 +517,11 @@ def _models(transactions: DataFrame, spark: SparkSession, sf_dir: str) -> dict[s
 
 @query
 def dq_report(spark, sf_dir):
-    models = _models(_transactions(spark, sf_dir), spark, sf_dir)
+    store = TableStore(spark, work_dir(spark, "models"))
+    facts = store.overwrite("transactions", _transactions(spark, sf_dir))
+    models = _models(facts, spark, sf_dir)
+    joined = store.overwrite("int_transaction_stats", models["int_transaction_stats"])
+    models |= {"int_transaction_stats": joined, "mart_fraud_summary": marts.mart_fraud_summary(joined)}
     return quality.run_checks(models, quality.ALL_CHECKS)
 
 
@@ -578,13 +584,16 @@ def dq_constraint_rejects(spark, sf_dir):
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as the retained messages of two topics with three partitions each."""
+    """``events`` as the retained messages of two topics with three partitions each.
+
+    Offsets count within a partition; both topics share the numbering, so theirs have gaps.
+    """
     return cards.table(spark, sf_dir, "events").select(
         F.expr(
             "if(event_type = 'error', 'dlq_transactions', 'raw_transactions')"
         ).alias("topic"),
-        F.expr("int(user_id % 3)").alias("partition"),
-        F.col("event_id").alias("offset"),
+        F.expr("int(event_id % 3)").alias("partition"),
+        F.expr("event_id div 3").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.col("props").alias("value"),
     )
@@ -635,35 +644,32 @@ def _stream_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _run_stream(messages: DataFrame, spark: SparkSession, sf_dir: str) -> TableStore:
-    """Drain the messages; a table of few files is spread, one of many has enough tasks."""
+def _run_stream(messages: DataFrame, spark: SparkSession, **options) -> TableStore:
+    """Drain the messages into new tables."""
     store = TableStore(spark, work_dir(spark, "tables"))
     checkpoint = work_dir(spark, "checkpoint")
-    cores = spark.sparkContext.defaultParallelism
-    files_read = len(cards.table(spark, sf_dir, "lineitem").inputFiles())
-    tasks = cores if files_read < cores else None
-    job.drain(job.start_stream(messages, store, checkpoint, once=True, tasks=tasks))
+    job.drain(job.start_stream(messages, store, checkpoint, once=True, **options))
     return store
 
 
 @query
 def stream_alerts(spark, sf_dir):
     messages = files.to_messages(_stream_payload(spark, sf_dir))
-    alerts = _run_stream(messages, spark, sf_dir).read("fraud_alerts")
+    alerts = _run_stream(messages, spark).read("fraud_alerts")
     return alerts.select("trans_id", "risk_score", "distance_km", "alert_reason")
 
 
 @query
 def stream_transactions(spark, sf_dir):
     messages = files.to_messages(_stream_payload(spark, sf_dir))
-    stored = _run_stream(messages, spark, sf_dir).read("transactions")
+    stored = _run_stream(messages, spark).read("transactions")
     return stored.select("trans_id", "trans_at", "unix_time", "amount", "is_fraud", "source")
 
 
 @query
 def stream_staging(spark, sf_dir):
     messages = files.to_messages(_stream_payload(spark, sf_dir))
-    return _run_stream(messages, spark, sf_dir).read("stream_staging")
+    return _run_stream(messages, spark).read("stream_staging")
 
 
 @query
@@ -691,7 +697,7 @@ def stream_dlq(spark, sf_dir):
     """Dead letters of a stream in which some messages are damaged."""
     lines = cards.table_stream(spark, sf_dir, "lineitem")
     messages = _damaged_messages(cards.card_events(spark, sf_dir, lines))
-    letters = _run_stream(messages, spark, sf_dir).read("dead_letters")
+    letters = _run_stream(messages, spark).read("dead_letters")
     return letters.groupBy(F.col("_dlq_reason").alias("reason")).agg(
         F.count("*").alias("letters"),
         F.count_if(
@@ -702,32 +708,203 @@ def stream_dlq(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Transaction numbers kept by the keyed state."""
+    """Transaction numbers, each stored when it is first seen."""
     numbers = _stream_payload(spark, sf_dir).select("trans_num")
-    path, checkpoint = work_dir(spark, "dedup"), work_dir(spark, "checkpoint")
-    job.drain(job.append_to(job.drop_repeats(numbers), path, checkpoint, once=True))
-    return spark.read.schema("trans_num string").parquet(path)
+    store, checkpoint = TableStore(spark, work_dir(spark, "dedup")), work_dir(spark, "checkpoint")
+    job.drain(job.first_seen_to(numbers, "trans_num", store, "numbers", checkpoint, once=True))
+    return spark.read.schema("trans_num string").parquet(store.path("numbers")).select("trans_num")
 
 
 @query
 def stream_event_rate(spark, sf_dir):
-    """Windows of the event stream that the watermark has closed."""
+    """All windows of the event stream, late events included."""
     stream = cards.table_stream(spark, sf_dir, "events")
-    rate = job.event_rate_stream(stream, "ts", "0 seconds")
     out, checkpoint = work_dir(spark, "rate"), work_dir(spark, "checkpoint")
-    job.drain(job.append_to(rate, out, checkpoint, once=True))
-    schema = (
-        "window_start timestamp, window_end timestamp, events long, events_per_second double"
+    job.drain(job.rate_to(stream, "ts", out, checkpoint, once=True))
+    return job.recorded_rate(spark, out)
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """Three epochs of the stream path, the last two merged; rows per batch."""
+    batch = cards.raw_fields(
+        cards.card_events(spark, sf_dir).filter(F.col("source") == "stream")
+    )
+    store = TableStore(spark, work_dir(spark, "tables"))
+    writer = MicroBatchWriter(store, "closed")
+    for epoch in range(3):
+        writer(batch.filter(F.pmod("cc_num", F.lit(3)) == epoch), epoch)
+    merged = ["closed-1", "closed-2"]
+    counts = []
+    for name in ("stream_staging", "transactions", "fraud_alerts"):
+        store.compact(name, merged, "stream", "period-1")
+        rows = store.read(name, with_batch_id=True).groupBy("batch_id")
+        counts.append(rows.agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name)))
+    store.compact_keys("transactions", merged, "period-1")
+    writer(batch, 3)
+    again = store.read("transactions", with_batch_id=True).filter("batch_id = 'closed-3'")
+    counts.append(again.agg(F.count("*").alias("rows")).selectExpr("'closed-3' as batch_id", "rows", "'stored again' as table_name"))
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def epoch_counters(spark, sf_dir):
+    """What one epoch reports to have written, and what is stored."""
+    batch = cards.raw_fields(
+        cards.card_events(spark, sf_dir).filter(F.col("source") == "stream")
     )
-    return spark.read.schema(schema).parquet(out)
+    store = TableStore(spark, work_dir(spark, "tables"))
+    writer = MicroBatchWriter(store, "counted")
+    writer(batch, 0)
+    return spark.createDataFrame(list(writer.last_counts.items()), "counter string, value long")
+
+
+# Topics
+
+
+def _topic(spark: SparkSession, root: str, name: str) -> DataFrame:
+    schema = "key string, value string, batch_id string"
+    return spark.read.schema(schema).json(f"{root}/{name}")
+
+
+@query
+def topic_messages(spark, sf_dir):
+    """Enriched events and alerts as the stream sends them, read back from their topics."""
+    root = work_dir(spark, "topics")
+    messages = files.to_messages(_stream_payload(spark, sf_dir))
+    _run_stream(messages, spark, topics=json_topics(root))
+    found = [
+        _topic(spark, root, topic).select(
+            F.lit(topic).alias("topic"),
+            "key",
+            F.get_json_object("value", "$.trans_num").alias("trans_num"),
+            F.get_json_object("value", "$.alert_reason").alias("alert_reason"),
+        )
+        for topic in (ENRICHED_TOPIC, ALERT_TOPIC)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def dlq_pipeline(spark, sf_dir):
+    """Depth and action over the dead letters that a damaged stream has sent."""
+    root = work_dir(spark, "topics")
+    lines = cards.table_stream(spark, sf_dir, "lineitem")
+    messages = _damaged_messages(cards.card_events(spark, sf_dir, lines))
+    _run_stream(messages, spark, topics=json_topics(root))
+    sent = dead_letters.as_log(_topic(spark, root, DEAD_LETTER_TOPIC), DEAD_LETTER_TOPIC)
+    return dead_letters.depth_status(rates.topic_depth(rates.offset_ranges(sent)))
+
+
+@query
+def replay_order(spark, sf_dir):
+    """Replay files as they lie: whether time ever falls within a file, and where files overlap."""
+    path = work_dir(spark, "replay")
+    payload = cards.raw_fields(cards.card_events(spark, sf_dir))
+    files.write_replay(payload, path)
+    moment = F.get_json_object("value", "$.unix_time").cast("long")
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), moment.alias("at")
+    )
+    within = Window.partitionBy("file", F.col("at") - F.pmod("at", F.lit(86400))).orderBy("line")
+    falls = lines.withColumn("falls", F.lag("at").over(within) > F.col("at"))
+    spans = lines.groupBy("file").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    follow = Window.orderBy("first", "last")  # one row per file
+    overlap = spans.withColumn("overlap", F.lag("last").over(follow) > F.col("first"))
+    measures = (
+        lines.agg(F.count("*").alias("value")).withColumn("measure", F.lit("messages")),
+        falls.agg(F.count_if("falls").alias("value")).withColumn("measure", F.lit("falls")),
+        overlap.agg(F.count_if("overlap").alias("value")).withColumn("measure", F.lit("overlaps")),
+    )
+    return reduce(DataFrame.unionByName, measures).select("measure", "value")
+
+
+@query
+def message_keys(spark, sf_dir):
+    """Keys of messages, of which some have no transaction number: those get a hash of the row."""
+    spoiled = cards.unique_events(spark, sf_dir).withColumn(
+        "trans_num", F.when(F.hour("trans_at") != 7, F.col("trans_num"))
+    )
+    messages = files.to_messages(cards.raw_fields(spoiled))
+    number = F.get_json_object("value", "$.trans_num")
+    return messages.agg(
+        F.count("*").alias("messages"),
+        F.count_if(F.col("key") == number).alias("by_number"),
+        F.count_if(number.isNull() & F.col("key").isNotNull()).alias("by_hash"),
+        F.count_if(F.col("key").isNull()).alias("without_key"),
+        F.count_distinct("key").alias("keys"),
+    )
+
+
+@query
+def payload_defaults(spark, sf_dir):
+    """CSV rows with absent columns, nulls and text that is no number, as payload, by outcome."""
+    spoiled = cards.raw_fields(cards.unique_events(spark, sf_dir)).drop("city_pop", "produced_at")
+    hour = F.expr("int(substr(trans_date_trans_time, 12, 2))")
+    text = spoiled.withColumns(
+        {
+            "amt": F.when(hour == 3, F.lit("abc")).otherwise(F.col("amt").cast("string")),
+            "lat": F.when(hour != 4, F.col("lat")).cast("string"),
+        }
+    )
+    payload = files.to_payload(text)
+    judged = events.judge(payload)
+    return judged.groupBy(F.coalesce("_dlq_reason", F.lit("accepted")).alias("outcome")).agg(
+        F.count("*").alias("rows"), F.sum("city_pop").alias("city_pop")
+    )
+
+
+@query
+def consumer_progress(spark, sf_dir):
+    """Lag per topic partition from a stored progress report of three sources."""
+    found = rates.offset_ranges(_log(spark, sf_dir)).collect()  # one row per topic partition
+    sources = []
+    for share, name in ((1, "all"), (2, "half"), (3, "third")):
+        latest: dict[str, dict[str, int]] = {}
+        ends: dict[str, dict[str, int]] = {}
+        for row in found:
+            latest.setdefault(row.topic, {})[str(row.partition)] = row.end_offset
+            ends.setdefault(row.topic, {})[str(row.partition)] = row.end_offset // share
+        sources.append({"description": name, "endOffset": ends, "latestOffset": json.dumps(latest)})
+    path = work_dir(spark, "progress")
+    report = json.dumps({"sources": sources})
+    spark.createDataFrame([(report,)], "value string").write.text(path)
+    stored = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    return job.consumer_lag(spark, stored)
+
+
+@query
+def panel_from_store(spark, sf_dir):
+    """Panels over marts that were written once."""
+    store = TableStore(spark, work_dir(spark, "marts"))
+    summary = store.overwrite("mart_fraud_summary", _summary(spark, sf_dir))
+    profiles = store.overwrite("mart_customer_360", _profiles(spark, sf_dir))
+
+    def one(panel: str, value: DataFrame) -> DataFrame:
+        number = F.col(value.columns[0]).cast("double").alias("value")
+        return value.select(F.lit(panel).alias("panel"), number)
+
+    parts = (
+        one("total_transactions", panels.total_transactions(summary)),
+        one("total_fraud", panels.total_fraud(summary)),
+        one("fraud_rate", panels.fraud_rate(summary)),
+        one("average_fraud_amount", panels.average_fraud_amount(summary)),
+        one("stream_events", panels.stream_events(summary)),
+        one("customers", profiles.filter("customer_id is not null").agg(F.count("*"))),
+    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Batch jobs from CSV
 
 
-def _load_csv(spark: SparkSession, sf_dir: str) -> tuple[TableStore, jobs.LoadCounts]:
+def _load_csv(
+    spark: SparkSession, sf_dir: str, gender: Column | None = None
+) -> tuple[TableStore, jobs.LoadCounts]:
     path = work_dir(spark, "csv")
     batch = cards.card_events(spark, sf_dir).filter(F.col("source") == "batch")
+    if gender is not None:
+        batch = batch.withColumn("gender", gender)
     cards.raw_fields(batch).drop("produced_at").write.option("header", True).csv(path)
     store = TableStore(spark, work_dir(spark, "tables"))
     now = F.lit("2002-01-01").cast("timestamp")
@@ -741,6 +918,14 @@ def load_counters(spark, sf_dir):
     return spark.createDataFrame(rows, "counter string, value long")
 
 
+@query
+def load_unresolved(spark, sf_dir):
+    """A load in which some customers are rejected, so that their transactions find none."""
+    gender = F.when(F.col("cc_num") % 11 == 0, "X").otherwise(F.col("gender"))
+    _, counts = _load_csv(spark, sf_dir, gender)
+    return spark.createDataFrame(list(counts.as_dict().items()), "counter string, value long")
+
+
 @query
 def batch_load_transactions(spark, sf_dir):
     store, _ = _load_csv(spark, sf_dir)

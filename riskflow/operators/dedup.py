@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_wins(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def first_wins(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], *, rare_repeats: bool = False
+) -> DataFrame:
     """One row per key: the earliest by ``order_by``, remaining columns break ties.
 
     ``min`` over a struct merges on the map side, so a key holding most of the rows leaves each
-    task as one candidate row, and no group is ever sorted or gathered in one place.
+    task as one candidate row. A struct has no place in a hash table of fixed width, so each task
+    sorts its rows by key before it merges them, before and after the exchange. Where keys hardly
+    repeat the first of these sorts is for nothing: with ``rare_repeats`` rows are exchanged as
+    they are and sorted once.
     """
+    if rare_repeats:
+        df = df.repartition(*keys)
     lead = [name for name in order_by if name not in keys]
     rest = [name for name in df.columns if name not in keys and name not in lead]
     if not lead and not rest:

@@ -99,48 +99,51 @@ MART_CHECKS = _checks(
 ALL_CHECKS = STAGING_CHECKS + INTERMEDIATE_CHECKS + CORE_CHECKS + MART_CHECKS
 
 
-def _row_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row tests of one model in a single aggregate, turned into one row per test."""
-    counts = df.agg(
-        *[F.count_if(check.broken()).alias(f"c{i}") for i, check in enumerate(checks)]
-    )
-    rows = [
+def _model_tests(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All tests of one model in one pass, as one row per test.
+
+    Rows are grouped by the first unique key, which adds up the failed row tests on the way; a further
+    unique key groups once more. Counts combine on the map side, so hot keys stay cheap.
+    """
+    rows = [c for c in checks if c.test != "unique"]
+    keys = [c for c in checks if c.test == "unique"]
+    failed = [F.sum(F.when(c.broken(), 1).otherwise(0)).alias(f"r{i}") for i, c in enumerate(rows)]
+    if keys:
+        per_key = df.groupBy(F.col(keys[0].column).alias("key")).agg(F.count("*").alias("n"), *failed)
+        repeated = F.count_if(F.col("key").isNotNull() & (F.col("n") > 1)).alias("u0")
+        failed = [F.coalesce(F.sum(f"r{i}"), F.lit(0)).alias(f"r{i}") for i in range(len(rows))]
+        counts = per_key.agg(repeated, *failed)
+    else:
+        counts = df.agg(*[F.coalesce(f, F.lit(0)).alias(f"r{i}") for i, f in enumerate(failed)])
+    named = [(f"r{i}", c) for i, c in enumerate(rows)] + [("u0", c) for c in keys[:1]]
+    found = _as_rows(counts, named)
+    for check in keys[1:]:
+        again = df.filter(F.col(check.column).isNotNull()).groupBy(check.column).count()
+        repeated = again.agg(F.count_if(F.col("count") > 1).alias("u0"))
+        found = found.unionByName(_as_rows(repeated, [("u0", check)]))
+    return found
+
+
+def _as_rows(counts: DataFrame, named: Sequence[tuple[str, Check]]) -> DataFrame:
+    """The columns of a one-row result as a row for each check."""
+    tests = [
         F.struct(
             F.lit(check.model).alias("model"),
             F.lit(check.column).alias("column_name"),
             F.lit(check.test).alias("test"),
-            F.col(f"c{i}").alias("failures"),
+            F.col(name).cast("long").alias("failures"),
         )
-        for i, check in enumerate(checks)
+        for name, check in named
     ]
-    return counts.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
-
-
-def _unique_test(df: DataFrame, check: Check) -> DataFrame:
-    """Number of repeated keys; the count combines on the map side, so hot keys stay cheap."""
-    repeated = (
-        df.filter(F.col(check.column).isNotNull())
-        .groupBy(check.column)
-        .agg(F.count("*").alias("rows"))
-        .filter("rows > 1")
-    )
-    return repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.test).alias("test"),
-        "failures",
-    )
+    return counts.select(F.explode(F.array(*tests)).alias("row")).select("row.*")
 
 
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: model, column_name, test, failures."""
-    parts = []
-    for model in dict.fromkeys(check.model for check in checks):
-        own = [check for check in checks if check.model == model]
-        row_tests = [check for check in own if check.test != "unique"]
-        if row_tests:
-            parts.append(_row_tests(models[model], row_tests))
-        parts += [_unique_test(models[model], c) for c in own if c.test == "unique"]
+    parts = [
+        _model_tests(models[model], [check for check in checks if check.model == model])
+        for model in dict.fromkeys(check.model for check in checks)
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -24,49 +24,41 @@ def windowed_rate(events: DataFrame, at: str, seconds: int = SAMPLE_SECONDS) ->
 
 
 def offset_samples(log: DataFrame, seconds: int = SAMPLE_SECONDS) -> DataFrame:
-    """End offset of each topic at every scrape tick that saw messages.
+    """First and end offset of each topic partition at every scrape tick that saw messages.
 
-    ``log`` has topic, offset and timestamp, with offsets that count over the whole topic.
+    ``log`` has topic, partition, offset and timestamp; offsets count within a partition.
     """
     tick = F.window("timestamp", f"{seconds} seconds").getField("end")
-    return log.groupBy("topic", tick.alias("sampled_at")).agg(
-        (F.max("offset") + 1).alias("end_offset")
+    return log.groupBy("topic", "partition", tick.alias("sampled_at")).agg(
+        F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("end_offset")
     )
 
 
-def sampled_rate(samples: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Offset growth per second between successive samples of a key; the first sample has 0.
+def sampled_rate(samples: DataFrame) -> DataFrame:
+    """Growth of a topic's end offsets, summed over its partitions, between successive ticks.
 
-    A plain ``lag`` over the key would put all samples of a busy topic into one task. Windows here
-    cover one day of one key; a day's first sample continues from the last sample of the key's
-    previous day, found in a summary of one row per key and day.
+    A partition that appears later counts from its first offset; the first tick of a topic has
+    rate 0. Samples are one row per partition and tick, so a window over one partition grows with
+    time (5,760 rows a day), not with the number of messages.
     """
-    keys = keys or ["topic"]
-    dated = samples.withColumn("_day", F.to_date("sampled_at"))
-    within_day = Window.partitionBy(*keys, "_day").orderBy("sampled_at")
-    days = Window.partitionBy(*keys).orderBy("_day")
-    mark = F.struct("sampled_at", "end_offset")
-    carried = (
-        dated.groupBy(*keys, "_day")
-        .agg(F.max(mark).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(days))
-        .drop("_last")
+    of_partition = Window.partitionBy("topic", "partition").orderBy("sampled_at")
+    so_far = of_partition.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = samples.select(
+        "topic",
+        "partition",
+        "sampled_at",
+        F.max("end_offset").over(so_far).alias("end_offset"),
+        F.min("first_offset").over(so_far).alias("first_offset"),
     )
-    local = dated.withColumn("_local", F.lag(mark).over(within_day))
-    previous = F.coalesce("_local", "_carried")
-    elapsed = F.unix_micros("sampled_at") - F.unix_micros(F.col("_previous.sampled_at"))
-    growth = F.col("end_offset") - F.col("_previous.end_offset")
-    rate = F.try_divide(growth * F.lit(1_000_000.0), F.when(elapsed > 0, elapsed))
-    return (
-        local.join(carried, [*keys, "_day"])
-        .withColumn("_previous", previous)
-        .select(
-            *keys,
-            "sampled_at",
-            "end_offset",
-            F.coalesce(rate, F.lit(0.0)).alias("events_per_second"),
-        )
+    before = F.coalesce(F.lag("end_offset").over(of_partition), "first_offset")
+    grown = reached.select(
+        "topic", "sampled_at", (F.col("end_offset") - before).alias("messages")
     )
+    ticks = grown.groupBy("topic", "sampled_at").agg(F.sum("messages").alias("messages"))
+    previous = F.lag("sampled_at").over(Window.partitionBy("topic").orderBy("sampled_at"))
+    elapsed = F.unix_micros("sampled_at") - F.unix_micros(previous)
+    rate = F.col("messages") * F.lit(1_000_000.0) / elapsed
+    return ticks.withColumn("events_per_second", F.coalesce(rate, F.lit(0.0)))
 
 
 def offset_ranges(log: DataFrame) -> DataFrame:

@@ -9,16 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.operators import quality
-from riskflow.operators.counters import RowCounter
-from riskflow.operators.dedup import insert_if_absent
-from riskflow.operators.keys import resolve_keys, surrogate_key
+from riskflow.operators.dedup import first_wins, insert_if_absent
+from riskflow.operators.keys import resolve_keys, surrogate_key, unresolved_keys
 from riskflow.plans import marts, staging, star
-from riskflow.session import work_dir
+from riskflow.session import remove_dir, work_dir
 from riskflow.sources import files
 from riskflow.sources.tables import TableStore, save_as_table
 from riskflow.streaming.dead_letters import to_dead_letters
 
 SOURCE = "batch"
+UNRESOLVED = "key not resolved"
 TRANSACTION_ORDER = ["unix_time", "trans_at", "amount", "is_fraud"]
 
 
@@ -93,13 +93,19 @@ def batch_load(
     """Customers, then merchants, then transactions of one CSV.
 
     The text is parsed once; each load then scans its own columns. Stored rows always win over new
-    ones, and earlier rows over later ones. Rows that break a table constraint go to the dead
-    letters. Running the same ``load_id`` again leaves the same tables; another id for the same
+    ones, and earlier rows over later ones. Rows that break a table constraint, and transactions
+    whose customer or merchant is not stored, go to the dead letters. Running the same ``load_id`` again leaves the same tables; another id for the same
     file inserts nothing.
     """
     now = F.current_timestamp() if now is None else now
     landing = work_dir(store.spark, "landing")
-    events = files.land(files.read_csv_events(store.spark, csv_path), landing)
+    try:
+        return _load(store, files.land(files.read_csv_events(store.spark, csv_path), landing), load_id, now)
+    finally:
+        remove_dir(store.spark, landing)
+
+
+def _load(store: TableStore, events: DataFrame, load_id: str, now: Column) -> LoadCounts:
     counts = LoadCounts()
     order = list(files.ORDER_COLUMNS)
 
@@ -116,27 +122,28 @@ def batch_load(
         store, "merchants", merchants, ["merchant_name"], order, load_id
     )
 
-    scanned = RowCounter(files.scan_transactions(events))
-    resolved = RowCounter(
-        resolve_keys(scanned.counted, store.read("customers"), store.read("merchants"))
-    )
+    scanned = files.scan_transactions(events)
+    known = store.read("customers"), store.read("merchants")
     valid, bad_transactions = quality.split_by_violation(
-        transaction_rows(resolved.counted, now), quality.transaction_violation()
+        transaction_rows(resolve_keys(scanned, *known), now), quality.transaction_violation()
     )
     counts.transactions_attempted, counts.transactions_inserted = _insert(
         store, "transactions", valid, ["trans_id"], TRANSACTION_ORDER, load_id
     )
-    counts.transactions_unresolved = scanned.value() - resolved.value()
-
-    bad_transactions = bad_transactions.withColumnRenamed("trans_id", "trans_num")
-    rejected = RowCounter(
-        reduce(
-            DataFrame.unionByName,
-            map(to_dead_letters, (bad_customers, bad_merchants, bad_transactions)),
-        )
-    )
-    store.publish("dead_letters", rejected.counted, load_id, SOURCE)
-    counts.rows_rejected = rejected.value()
+
+    unresolved = unresolved_keys(scanned, *known)
+    letters = [
+        *map(to_dead_letters, (bad_customers, bad_merchants)),
+        to_dead_letters(bad_transactions.withColumnRenamed("trans_id", "trans_num")),
+        to_dead_letters(unresolved, F.lit(UNRESOLVED)),
+    ]
+    store.publish("dead_letters", reduce(DataFrame.unionByName, letters), load_id, SOURCE)
+    stored = store.read("dead_letters", with_batch_id=True).filter(F.col("batch_id") == load_id)
+    missing = F.col("_dlq_reason") == UNRESOLVED
+    found = stored.agg(
+        F.count_if(missing).alias("unresolved"), F.count_if(~missing).alias("rejected")
+    ).first()
+    counts.transactions_unresolved, counts.rows_rejected = found
     return counts
 
 
@@ -148,13 +155,20 @@ def _insert(
     order: list[str],
     load_id: str,
 ) -> tuple[int, int]:
-    """Insert-if-absent with the number of rows attempted and inserted, without extra passes."""
-    attempted = RowCounter(rows)
-    inserted = RowCounter(
-        insert_if_absent(attempted.counted, store.read_others(name, load_id), keys, order)
-    )
-    store.publish(name, inserted.counted, load_id, SOURCE)
-    return attempted.value(), inserted.value()
+    """Insert-if-absent with the number of rows attempted and inserted.
+
+    Both are counts of what is stored (the landed rows, the rows of this load), so they hold when
+    lost tasks are run again. Transactions are looked up by hash directory, see ``TableStore.unseen``.
+    """
+    if name == "transactions":
+        fresh = store.unseen(name, first_wins(rows, keys, order), keys[0], load_id)
+    else:
+        fresh = insert_if_absent(rows, store.read_others(name, load_id), keys, order)
+    store.publish(name, fresh, load_id, SOURCE)
+    if name == "transactions":
+        own = store.spark.read.parquet(store.batch_path(name, load_id, SOURCE))
+        store.publish_keys(name, own.select(keys[0]), load_id)
+    return rows.count(), store.count(name, load_id, SOURCE)
 
 
 def staged(store: TableStore, as_of: Column | None = None) -> dict[str, DataFrame]:

@@ -128,8 +128,11 @@ def rate_by_age_and_job(profiles: DataFrame) -> DataFrame:
 
 
 def precision_recall(scored: DataFrame) -> DataFrame:
-    """Confusion counts of the score rule against the label, with both rates."""
-    flagged = F.col("risk_score") >= 0.7
+    """Confusion counts of the score rule against the label, with both rates.
+
+    An event without a score is not flagged.
+    """
+    flagged = F.coalesce(F.col("risk_score") >= 0.7, F.lit(False))
     actual = F.col("is_fraud") == 1
 
     def count_if(condition, name):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +16,6 @@ from riskflow.operators.keys import lookup
 
 # The spine of the original calendar.
 SPINE_START, SPINE_END = "2019-01-01", "2021-12-31"
-BROADCAST_DAYS = 100_000  # about 270 years of calendar rows, a few MB
 
 CUSTOMER_CONTEXT = {
     "full_name": "customer_name",
@@ -139,15 +136,12 @@ def fact_transactions(base: DataFrame, start: str, end: str) -> DataFrame:
     """Facts keyed to the calendar; days outside the spine get a NULL ``date_id``.
 
     ``base`` needs only staged transaction columns: the customer and merchant joins neither add
-    nor drop rows, so the fact table skips them. The calendar is broadcast only up to a fixed
-    number of days; a longer one is left to the optimizer.
+    nor drop rows, so the fact table skips them. How the calendar is joined is left to the
+    optimizer, which knows its size.
     """
     calendar = dim_date(date_spine(base.sparkSession, start, end)).select(
         "date_id", "full_date"
     )
-    span = (date.fromisoformat(end) - date.fromisoformat(start)).days + 1
-    if span <= BROADCAST_DAYS:
-        calendar = F.broadcast(calendar)
     return base.join(calendar, F.to_date("trans_at") == F.col("full_date"), "left").select(
         "trans_id",
         "customer_id",

@@ -9,6 +9,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
+# The fields of the event payload and the columns of the stored tables.
 RAW_EVENT = _struct(
     trans_num=T.StringType(),
     trans_date_trans_time=T.StringType(),

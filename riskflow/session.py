@@ -45,12 +45,19 @@ def build_session(
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to the machine's own temporary folder.
+    Only a local master, whose executor is the driver, may fall back to a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="riskflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a scratch directory on whatever file system it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,11 +11,12 @@ from riskflow.schemas import RAW_EVENT
 
 # The columns each load reads from the transaction CSV.
 CUSTOMER_COLUMNS = (
-    "cc_num first last gender dob job street city state zip lat long city_pop".split()
+    "cc_num", "first", "last", "gender", "dob", "job", "street", "city", "state", "zip", "lat", "long",
+    "city_pop",
 )
-MERCHANT_COLUMNS = "merchant category merch_lat merch_long".split()
+MERCHANT_COLUMNS = ("merchant", "category", "merch_lat", "merch_long")
 TRANSACTION_COLUMNS = (
-    "trans_num trans_date_trans_time unix_time amt is_fraud cc_num merchant".split()
+    "trans_num", "trans_date_trans_time", "unix_time", "amt", "is_fraud", "cc_num", "merchant",
 )
 ORDER_COLUMNS = ("unix_time", "trans_num")
 
@@ -60,7 +61,11 @@ def scan_transactions(events: DataFrame) -> DataFrame:
 
 
 def to_payload(rows: DataFrame, produced_at=None) -> DataFrame:
-    """Rows to the 23 typed payload fields: numbers default to 0, dates and zip are text."""
+    """Rows to the 23 typed payload fields; dates and zip are text.
+
+    A number that the rows have no column for is 0. One that is null or does not parse stays null, so
+    that :func:`riskflow.streaming.events.rejection` finds it.
+    """
     names = set(rows.columns)
     stringly = {"trans_date_trans_time", "dob", "zip"}
     produced = iso_utc(F.current_timestamp()) if produced_at is None else produced_at
@@ -69,11 +74,11 @@ def to_payload(rows: DataFrame, produced_at=None) -> DataFrame:
         if field.name == "produced_at":
             column = produced
         else:
-            column = F.col(field.name) if field.name in names else F.lit(None)
+            absent = field.name not in names
+            text = isinstance(field.dataType, T.StringType)
+            column = F.lit(None if text else 0) if absent else F.col(field.name)
             column = column.try_cast(field.dataType)
-            if not isinstance(field.dataType, T.StringType):
-                column = F.coalesce(column, F.lit(0).cast(field.dataType))
-            elif field.name in stringly:
+            if field.name in stringly:
                 column = F.coalesce(column, F.lit("None"))
         columns.append(column.alias(field.name))
     return rows.select(*columns)

@@ -7,13 +7,23 @@ replaces it as a whole. A repeated load therefore overwrites itself and touches
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.operators.dedup import absent_from_large
 from riskflow.schemas import TABLES
+from riskflow.session import remove_dir
 
 BY_SOURCE = ("transactions",)  # tables with a source= directory level
+KEY_BUCKETS = 256
+KEY_SCHEMA = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
 
 
 class TableStore:
@@ -28,17 +38,24 @@ class TableStore:
 
     def read(self, name: str, with_batch_id: bool = False) -> DataFrame:
         """A stored table with its declared schema; empty when nothing was published yet."""
-        schema = T.StructType(
-            [*TABLES[name].fields, T.StructField("batch_id", T.StringType(), True)]
-        )
+        text = [T.StructField(n, T.StringType(), True) for n in (OF_BATCH, "batch_id")]
+        df = self._scan(self.path(name), T.StructType([*TABLES[name].fields, *text]))
+        replaced = self._replaced(name)
+        if replaced:
+            # A compaction that has not removed its old directories yet.
+            df = df.filter(~F.col("batch_id").isin(replaced))
+        columns = [field.name for field in TABLES[name].fields]
+        named = F.coalesce(OF_BATCH, "batch_id").alias("batch_id")
+        return df.select(*columns, *([named] if with_batch_id else []))
+
+    def _scan(self, path: str, schema: T.StructType) -> DataFrame:
+        """What is stored below ``path``; empty when nothing was published yet."""
         try:
-            df = self.spark.read.schema(schema).parquet(self.path(name))
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            df = self.spark.createDataFrame([], schema)
-        columns = [field.name for field in schema.fields]
-        return df.select(*(columns if with_batch_id else columns[:-1]))
+            return self.spark.createDataFrame([], schema)
 
     def read_others(self, name: str, batch_id: str) -> DataFrame:
         """The table without the rows of one batch; a partition filter, not a row filter."""
@@ -60,6 +77,99 @@ class TableStore:
         )
         typed.write.mode("overwrite").parquet(self.batch_path(name, batch_id, source))
 
+    def count(self, name: str, batch_id: str, source: str) -> int:
+        """Rows that a batch has stored, from the footers of its own files."""
+        return self.spark.read.parquet(self.batch_path(name, batch_id, source)).count()
+
+    # Keys: a narrow twin of a table's key column in directories by hash, written with the table.
+
+    def _key_path(self, name: str) -> str:
+        return f"{self.root}/_keys_{name}"
+
+    def publish_keys(self, name: str, keys: DataFrame, batch_id: str) -> None:
+        """Replace the keys of ``batch_id`` with the one column of ``keys``."""
+        key = F.col(keys.columns[0]).cast("string")
+        rows = keys.select(key.alias("key"), _bucket(key).alias("bucket"))
+        path = f"{self._key_path(name)}/batch_id={batch_id}"
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+    def unseen(self, name: str, new: DataFrame, key: str, batch_id: str) -> DataFrame:
+        """Rows of ``new`` whose key no other batch has stored.
+
+        Only the hash directories that occur in ``new`` are read. Stored keys are first cut down to
+        those that occur in ``new``: where that fits a broadcast the stored side stays in place.
+        """
+        hashed = _bucket(F.col(key).cast("string"))
+        # KEY_BUCKETS numbers at most.
+        buckets = [row[0] for row in new.select(hashed).distinct().collect()]
+        stored = self._scan(self._key_path(name), KEY_SCHEMA)
+        stored = stored.filter(F.col("bucket").isin(buckets) & (F.col("batch_id") != batch_id))
+        keys = stored.select(F.col("key").cast(new.schema[key].dataType).alias(key))
+        return absent_from_large(new, keys, [key])
+
+    def compact_keys(self, name: str, batch_ids: list[str], period: str) -> None:
+        """Merge the key directories of closed batches into that of ``period``.
+
+        Stopped half way and run again it may store a key twice, which a lookup reads as one.
+        """
+        stored = self._scan(self._key_path(name), KEY_SCHEMA)
+        merged = stored.filter(F.col("batch_id").isin(batch_ids)).select("key", "bucket")
+        path = f"{self._key_path(name)}/batch_id={period}"
+        one_each = merged.repartition("bucket").sortWithinPartitions("bucket", "key")
+        one_each.write.mode("append").partitionBy("bucket").parquet(path)
+        for batch_id in batch_ids:
+            remove_dir(self.spark, f"{self._key_path(name)}/batch_id={batch_id}")
+
+    # Compaction: the batches of a closed period in one directory that keeps each row's batch.
+
+    def compact(self, name: str, batch_ids: list[str], source: str, period: str) -> None:
+        """Merge the directories of closed batches into that of ``period``.
+
+        The merged rows are written first, then the note that they replace the old directories,
+        then these go. Stopped anywhere, it can be run again, and readers see every row once: before
+        the note they skip the merged directory, after it the old ones.
+        """
+        note, merged_path = self._note(name, period), self.batch_path(name, period, source)
+        begun = _exists(self.spark, f"{note}.plan") or _exists(self.spark, note)
+        if not begun and _exists(self.spark, merged_path):
+            return
+        if not _exists(self.spark, note):
+            rows = self.read(name, with_batch_id=True).filter(F.col("batch_id").isin(batch_ids))
+            rows = rows.withColumnRenamed("batch_id", OF_BATCH)
+            if name in BY_SOURCE:
+                rows = rows.filter(F.col("source") == source).drop("source")
+            # One file for some hundred megabytes: AQE sizes the partitions of a rebalance.
+            merged = rows.hint("rebalance")
+            self._write_text(f"{note}.plan", [period])
+            merged.write.mode("overwrite").parquet(merged_path)
+            self._write_text(note, batch_ids)
+        for batch_id in batch_ids:
+            remove_dir(self.spark, self.batch_path(name, batch_id, source))
+        for done in (f"{note}.plan", note):
+            remove_dir(self.spark, done)
+
+    def _note(self, name: str, period: str) -> str:
+        return f"{self.root}/_compacted/{name}/{period}"
+
+    def _write_text(self, path: str, lines: list[str]) -> None:
+        rows = self.spark.createDataFrame([(line,) for line in lines], "value string")
+        rows.coalesce(1).write.mode("overwrite").text(path)
+
+    def _replaced(self, name: str) -> list[str]:
+        """Directories to pass over: merged ones not noted yet, old ones that a note replaces.
+
+        Only compactions under way have notes, so the list is as long as their periods are.
+        """
+        folder = f"{self.root}/_compacted/{name}"
+        skipped: list[str] = []
+        for note in _children(self.spark, folder):
+            lines = [row[0] for row in self.spark.read.text(f"{folder}/{note}").collect()]
+            if not note.endswith(".plan"):
+                skipped += lines
+            elif not _exists(self.spark, f"{folder}/{note.removesuffix('.plan')}"):
+                skipped += lines
+        return skipped
+
     def retract(self, name: str, batch_id: str, source: str) -> None:
         """Empty what a failed batch left behind, so no row is both stored and dead-lettered."""
         empty = self.spark.createDataFrame([], TABLES[name])
@@ -71,6 +181,32 @@ class TableStore:
         return self.spark.read.parquet(self.path(name))
 
 
+OF_BATCH = "_of_batch"  # in compacted directories: the batch of each row
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a directory was written to its end."""
+    files, target = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(target)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    files, target = _folder(spark, path)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return [name for name in names if _exists(spark, f"{path}/{name}")]
+
+
 def save_as_table(rows: DataFrame, database: str, name: str) -> None:
     """Full rebuild of a catalog table; the database name is used as given."""
     rows.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions import iso_utc, row_as_json, threshold_band
@@ -11,7 +11,6 @@ from riskflow.streaming.events import CORRUPT
 
 PEEK_ROWS = 20
 DEPTH_THRESHOLD = 0
-REASON_LIMIT = 1_000  # an exception text may carry a whole query plan
 
 
 def to_dead_letters(
@@ -39,7 +38,7 @@ def to_dead_letters(
 
 
 def failure_reason(error: Exception) -> Column:
-    return F.lit(f"{type(error).__name__}: {error}"[:REASON_LIMIT])
+    return F.lit(f"{type(error).__name__}: {error}")
 
 
 def peek(dead_letters: DataFrame, *order: str, limit: int = PEEK_ROWS) -> DataFrame:
@@ -52,3 +51,19 @@ def depth_status(depth: DataFrame, threshold: int = DEPTH_THRESHOLD) -> DataFram
     action = F.when(F.col("depth") > threshold, "alert_team").otherwise("no_action")
     band = threshold_band(F.col("depth"), DEAD_LETTER_STEPS)
     return depth.withColumns({"action": action, "band": band})
+
+
+def as_log(messages: DataFrame, topic: str) -> DataFrame:
+    """Messages of a file topic with the offsets that a broker would give them.
+
+    A partition holds the messages of one file directory (``batch_id``); numbers need no order among
+    epochs, so they are counted within each.
+    """
+    within = Window.partitionBy("batch_id").orderBy("key", "value")
+    partition = F.pmod(F.hash("batch_id"), F.lit(1 << 20))
+    return messages.select(
+        F.lit(topic).alias("topic"),
+        partition.alias("partition"),
+        (F.row_number().over(within) - 1).cast("long").alias("offset"),
+        "value",
+    )

@@ -15,7 +15,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
 def open_oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:

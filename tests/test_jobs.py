@@ -97,6 +97,7 @@ def test_bad_rows_are_dead_lettered(spark, store, tmp_path):
         "amount is null",
         "gender not in (M, F)",
         "is_fraud not in (0, 1)",
+        "key not resolved",
         "trans_at is null",
     ]
     assert counts.rows_rejected == 4 and counts.transactions_unresolved == 1

@@ -152,18 +152,99 @@ def test_stored_batch_rows_win_over_stream_rows(spark, store):
     row = frame(spark, [event("a")])
     loaded = events.transaction_rows(events.with_event_time(row), F.current_timestamp())
     store.publish("transactions", loaded, "load-1", "batch")
+    store.publish_keys("transactions", loaded.select("trans_id"), "load-1")
     MicroBatchWriter(store, "s")(frame(spark, [event("a", is_fraud=1), event("b")]), 0)
     stored = {(r.trans_id, r.source) for r in store.read("transactions").collect()}
     assert stored == {("a", "batch"), ("b", "stream")}
     assert ids(store, "fraud_alerts") == []
 
 
-@pytest.mark.parametrize(("days", "stored"), [(None, ["a", "b"]), (1, ["a", "b"])])
-def test_time_bound_guard_still_finds_repeated_events(spark, store, days, stored):
-    writer = MicroBatchWriter(store, "s", guard_days=days)
-    writer(frame(spark, [event("a")]), 0)
-    writer(frame(spark, [event("a"), event("b")]), 1)
-    assert ids(store, "transactions") == stored
+def test_guard_finds_a_number_that_comes_back_with_any_time(spark, store):
+    writer = MicroBatchWriter(store, "s")
+    writer(frame(spark, [event("a", trans_date_trans_time="2020-01-01 00:00:00")]), 0)
+    writer(frame(spark, [event("a", trans_date_trans_time="2024-06-01 00:00:00"), event("b")]), 1)
+    assert ids(store, "transactions") == ["a", "b"]
+
+
+def test_guard_reads_only_the_hash_directories_of_its_keys(spark, store):
+    writer = MicroBatchWriter(store, "s")
+    writer(frame(spark, [event(f"t{i}") for i in range(300)]), 0)
+    new = spark.createDataFrame([("t1",), ("x",)], "trans_num string")
+    fresh = store.unseen("transactions", new, "trans_num", "s-9")
+    files = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in files and "bucket" in files.split("PartitionFilters")[1][:200]
+    # Stored keys are cut down where they lie: an exchange stands above the join, never above the scan.
+    below = files[files.rindex("LeftSemi") :]
+    assert "BroadcastExchange" in below and "Exchange hashpartitioning" not in below.split("BroadcastExchange")[0]
+    assert [r.trans_num for r in fresh.collect()] == ["x"]
+
+
+def test_compaction_keeps_rows_batches_and_the_guard(spark, store):
+    writer = MicroBatchWriter(store, "s")
+    for epoch in range(4):
+        writer(frame(spark, [event(f"t{epoch}{i}") for i in range(3)]), epoch)
+
+    def stored():
+        return sorted((r.trans_id, r.batch_id) for r in store.read("transactions", with_batch_id=True).collect())
+
+    before, closed = stored(), ["s-0", "s-1", "s-2"]
+    for _ in range(2):  # safe to repeat
+        store.compact("transactions", closed, "stream", "period-1")
+        store.compact_keys("transactions", closed, "period-1")
+        assert stored() == before
+    from pathlib import Path
+
+    folders = sorted(p.name for p in Path(store.path("transactions"), "source=stream").iterdir() if p.is_dir())
+    assert folders == ["batch_id=period-1", "batch_id=s-3"]
+    writer(frame(spark, [event("t00"), event("new")]), 9)
+    assert ids(store, "transactions") == sorted([i for i, _ in before] + ["new"])
+
+
+@pytest.mark.parametrize("stopped_at", ["plan", "note"])
+def test_compaction_that_stops_half_way_shows_every_row_once(spark, store, stopped_at, monkeypatch):
+    from riskflow.sources import tables
+
+    writer = MicroBatchWriter(store, "s")
+    for epoch in range(2):
+        writer(frame(spark, [event(f"t{epoch}")]), epoch)
+    write, real = store._write_text, tables.remove_dir
+
+    def fail(*_):
+        raise OSError("stopped")
+
+    def write_plan_only(path, lines):
+        return write(path, lines) if path.endswith(".plan") else fail()
+
+    with monkeypatch.context() as patch:
+        if stopped_at == "plan":
+            patch.setattr(store, "_write_text", write_plan_only)
+        else:
+            patch.setattr(tables, "remove_dir", fail)
+        with pytest.raises(OSError):
+            store.compact("transactions", ["s-0", "s-1"], "stream", "p")
+    assert ids(store, "transactions") == ["t0", "t1"] and tables.remove_dir is real
+    store.compact("transactions", ["s-0", "s-1"], "stream", "p")
+    assert ids(store, "transactions") == ["t0", "t1"]
+
+
+def test_dead_letters_go_to_their_topic(spark, store, tmp_path):
+    root = str(tmp_path / "topics")
+    writer = MicroBatchWriter(store, "s", topics=sources.json_topics(root))
+    writer(frame(spark, [event("a"), event("b", amt=None)]), 0)
+    sent = spark.read.json(f"{root}/{sources.DEAD_LETTER_TOPIC}")
+    assert [r.key for r in sent.collect()] == ["b"]
+
+
+def test_late_events_count_in_their_window(spark, tmp_path):
+    inbox, out, checkpoint = (str(tmp_path / n) for n in ("inbox", "out", "checkpoint"))
+    schema = "at timestamp"
+    for times in (["2024-01-01 10:00:01", "2024-01-01 12:00:01"], ["2024-01-01 10:00:02"]):
+        rows = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("at"))
+        rows.coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        job.drain(job.rate_to(stream, "at", out, checkpoint, once=True))
+    found = {str(r.window_start): r.events for r in job.recorded_rate(spark, out).collect()}
+    assert found == {"2024-01-01 10:00:00": 2, "2024-01-01 12:00:00": 1}
 
 
 def test_unguarded_writer_leaves_repeats_to_the_state(spark, store):
@@ -220,31 +301,23 @@ def test_message_keys(spark):
 
 
 def test_payload_defaults(spark):
-    row = spark.createDataFrame([("a", None)], "trans_num string, amt double")
+    row = spark.createDataFrame([("a", None, "x1")], "trans_num string, amt double, city_pop string")
     payload = files.to_payload(row, F.lit("now"))
     assert payload.schema.names == RAW_EVENT.names
     first = payload.first()
-    assert (first.amt, first.cc_num, first.is_fraud, first.merchant) == (0.0, 0, 0, None)
+    assert (first.amt, first.city_pop) == (None, None)  # null, or no number
+    assert (first.lat, first.cc_num, first.is_fraud, first.merchant) == (0.0, 0, 0, None)  # absent
     assert (first.zip, first.dob, first.produced_at) == ("None", "None", "now")
 
 
-def test_keyed_state_remembers_across_epochs(spark, tmp_path):
-    inbox, out, checkpoint = (str(tmp_path / n) for n in ("inbox", "out", "checkpoint"))
+def test_first_seen_keys_are_remembered_across_epochs(spark, store, tmp_path):
+    inbox, checkpoint = str(tmp_path / "inbox"), str(tmp_path / "checkpoint")
     for rows in ([event("a"), event("a"), event("b")], [event("b"), event("c")]):
         frame(spark, rows).coalesce(1).write.mode("append").json(inbox)
         stream = sources.read_raw(spark, "json", inbox, maxFilesPerTrigger="1")
-        job.drain(job.append_to(job.drop_repeats(stream), out, checkpoint, once=True))
-    assert sorted(r.trans_num for r in spark.read.json(inbox).collect()) == list("aabbc")
-    assert sorted(r.trans_num for r in spark.read.parquet(out).collect()) == list("abc")
-
-
-def test_keyed_state_with_a_watermark(spark, tmp_path):
-    inbox, out, checkpoint = (str(tmp_path / n) for n in ("inbox", "out", "checkpoint"))
-    frame(spark, [event("a"), event("a"), event("b")]).write.json(inbox)
-    stream = events.with_event_time(sources.read_raw(spark, "json", inbox))
-    kept = job.drop_repeats(stream, at="trans_at")
-    job.drain(job.append_to(kept, out, checkpoint, once=True))
-    assert sorted(r.trans_num for r in spark.read.parquet(out).collect()) == ["a", "b"]
+        job.drain(job.first_seen_to(stream, "trans_num", store, "seen", checkpoint, once=True))
+    kept = spark.read.parquet(store.path("seen")).collect()
+    assert sorted(r.trans_num for r in kept) == list("abc")
 
 
 def test_replay_files_are_in_event_order(spark, tmp_path):
