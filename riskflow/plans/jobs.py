@@ -12,7 +12,7 @@ from riskflow.operators import quality
 from riskflow.operators.dedup import first_wins, insert_if_absent
 from riskflow.operators.keys import resolve_keys, surrogate_key, unresolved_keys
 from riskflow.plans import marts, staging, star
-from riskflow.session import remove_dir, work_dir
+from riskflow.session import remove_dir, replace_dir, work_dir
 from riskflow.sources import files
 from riskflow.sources.tables import TableStore, save_as_table
 from riskflow.streaming.dead_letters import to_dead_letters
@@ -40,9 +40,9 @@ class LoadCounts:
 
 
 def customer_rows(events: DataFrame, created_at: Column) -> DataFrame:
-    """Card-holder rows under table names, with their surrogate key and arrival columns."""
+    """Card-holder rows under table names, keyed by card number, with their arrival columns."""
     return events.select(
-        surrogate_key("cc_num").alias("customer_id"),
+        F.col("cc_num").alias("customer_id"),
         "cc_num",
         F.col("first").alias("first_name"),
         F.col("last").alias("last_name"),
@@ -194,17 +194,19 @@ def refresh_warehouse(
 ) -> dict[str, DataFrame]:
     """Staging views, their tests, the rest of the models, all tests; stop at a failed gate.
 
-    Marts are written before the final tests and tested as stored. The staging tests are part of
-    "all tests" but their input did not change, so their first report is kept. With a ``database``
-    the marts become catalog tables of it, otherwise Parquet directories of ``warehouse``.
+    The joined view and the marts are written beside the current ones, tested as stored, and take
+    their place only when every test has passed. The staging tests are part of "all tests" but
+    their input did not change, so their first report is kept. With a ``database`` the marts become
+    catalog tables of it, otherwise Parquet directories of ``warehouse``.
     """
     models = staged(store, as_of)
     register_views(models)
     first = _gate(warehouse, "quality_staging", models, quality.STAGING_CHECKS)
 
     txns, customers, merchants = models.values()
+    following = TableStore(store.spark, f"{warehouse.root}/_next")
     stats = star.int_transaction_stats(txns, customers, merchants)
-    stats.createOrReplaceTempView("int_transaction_stats")
+    stats = following.overwrite("int_transaction_stats", stats)
     spine = star.date_spine(store.spark, *calendar)
     built = {
         "dim_customer": star.dim_customer(customers),
@@ -216,21 +218,26 @@ def refresh_warehouse(
             marts.mart_customer_360(txns, customers, merchants)
         ),
     }
-    stored = {name: _materialise(warehouse, name, df, database) for name, df in built.items()}
-    register_views(stored)
+    stored = {name: following.overwrite(name, df) for name, df in built.items()}
     rest = [check for check in quality.ALL_CHECKS if check not in quality.STAGING_CHECKS]
-    models = {**models, "int_transaction_stats": stats, **stored}
-    second = _gate(warehouse, "quality_models", models, rest)
-    return {**models, "quality_report": first.unionByName(second)}
+    second = _gate(warehouse, "quality_models", {**models, "int_transaction_stats": stats, **stored}, rest)
+    names = ["int_transaction_stats", *built]
+    current = {name: _switch(following, warehouse, name, database) for name in names}
+    register_views(current)
+    return {**models, **current, "quality_report": first.unionByName(second)}
 
 
-def _materialise(
-    warehouse: TableStore, name: str, rows: DataFrame, database: str | None
+def _switch(
+    following: TableStore, warehouse: TableStore, name: str, database: str | None
 ) -> DataFrame:
+    """Let a tested model take the place of the current one."""
+    spark = warehouse.spark
     if database is None:
-        return warehouse.overwrite(name, rows)
-    save_as_table(rows, database, name)
-    return warehouse.spark.table(f"`{database}`.`{name}`")
+        replace_dir(spark, following.path(name), warehouse.path(name))
+        return spark.read.parquet(warehouse.path(name))
+    save_as_table(spark.read.parquet(following.path(name)), database, name)
+    remove_dir(spark, following.path(name))
+    return spark.table(f"`{database}`.`{name}`")
 
 
 def _gate(

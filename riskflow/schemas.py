@@ -55,7 +55,7 @@ CUSTOMERS = _struct(
 )
 
 MERCHANTS = _struct(
-    merchant_id=T.LongType(),
+    merchant_id=T.StringType(),
     merchant_name=T.StringType(),
     category=T.StringType(),
     merch_lat=T.DoubleType(),
@@ -66,7 +66,7 @@ MERCHANTS = _struct(
 TRANSACTIONS = _struct(
     trans_id=T.StringType(),
     customer_id=T.LongType(),
-    merchant_id=T.LongType(),
+    merchant_id=T.StringType(),
     trans_at=T.TimestampType(),
     unix_time=T.LongType(),
     amount=T.DecimalType(12, 2),
@@ -76,7 +76,7 @@ TRANSACTIONS = _struct(
 )
 
 FRAUD_ALERTS = _struct(
-    alert_id=T.LongType(),
+    alert_id=T.StringType(),
     trans_id=T.StringType(),
     detected_at=T.TimestampType(),
     risk_score=T.DecimalType(5, 4),

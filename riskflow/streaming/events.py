@@ -139,7 +139,7 @@ def transaction_rows(events: DataFrame, ingested_at: Column) -> DataFrame:
     return events.select(
         F.col("trans_num").alias("trans_id"),
         no_key.alias("customer_id"),
-        no_key.alias("merchant_id"),
+        no_key.cast("string").alias("merchant_id"),
         "trans_at",
         "unix_time",
         F.col("amt").alias("amount"),
@@ -151,7 +151,7 @@ def transaction_rows(events: DataFrame, ingested_at: Column) -> DataFrame:
 
 def alert_rows(alerts: DataFrame, detected_at: Column) -> DataFrame:
     return alerts.select(
-        F.xxhash64("trans_num").alias("alert_id"),
+        F.md5(F.col("trans_num").cast("binary")).alias("alert_id"),
         F.col("trans_num").alias("trans_id"),
         detected_at.alias("detected_at"),
         "risk_score",
