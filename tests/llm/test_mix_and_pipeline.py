@@ -160,3 +160,15 @@ def test_registry_has_each_operator_once():
     for n in range(1, 11):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(queries.QUERIES) <= names
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_match_their_sql(llm, name):
+    import duckdb
+    from compare import difference
+
+    oracle = duckdb.connect()
+    oracle.execute("SET TimeZone = 'UTC'")
+    for table in ("conversations", "embeddings"):
+        oracle.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
+    assert difference(queries.QUERIES[name](llm, SMALL), oracle, queries.ORACLES[name]) is None

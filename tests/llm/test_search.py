@@ -58,7 +58,7 @@ def test_top_k_of_large_components(llm):
 def test_nearest_reaches_the_recall_and_scores_exactly(llm):
     rows = vectors(1200, 16)
     rows = [r for r in rows if r[0] is None or r[0] < 1000 or r[0] > 1199] + rows[1000:1200]
-    got = found(lp.nearest(table(llm, rows), rows_per_part=100))
+    got = found(lp.nearest(table(llm, rows), parts=12))
     want = brute(rows, 20, 20, lambda a, b: float((a * b).sum()), False)
     assert got.keys() == want.keys()
     score = {q: dict(v) for q, v in want.items()}
