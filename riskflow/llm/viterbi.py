@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +24,7 @@ from riskflow.llm.common import in_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_REMEMBERED = 500_000
+_SHORT, _REMEMBERED = 32, 400_000
 
 
 @dataclass
@@ -128,6 +129,10 @@ class Encoder(dict):
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
+        # Every beginning of a piece; those that are no piece themselves have nothing to give.
+        self.begins = {p[:k]: () for p in pieces.known for k in range(1, len(p))} | pieces.known
+        self.pairs = {pair for p in pieces.known for pair in zip(p, p[1:])}
+        self.parts: dict[str, bytes] = {}
         joined = {c for p in pieces.known if len(p) > 1 for c in p}
         if any(SPACE in p.lstrip(SPACE) for p in pieces.known):
             self.spans = re.compile(f"[{_class(joined)}]+|.", re.DOTALL) if joined else re.compile(".", re.DOTALL)
@@ -137,13 +142,49 @@ class Encoder(dict):
             self.spans = re.compile(f"{letters}{SPACE}+|.", re.DOTALL)
 
     def __missing__(self, span: str) -> bytes:
-        found = np.fromiter((i for ids in stream(span, self.pieces) for i in ids), np.int32).tobytes()
-        if len(span) <= 32:
-            if len(self) >= _REMEMBERED:
-                self.clear()
-            self[span] = found
+        if len(span) > _SHORT:
+            return np.fromiter((i for ids in stream(span, self.pieces) for i in ids), np.int32).tobytes()
+        found = b"".join(map(self._part, self._parts(span)))
+        if len(self) < _REMEMBERED:
+            self[span] = found  # common spans come early
         return found
 
+    def _parts(self, span: str) -> list[str]:
+        """The span cut between any two letters that stand side by side in no piece."""
+        pairs = self.pairs
+        cuts = [k for k, pair in enumerate(zip(span, span[1:]), 1) if pair not in pairs]
+        return [span[a:b] for a, b in zip([0, *cuts], [*cuts, len(span)])] if cuts else [span]
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            ids = self._whole(part)
+            found = struct.pack(f"<{len(ids)}i", *ids)
+            if len(self.parts) < _REMEMBERED:
+                self.parts[part] = found
+        return found
+
+    def _whole(self, span: str) -> list[int]:
+        """The search of ``stream`` over a short span, which needs no window."""
+        n, begins, missing = len(span), self.begins, self.pieces.unknown_score
+        best, back = [0.0] + [-math.inf] * n, [(0, ())] * (n + 1)
+        for start in range(n):
+            base = best[start]
+            for end in range(start + 1, n + 1):
+                found = begins.get(span[start:end])
+                if found is None:
+                    break
+                if found and base + found[1] > best[end]:
+                    best[end], back[end] = base + found[1], (start, (found[0],))
+            if span[start] not in self.pieces.known and base + missing > best[start + 1]:
+                raw = span[start].encode("utf-8", "surrogateescape")
+                best[start + 1], back[start + 1] = base + missing, (start, [self.pieces.byte_ids[b] for b in raw])
+        out: list[int] = []
+        while n:
+            n, ids = back[n]
+            out[:0] = ids
+        return out
+
     def encode(self, text: bytes) -> bytes:
         """Ids of one text; bytes that are not UTF-8, and a space mark in the text, become byte pieces."""
         if not text:
@@ -159,6 +200,16 @@ class Encoder(dict):
         return self.spans.findall(text.replace(" ", SPACE))
 
 
+_ENCODERS: list[Encoder] = []
+
+
+def _encoder(pieces: Pieces) -> Encoder:
+    """The process's encoder, kept from task to task for the spans it remembers."""
+    if not _ENCODERS or _ENCODERS[0].pieces.known != pieces.known:
+        _ENCODERS[:] = [Encoder(pieces)]
+    return _ENCODERS[0]
+
+
 def _class(characters: set[str]) -> str:
     return "".join(map(re.escape, sorted(characters)))
 
@@ -175,7 +226,7 @@ def with_ids(docs: DataFrame, pieces: Pieces, text: str = "text", name: str = "i
     sent = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = _encoder(sent.value)
         for batch in batches:
             for start, stop in in_slices(batch.column(at)):
                 part = batch.slice(start, stop - start)
