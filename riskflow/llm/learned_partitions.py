@@ -20,7 +20,6 @@ from riskflow.llm.common import stored
 from riskflow.llm.routed import best_per_query, every, finite_vectors, matrix
 
 SAMPLE_ROWS = 8_192
-ROWS_PER_PART = 1_024
 MOST_PARTS = 256
 TARGET_RECALL = 0.93
 
@@ -152,15 +151,15 @@ def _search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries
 
 def nearest(
     table: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20, query_every: int = 20,
-    sample_rows: int = SAMPLE_ROWS, rows_per_part: int = ROWS_PER_PART, most_parts: int = MOST_PARTS,
-    target: float = TARGET_RECALL,
+    sample_rows: int = SAMPLE_ROWS, parts: int | None = None, target: float = TARGET_RECALL,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's k nearest found, by inner product.
 
     Queries are the rows whose id is divisible by ``query_every``, candidates all rows but the query's
     own; ties go to the smaller id. Vectors null, zero or holding null or non-finite components take
     no part, nor do rows without an id. The index is learned from at most ``sample_rows`` vectors of
-    the commonest length, picked by a hash; it holds every row. Vectors of any other length are
+    the commonest length, picked by a hash; it holds every row. ``parts`` is a fourteenth of the root
+    of the number of rows unless given. Vectors of any other length are
     compared with all of their own length. Vectors repeated under other ids each count.
     """
     rows = finite_vectors(table, vec_id, vector).filter(F.exists("v", lambda x: x != 0))
@@ -170,7 +169,9 @@ def nearest(
     usual = rows.filter(F.col("dim") == dim)
     picked = usual.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toPandas()["v"]  # sample_rows rows
     sample = np.stack(picked.to_numpy()) if len(picked) else np.ones((1, 1))
-    router = fit(sample, min(most_parts, count // rows_per_part), k, target)
+    # More parts for more rows, but more slowly: a query takes its k best from each part it visits.
+    wanted = min(MOST_PARTS, round(count**0.5 / 14)) if parts is None else parts
+    router = fit(sample, wanted, k, target)
     sent = table.sparkSession.sparkContext.broadcast(router)
 
     def routed(source: DataFrame, count: int) -> DataFrame:
@@ -189,5 +190,5 @@ def nearest(
     queries = rows.filter(every("vec_id", query_every))
     return best_per_query(
         routed(rows, 1), routed(queries, router.visits), ["part"],
-        lambda i, m, q, n: _search(i, m, q, n, k), "double", k,
+        lambda i, m, q, n: _search(i, m, q, n, k), "double", k, shard_rows=8_192,
     )
