@@ -3,7 +3,7 @@
 For each component the vectors of a shard stand in a list, largest contribution to the query first.
 The lists are read in step, from the top; a vector's lower bound counts what was read of it and the
 least that the rest can give, its upper bound what the lists can still give at most. Reading stops
-when hardly any vector is left that could be one of the k best; those left are scored in full.
+when few vectors are left that could be one of the k best; those left are scored in full.
 """
 
 from __future__ import annotations
@@ -19,66 +19,54 @@ _EXACT = float(1 << 52)
 _LONG = (1 << 63) - 1
 
 
-def _nra(order: np.ndarray, sorted_values: np.ndarray, query: np.ndarray, skip: int, k: int, step: int) -> np.ndarray:
-    """Positions that hold every one of the k best, the vector at ``skip`` left out.
+def _rivals(vectors: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int):
+    """Pairs of a query number and the positions that hold every one of its k best.
 
-    ``order[d]`` lists positions by falling value of component d, ``sorted_values[d]`` those values.
+    The lists are read once for all queries of the group: a query with a positive weight has read the
+    top of a list, one with a negative weight its bottom. Reading a deeper part of all lists is a
+    product of the weights with the values read and, for the rest, with the value last read (upper
+    bound) or the list's far end (lower bound). ``own`` marks the candidates that do not count.
     """
-    used = np.flatnonzero(query)
-    n = order.shape[1]
-    k = min(k, n - (skip >= 0))
-    if k <= 0:
-        return np.zeros(0, np.int64)
-    if not len(used):
-        keep = np.ones(n, bool)
-        keep[skip] = keep[skip] and skip < 0
-        return np.flatnonzero(keep)
-    weight = query[used]
-    # From the top of a list for a positive weight, from its bottom for a negative one.
-    forward = weight > 0
-    last = np.where(forward, sorted_values[used, -1], sorted_values[used, 0]) * weight
-    known = np.zeros(n)  # what was read of each vector
-    seen = np.zeros((n, len(used)), bool)
-    read = 0
-    while True:
-        upto = min(n, read + step)
-        rows = np.where(forward[:, None], np.arange(read, upto), n - 1 - np.arange(read, upto))
-        at = order[used[:, None], rows]
-        gain = sorted_values[used[:, None], rows] * weight[:, None]
-        known += np.bincount(at.ravel(), gain.ravel(), n)
-        seen[at.ravel(), np.repeat(np.arange(len(used)), upto - read)] = True
-        read, front = upto, gain[:, -1]
-        low = known + (last.sum() - seen @ last)
-        high = known + (front.sum() - seen @ front)
-        if skip >= 0:
-            low[skip] = high[skip] = -np.inf
-        bar = np.partition(low, n - k)[n - k]
-        rivals = np.flatnonzero(high >= bar)
-        if len(rivals) <= max(4 * k, 32) or read == n:
-            return rivals
-        step = min(2 * step, n)
+    n = len(vectors)
+    rank = np.empty(vectors.shape, np.int64)
+    order = np.argsort(-vectors, axis=0, kind="stable")
+    np.put_along_axis(rank, order, np.arange(n)[:, None], axis=0)
+    falling = np.take_along_axis(vectors, order, axis=0)
+    least, most = falling[-1], falling[0]
+    waiting = np.arange(len(queries))
+    for read in sorted({-(-n * part // 8) for part in (3, 5, 7, 8)}):
+        top, bottom = rank < read, rank >= n - read
+        up, down = np.maximum(queries[waiting], 0), np.minimum(queries[waiting], 0)
+        high = up @ np.where(top, vectors, falling[read - 1]).T + down @ np.where(bottom, vectors, falling[n - read]).T
+        low = up @ np.where(top, vectors, least).T + down @ np.where(bottom, vectors, most).T
+        high[own[waiting]] = low[own[waiting]] = -np.inf
+        take = min(k, n)
+        bar = np.partition(low, n - take, axis=1)[:, n - take]
+        able = (high >= bar[:, None]) & (high > -np.inf)
+        done = (able.sum(axis=1) <= max(4 * k, n // 16)) | (read == n)
+        for row in np.flatnonzero(done):
+            yield int(waiting[row]), np.flatnonzero(able[row])
+        waiting = waiting[~done]
+        if not len(waiting):
+            return
 
 
 def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
     """Query ids, vector ids and integer scores of each query's k best in one shard."""
-    place = {int(v): p for p, v in enumerate(ids)}
-    bound = np.abs(vectors).max() * np.abs(queries).max() * vectors.shape[1]
-    exact = vectors.astype(np.int64) if bound < _EXACT else np.array([[int(x) for x in row] for row in vectors], object)
-    order = np.argsort(-vectors.T, axis=1, kind="stable")
-    ordered = np.take_along_axis(vectors.T, order, axis=1)
     out: list[tuple[int, int, int]] = []
-    copies = np.unique(ids).size < len(ids)
-    for query_id, query in zip(query_ids.tolist(), queries):
-        skip = place.get(query_id, -1)
-        if bound < _EXACT and not copies:
-            rivals = _nra(order, ordered, query, skip, k, max(16, len(ids) // 8))
-            own = exact[rivals] @ query.astype(np.int64)
-        else:
-            rivals = np.flatnonzero(ids != query_id)
-            whole = query.astype(np.int64) if bound < _EXACT else np.array([int(x) for x in query], object)
-            own = exact[rivals] @ whole
-        best = np.lexsort((ids[rivals], -own))[:k] if bound < _EXACT else sorted(range(len(rivals)), key=lambda r: (-own[r], ids[rivals[r]]))[:k]
-        out += [(query_id, int(ids[rivals[b]]), max(-_LONG - 1, min(_LONG, int(own[b])))) for b in best]
+    own = query_ids[:, None] == ids[None, :]
+    if np.abs(vectors).max() * np.abs(queries).max() * vectors.shape[1] < _EXACT:
+        # All sums are whole numbers that a double holds.
+        for q, rivals in _rivals(vectors, queries, own, k):
+            score = (vectors[rivals] @ queries[q]).astype(np.int64)
+            best = np.lexsort((ids[rivals], -score))[:k]
+            out += [(int(query_ids[q]), int(ids[rivals[b]]), int(score[b])) for b in best]
+    else:
+        whole = [[int(x) for x in row] for row in vectors]
+        for q, query in enumerate(queries):
+            weight = [int(x) for x in query]
+            scored = sorted((-sum(a * b for a, b in zip(row, weight)), int(i)) for row, i, mine in zip(whole, ids, own[q]) if not mine)
+            out += [(int(query_ids[q]), i, max(-_LONG - 1, min(_LONG, -s))) for s, i in scored[:k]]
     columns = list(zip(*out)) if out else [(), (), ()]
     return tuple(np.array(c, np.int64) for c in columns)
 
