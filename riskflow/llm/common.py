@@ -48,6 +48,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_size(table: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """A stored table, marked for broadcast if it has ``most_rows`` narrow rows at most.
+
+    Beyond that Spark joins it by a shuffle, with the same result.
+    """
+    return F.broadcast(table) if table.count() <= most_rows else table
+
+
 def utf8(column: str) -> Column:
     """The column's bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import free_name, stored, utf8
+from riskflow.llm.common import by_size, free_name, stored, utf8
 from riskflow.llm.components import components
 
 SEED = 42
@@ -204,7 +204,7 @@ WIDTH, SIMILARITY = 5, 0.8
 #: Of 128 bits. At a Jaccard similarity of 0.8 the two fingerprints differ in 20 bits on average, with
 #: a deviation of 4; ``FIRST`` bounds the first 64 of them and is 3.5 deviations off as well.
 PROPOSE, FIRST = 34, 20
-SIMILAR_TILE_ROWS = 1_024
+PROPOSAL_TILE_ROWS, SIMILAR_TILE_ROWS = 65_536, 1_024
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -251,16 +251,16 @@ def _proposals(f: np.ndarray, g: np.ndarray, left: np.ndarray, right: np.ndarray
 
 def similar_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = WIDTH,
-    similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS, similar_tile_rows: int = SIMILAR_TILE_ROWS,
+    similarity: float = SIMILARITY, tile_rows: int = PROPOSAL_TILE_ROWS, similar_tile_rows: int = SIMILAR_TILE_ROWS,
 ) -> DataFrame:
     """``handle, doc_id, text_key, label`` of every row: its hash, id, the hash of its lower-cased words,
     and its group.
 
     Texts are linked if their sets of ``width``-word shingles have a Jaccard similarity of at least
-    ``similarity``, or if their words are equal; groups are what links reach. A first tiled pass finds
-    the texts whose fingerprint is near any other; these few are compared again with their shingles
-    at hand. Texts already joined within a task are not compared again, so a large group of near
-    copies costs about one exact comparison per member.
+    ``similarity``, or if their words are equal; groups are what links reach. A first tiled pass joins
+    texts with near fingerprints into families; within a family the texts are compared again with
+    their shingles at hand. Texts already joined within a task are not compared again, so a large
+    group of near copies costs about one exact comparison per member.
 
     Null texts, empty ones and ones of white space have no shingles; they are copies of one another.
     """
@@ -283,28 +283,28 @@ def similar_groups(
 
     def propose(group: pa.Table) -> pa.Table:
         f, g = (group.column(c).to_numpy().view(np.uint64) for c in "fg")
-        left, right = _sides(group)
-        found = np.zeros(len(f), bool)
-        for a, b in _proposals(f, g, left, right):
-            found[a] = found[b] = True
-        return pa.table({"text_key": group.column("text_key").filter(pa.array(found))})
+        key, labels = group.column("text_key").to_numpy(), np.arange(group.num_rows)
+        for a, b in _proposals(f, g, *_sides(group)):
+            _merge(labels, a, b)
+        away = np.flatnonzero(labels != np.arange(len(labels)))
+        return pa.table({"u": key[away], "v": key[labels[away]]})
 
-    near = _tiled(every, "f", FIRST, tile_rows).groupBy("a", "b").applyInArrow(propose, "text_key long")
-    chosen = stored(near.distinct(), "near")
+    near = _tiled(every.select("text_key", "f", "g"), "f", FIRST, tile_rows)
+    proposed = components(near.groupBy("a", "b").applyInArrow(propose, "u long, v long"))
+    proposed = stored(proposed.select(F.col("node").alias("text_key"), F.col("label").alias("family")), "proposed")
+    sizes = proposed.groupBy("family").agg(F.ceil(F.count("*") / similar_tile_rows).cast("int").alias("tiles"))
+    wanted = stored(every.join(proposed, "text_key").join(sizes, "family"), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [shingle_hashes(t.as_py(), width).tobytes() for t in batch.column(4)]
+            own = [shingle_hashes(t.as_py(), width).tobytes() for t in batch.column(5)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(own, pa.binary())], ["handle", "text_key", "f", "g", "shingles"]
+                [*batch.columns[:5], pa.array(own, pa.binary())], ["text_key", "f", "g", "family", "tiles", "shingles"]
             )
 
-    wanted = every.join(chosen, "text_key").select("handle", "text_key", "f", "g")
-    shingled = stored(
-        source.join(wanted, "handle").select("handle", "text_key", "f", "g", "body")
-        .mapInArrow(sets, "handle long, text_key long, f long, g long, shingles binary")
-        .dropDuplicates(["handle"]),
-        "shingles",
+    shingled = (
+        source.join(by_size(wanted), "handle").select("text_key", "f", "g", "family", "tiles", "body")
+        .mapInArrow(sets, "text_key long, f long, g long, family long, tiles int, shingles binary")
     )
 
     def decide(group: pa.Table) -> pa.Table:
@@ -321,8 +321,14 @@ def similar_groups(
         away = np.flatnonzero(roots != np.arange(len(f)))
         return pa.table({"u": key[away], "v": key[roots[away]]})
 
-    tiles = _tiled(shingled, "f", FIRST, similar_tile_rows)
-    edges = tiles.groupBy("a", "b").applyInArrow(decide, "u long, v long")
+    # A family of few texts is one task; a large one is cut into tiles like the whole.
+    own = F.pmod(F.xxhash64("text_key"), F.col("tiles")).cast("int")
+    placed = shingled.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    tiles = placed.select(
+        "family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
+        (F.col("own") > F.col("other")).alias("second"), "text_key", "f", "g", "shingles",
+    )
+    edges = tiles.groupBy("family", "a", "b").applyInArrow(decide, "u long, v long")
     groups = components(edges).withColumnRenamed("node", "text_key")
     named = every.select("text_key").join(groups, "text_key", "left")
     named = named.select("text_key", F.coalesce("label", "text_key").alias("label"))
@@ -354,7 +360,16 @@ def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     groups = similar_groups(docs, doc_id, text, **options)
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "handle")
     handle = free_name(docs.columns, "handle")
-    kept = groups.groupBy("label").agg(F.min(best).alias("best")).select(F.col("best.handle").alias(handle))
+    groups = stored(groups, "groups")
+    kept = groups.groupBy("label").agg(F.min(best).alias("best")).select(F.col("best.handle").alias("handle"))
+    # The rows to leave out are few: their handles are joined, and the texts of the others stay in place
+    # wherever that list fits a broadcast.
+    gone = stored(groups.select("handle").join(kept, "handle", "left_anti").distinct(), "gone")
     rows = docs.withColumn(handle, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    # Rows alike in every column share a handle: the aggregation keeps one of them.
-    return rows.join(kept, handle, "left_semi").dropDuplicates([handle]).drop(handle)
+    left = rows.join(by_size(gone.withColumnRenamed("handle", handle)), handle, "left_anti")
+    # Rows alike in every column share a handle; one of them stays.
+    repeated = stored(groups.join(kept, "handle", "left_semi").groupBy("handle").count().filter("count > 1").select(F.col("handle").alias(handle)), "repeated")
+    if repeated.isEmpty():
+        return left.drop(handle)
+    once = left.join(repeated, handle, "left_semi").dropDuplicates([handle])
+    return left.join(repeated, handle, "left_anti").unionByName(once).drop(handle)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import crc_mod, free_name, stored
+from riskflow.llm.common import crc_mod, in_slices, stored
 
 DECAY = 0.6
 SPAN = 5
@@ -208,7 +208,7 @@ def fit(
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, toxic in ((t.as_py(), y.as_py()) for t, y in zip(batch.column(0), batch.column(1))):
                 own = list(units(text))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(own, pa.string()), pa.array([toxic] * len(own), pa.int32())], ["unit", "toxic"]
@@ -262,16 +262,16 @@ def fit(
 
 def _applied(docs: DataFrame, function, text: str, name: str) -> DataFrame:
     """``docs`` with a double computed from the text, as the last column."""
-    body = free_name([*docs.columns, name], "body")
-    source = docs.withColumn(body, F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    at = docs.columns.index(text)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = function(batch.column(batch.num_columns - 1).to_pylist())
-            columns = [*batch.columns[:-1], pa.array(values.astype(float))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], name])
+            for start, stop in in_slices(batch.column(at)):
+                part = batch.slice(start, stop - start)
+                values = function([t or "" for t in part.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values.astype(float))], [*batch.schema.names, name])
 
-    return source.mapInArrow(apply, docs.withColumn(name, F.lit(0.0)).schema)
+    return docs.mapInArrow(apply, docs.withColumn(name, F.lit(0.0)).schema)
 
 
 def with_score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
