@@ -24,7 +24,7 @@ from riskflow.llm.common import in_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_SHORT, _REMEMBERED = 32, 400_000
+_SHORT, _REMEMBERED = 32, 150_000
 
 
 @dataclass
