@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import free_name
 
 MOST_DEPTH = 200  # deeper elements become siblings; their text is kept
+SCREEN = {"width": 1280, "height": 800}  # pixels, for the conditions of style sheets
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"))
@@ -54,11 +55,21 @@ _P_SCOPE = _TABLE | _CELL | frozenset(("caption", "button", "object"))
 ENDS_P = BLOCK - frozenset(("html", "body", "option", "optgroup", "legend", "caption", "tr", "td", "th", "thead", "tbody", "tfoot"))
 IN_HEAD = frozenset(("base", "link", "meta", "noscript", "script", "style", "template", "title"))
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,8192}\"|'[^']{0,8192}'|[\"'])*+)>")
-_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(\s*+=\s*+)?")
+_BETWEEN = re.compile(r"[\s/]*+")
+_UNQUOTED = re.compile(r"[^\s>]*+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _ODD_SPACE = re.compile(r"[\t\n\r\f]|  ")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_STYLE = re.compile(r"/\*(?:.*?\*/|.*)|\"(?:[^\"\\\n]|\\.)*+\"?|'(?:[^'\\\n]|\\.)*+'?|[{};]|[^{};\"'/]++|/", re.S)
+_AT_RULE = re.compile(r"@([\w-]+)(.*)", re.S)
+_LENGTH = r"(\d*\.?\d+)(px|r?em)?"
+_BOUND = re.compile(rf"(min-|max-)?(?:device-)?(width|height)\s*:\s*{_LENGTH}")
+_RANGE = re.compile(rf"(?:{_LENGTH}\s*([<>]=?)\s*)?(width|height)(?:\s*([<>]=?|=)\s*{_LENGTH})?")
+_FEATURES = {
+    "orientation": "landscape", "prefers-color-scheme": "light", "prefers-reduced-motion": "no-preference", "hover": "hover",
+    "any-hover": "hover", "pointer": "fine", "any-pointer": "fine", "scripting": "enabled", "forced-colors": "none",
+}
 _HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 _SELECTOR = re.compile(r"(?:[a-zA-Z][\w-]*)?(?:[.#][\w-]+)?")
 
@@ -70,13 +81,42 @@ class Element:
         self.tag, self.attributes, self.children = tag, attributes, []
 
 
-def _attributes(source: str) -> dict[str, str]:
-    if not source or source.isspace():
-        return {}
-    found: dict[str, str] = {}
-    for name, *values in _ATTRIBUTE.findall(source):
-        found.setdefault(name.lower(), unescape(next((v for v in values if v), "")))
-    return found
+class _Tags:
+    """The tags of a page. A quote opens a value only behind an equals sign and if it is closed again."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.last = {q: html.rfind(q) for q in "\"'>"}
+        self.open: set[int] = set()  # places between attributes from where no tag ends
+
+    def read(self, lt: int) -> tuple[bool, str, dict[str, str], bool, int] | None:
+        """End tag or not, name, attributes, whether a slash ends it, and the place behind it."""
+        html, found = self.html, _NAME.match(self.html, lt)
+        if not found or self.last[">"] < lt:
+            return None
+        values: dict[str, str] = {}
+        at, passed, slash = found.end(), [], False
+        while at not in self.open:
+            passed.append(at)
+            gap = _BETWEEN.match(html, at)
+            at = gap.end()
+            if html.startswith(">", at):
+                return bool(found[1]), found[2].lower(), values, slash or gap[0].endswith("/"), at + 1
+            name = _ATTRIBUTE.match(html, at)
+            if not name:
+                break
+            at, value, slash = name.end(), "", False
+            if name[2]:
+                quote = html[at : at + 1]
+                if quote in ("'", '"') and self.last[quote] > at:
+                    end = html.find(quote, at + 1)
+                    value, at = html[at + 1 : end], end + 1
+                else:
+                    value = _UNQUOTED.match(html, at)[0]
+                    at, slash = at + len(value), value.endswith("/")
+            values.setdefault(name[1].lower(), unescape(value) if "&" in value else value)
+        self.open.update(passed)
+        return None
 
 
 def parse(html: str) -> tuple[Element, list[str]]:
@@ -84,6 +124,7 @@ def parse(html: str) -> tuple[Element, list[str]]:
     root, styles = Element("html", {}), []
     stack = [root]
     at, n = 0, len(html)
+    tags = _Tags(html)
 
     def add(text: str) -> None:
         if text:
@@ -91,13 +132,13 @@ def parse(html: str) -> tuple[Element, list[str]]:
                 stack.pop()
             stack[-1].children.append(unescape(text) if "&" in text else text)
 
-    def close(tags: frozenset, beyond: frozenset) -> None:
-        """End the outermost open element among ``tags`` that lies within ``beyond``."""
+    def close(ended: frozenset, beyond: frozenset) -> None:
+        """End the outermost open element among ``ended`` that lies within ``beyond``."""
         cut = 0
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in beyond:
                 break
-            if stack[k].tag in tags:
+            if stack[k].tag in ended:
                 cut = k
         if cut:
             del stack[cut:]
@@ -117,14 +158,14 @@ def parse(html: str) -> tuple[Element, list[str]]:
             end = html.find(">", lt)
             at = n if end < 0 else end + 1
             continue
-        found = _TAG.match(html, lt)
+        found = tags.read(lt)
         if not found:
             add(html[at : lt + 1])
             at = lt + 1
             continue
         add(html[at:lt])
-        at, tag = found.end(), found[2].lower()
-        if found[1]:
+        ends, tag, attributes, slash, at = found
+        if ends:
             if tag == "br":
                 stack[-1].children.append(Element("br", {}))
             elif tag == "p" and not any(e.tag == "p" for e in stack):
@@ -141,7 +182,7 @@ def parse(html: str) -> tuple[Element, list[str]]:
         if tag in ("html", "body") and any(e.tag == tag for e in stack[1:] if tag == "body"):
             continue
         if tag == "html":
-            root.attributes = _attributes(found[3]) | root.attributes
+            root.attributes = attributes | root.attributes
             continue
         if tag not in IN_HEAD and stack[-1].tag == "head":
             stack.pop()
@@ -151,32 +192,113 @@ def parse(html: str) -> tuple[Element, list[str]]:
             close(*ENDS[tag])
         if tag[0] == "h" and tag[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
             stack.pop()
-        element = Element(tag, _attributes(found[3]))
+        element = Element(tag, attributes)
         stack[-1].children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             stop = end.start() if end else n
             body = html[at:stop]
             if tag == "style":
-                styles.append(body)
+                if _on_screen(attributes.get("media", "")):
+                    styles.append(body)
             elif tag in ("textarea", "title"):
                 body = unescape(body)
             element.children.append(body)
             close_at = html.find(">", stop)
             at = n if not end or close_at < 0 else close_at + 1
-        elif tag not in VOID and not found[3].endswith("/") | (len(stack) > MOST_DEPTH):
+        elif tag not in VOID and not slash | (len(stack) > MOST_DEPTH):
             stack.append(element)
         elif tag not in VOID and tag in BLOCK | {"a", "b", "i", "span", "em", "strong"} and len(stack) <= MOST_DEPTH:
             stack.append(element)  # a slash does not end an element of HTML
     return root, styles
 
 
+def _feature(text: str) -> bool | None:
+    """Whether a condition in parentheses holds on ``SCREEN``; None if that is not known."""
+    text = text.strip()
+    pixels = lambda number, unit: float(number) * (1 if unit == "px" or not unit else 16)
+    if bound := _BOUND.fullmatch(text):
+        size, limit = SCREEN[bound[2]], pixels(bound[3], bound[4])
+        return size >= limit if bound[1] == "min-" else size <= limit if bound[1] else size == limit
+    if within := _RANGE.fullmatch(text):
+        size, holds = SCREEN[within[4]], True
+        low, high = within[1] and pixels(within[1], within[2]), within[6] and pixels(within[6], within[7])
+        for a, sign, b in ((low, within[3], size), (size, within[5], high)):
+            if sign:
+                holds = holds and (a < b if sign == "<" else a <= b if sign == "<=" else a > b if sign == ">" else a >= b if sign == ">=" else a == b)
+        return holds
+    name, _, value = (part.strip() for part in text.partition(":"))
+    if name not in _FEATURES:
+        return None
+    return _FEATURES[name] == value if value else _FEATURES[name] != "none"
+
+
+def _on_screen(queries: str) -> bool:
+    """Whether a list of media queries surely holds on a screen; an empty one does."""
+
+    def holds(query: str) -> bool | None:
+        query = query.strip()
+        if query.startswith("not ") or query.startswith("not("):
+            own = holds(query[3:])
+            return None if own is None else not own
+        every: bool | None = True
+        for part in re.split(r"\band\b", query.removeprefix("only ")):
+            part = part.strip()
+            if part.startswith("(") and part.endswith(")"):
+                own = _feature(part[1:-1])
+            else:
+                own = part in ("all", "screen") if re.fullmatch(r"[a-z-]+", part) else None
+            if own is False:
+                return False
+            every = every and own
+        return every
+
+    plain = queries.lower().strip()
+    return not plain or any(holds(query) for query in re.split(r",|\bor\b", plain))
+
+
+def _declarations(sheet: str) -> Iterator[tuple[str, str]]:
+    """Selectors and one declaration each, of the rules that hold on a screen.
+
+    Rules inside other rules are relative to these, hence not simple, and are left out. So are at-rules
+    whose condition is not known to hold.
+    """
+    blocks: list[tuple[bool, str]] = [(True, "")]  # whether it holds, and its selectors
+    text: list[str] = []
+    for token in _STYLE.findall(sheet):
+        if token == "{":
+            before = "".join(text).strip()
+            holds, selectors = blocks[-1]
+            if rule := _AT_RULE.fullmatch(before):
+                name, condition = rule[1].lower(), rule[2]
+                if name == "media":
+                    holds = holds and _on_screen(condition)
+                elif name == "supports":
+                    holds = holds and not re.search(r"\bnot\b(?!-)", condition, re.I)
+                else:
+                    holds = holds and name == "layer"
+            else:
+                holds, selectors = holds and not selectors, before
+            blocks.append((holds, selectors))
+            text = []
+        elif token in (";", "}"):
+            if blocks[-1][0] and blocks[-1][1]:
+                yield blocks[-1][1], "".join(text)
+            if token == "}" and len(blocks) > 1:
+                blocks.pop()
+            text = []
+        else:
+            text.append(" " if token.startswith("/*") else token)
+    if blocks[-1][0] and blocks[-1][1]:
+        yield blocks[-1][1], "".join(text)
+
+
 def _hidden_selectors(styles: list[str]) -> frozenset[str]:
     """Simple selectors (tag, class, id or a tag with one of them) whose rules hide."""
     hidden = set()
     for sheet in styles:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _HIDES.search(body):
+        for selectors, declaration in _declarations(sheet):
+            if _HIDES.search(declaration):
                 hidden.update(s.strip() for s in selectors.split(",") if s.strip() and _SELECTOR.fullmatch(s.strip()))
     return frozenset(hidden)
 

@@ -288,6 +288,41 @@ def test_deep_and_long_pages():
     assert visible_text("<a '" * 2000).count("a") <= 2000
 
 
+def test_long_and_stray_quotes_end_with_their_tag():
+    long = "x>" * 5000
+    for q in "\"'":
+        assert visible_text(f"<img src={q}data:{long}{q}>text <a href={q}x{q}>more</a>") == "text more"
+        assert visible_text(f"<p data-a={q}{long}{q} hidden>no</p><p title={q}x{q}>yes") == "yes"
+    assert visible_text("<a title=it's>one</a> it's <b>two</b>") == "one it's two"
+    assert visible_text("<p title=\"x>one</p>two") == "one\n\ntwo"
+    for page in ("<a x='>' " * 20_000, "<a x=\"" * 20_000 + ">", "<a " * 20_000, "<a b='" * 20_000):
+        visible_text(page)
+
+
+@pytest.mark.parametrize("sheet, seen", {
+    "@media print{.a{display:none}}": True,
+    "@media print{p{color:red} .b{x:y}} .a{display:none}": False,
+    "@media (max-width: 600px){.a{display:none}}": True,
+    "@media only screen and (max-width:600px), print{.a{display:none}}": True,
+    "@media (min-width: 768px){.a{display:none}}": False,
+    "@media screen{@media print{.a{display:none}}}": True,
+    "@media not print{.a{display:none}}": False,
+    "@media (400px <= width < 1000px){.a{display:none}}": True,
+    "@media (width >= 40em){.a{display:none}}": False,
+    "@media (prefers-color-scheme: dark){.a{display:none}}": True,
+    "@media (made-up: 3){.a{display:none}}": True,
+    "@supports not (display:grid){.a{display:none}}": True,
+    "@supports (display:grid){@layer x{.a{display:none}}}": False,
+    "@charset 'x{'; /* } */ .a{content:'}';display:none": False,
+    ".b{.a{display:none}}": True,
+    ".a{@media print{display:none}}": True,
+    ".a{color:red;@media screen{display:none}}": False,
+}.items())
+def test_conditions_of_style_rules(sheet, seen):
+    assert visible_text(f"<style>{sheet}</style><p class=a>text") == ("text" if seen else "")
+    assert visible_text("<style media=print>.a{display:none}</style><p class=a>text") == "text"
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.sampled_from("<>/ abpulitdr'\"=&;!-\n"), max_size=120))
 def test_any_source_renders(html):
