@@ -5,8 +5,11 @@ The kernel compares letter strings by their common subsequences of three letters
 therefore stay close to the word they hide. Units of a text are its words without other signs
 ("i.d.i.o.t"), the pieces between such signs, and runs of single letters ("i d i o t").
 
-Landmarks are the units that mark label 1 in labelled rows; the machine separates units in the
-Nyström space they span, and a text is as toxic as its most toxic unit. Because the decision is
+The units that mark label 1 in labelled rows are gone through by their surprise; one becomes a landmark
+unless its kernel with a landmark is ``COVERED`` or more, so the forms of a frequent word do not
+crowd out the words of rarer languages, and no such unit is left uncovered. Clean units whose kernel with
+one is ``ALIKE`` or more are landmarks by the same rule: a clean stem is apart from its marking forms only
+in a space that holds both. The machine separates units in the Nyström space they span, and a text is as toxic as its most toxic unit. Because the decision is
 linear in the kernel's features, it is folded into one weight per three letters for scoring.
 """
 
@@ -27,7 +30,8 @@ DECAY = 0.6
 SPAN = 5
 WINDOW = 32
 TRAIN_ROWS = 20_000
-LANDMARKS = 64
+COVERED, ALIKE = 0.8, 0.7
+ROUND_ROWS = 1_000
 NEGATIVES = 3_000
 _CODES = 32
 _SIGNS = re.compile(r"[\W\d_]+")
@@ -96,7 +100,13 @@ def _norms(triples: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel of each word with each landmark."""
-    return _against(words, _landmark_table(landmarks))
+    return np.concatenate([_against(words, table) for table in _tables(landmarks)], axis=1)
+
+
+def _tables(landmarks: list[str], columns: int = 256) -> Iterator[np.ndarray]:
+    """Tables of the landmarks in turn, each of a bounded size."""
+    for at in range(0, max(1, len(landmarks)), columns):
+        yield _landmark_table(landmarks[at : at + columns])
 
 
 def _landmark_table(landmarks: list[str]) -> np.ndarray:
@@ -145,7 +155,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-z))
 
 
-def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
+def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by Newton steps."""
     xb = np.c_[x, np.ones(len(x))]
     ridge = np.diag(np.r_[np.full(x.shape[1], penalty), 1e-6])
@@ -186,14 +196,29 @@ def _flat(labels: list[int]) -> ToxicityModel:
     return ToxicityModel(np.zeros(_CODES**3, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))), [])
 
 
+def _landmarks(words: list[str], covered: float) -> list[int]:
+    """Positions of the words, in turn, whose kernel with each one chosen before is below ``covered``."""
+    chosen: list[int] = []
+    for start in range(0, len(words), 256):
+        own = words[start : start + 256]
+        near = kernel(own, [words[k] for k in chosen]).max(axis=1, initial=0)
+        among = kernel(own, own)
+        for k in range(len(own)):
+            if near[k] < covered:
+                chosen.append(start + k)
+                near = np.maximum(near, among[:, k])
+    return chosen
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS, landmarks: int = LANDMARKS,
-    negatives: int = NEGATIVES,
+    docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS, covered: float = COVERED,
+    negatives: int = NEGATIVES, round_rows: int = ROUND_ROWS,
 ) -> ToxicityModel:
     """Train on at most ``train_rows`` labelled documents (``doc_id, toxic``; a fixed hash picks them).
 
     The caller leaves out rows that must not be learned from. Labels other than 0 and 1 and null
-    ids are passed over; of several labels for an id the largest counts.
+    ids are passed over; of several labels for an id the largest counts. Landmarks are chosen in rounds
+    of ``round_rows`` units until each is a landmark or has a kernel of ``covered`` with one.
     """
     spark = docs.sparkSession
     known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -227,34 +252,56 @@ def fit(
     )
     # Mostly in label 1, and more so than the luckiest of all units would be by chance.
     chance = float(np.log(max(1, usage.count())))
-    marks = (
-        usage.withColumn("surprise", surprise)
-        .filter((F.col("surprise") > chance) & (share > max(0.5, expected)))
-        .orderBy(F.desc("surprise"), "unit").limit(landmarks)
-    ).collect()
+    marking = stored(
+        usage.withColumn("surprise", surprise).filter((F.col("surprise") > chance) & (share > max(0.5, expected))), "marking"
+    )
+
+    def close_to(landmarks: list[str]):
+        def closeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                near = kernel(batch.column(0).to_pylist(), landmarks).max(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(float))], [*batch.schema.names, "near"])
+
+        return closeness
+
+    names: list[str] = []
+    marks: list[str] = []
+    left = marking
+    while own := [r["unit"] for r in left.orderBy(F.desc("surprise"), "unit").limit(round_rows).collect()]:
+        fresh = _landmarks(own, covered)
+        names += [own[k] for k in fresh]
+        marks += own
+        if len(own) < round_rows:
+            break
+        shape = "unit string, in_toxic long, in_clean long, surprise double"
+        near = left.mapInArrow(close_to([own[k] for k in fresh]), f"{shape}, near double")
+        left = stored(near.filter(F.col("near") < covered).drop("near"), "uncovered")
     if not marks:
         return _flat([1] * n1 + [0] * n0)
-    names = [r["unit"] for r in marks]
-    table = _landmark_table(names)
-
-    def closeness(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = _against(batch.column(0).to_pylist(), table).max(axis=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(float))], [*batch.schema.names, "near"])
+    # Each landmark counts alike, together with the units it covers.
+    nearest = kernel(marks, names).argmax(axis=1)
+    alike = 1 / (np.bincount(nearest, minlength=len(names))[nearest] * len(names))
 
     clean = (
         usage.filter("in_clean > 0").filter(share <= max(0.5, expected))
-        .mapInArrow(closeness, "unit string, in_toxic long, in_clean long, near double")
+        .mapInArrow(close_to(list(names)), "unit string, in_toxic long, in_clean long, near double")
         .orderBy(F.desc("near"), "unit").limit(negatives)
     ).collect()
-    words = names + [r["unit"] for r in clean]
-    y = np.r_[np.ones(len(names)), -np.ones(len(clean))]
-    weight = np.r_[np.full(len(names), 1 / len(names)), np.full(len(clean), 1 / max(1, len(clean)))]
-    square = _against(names, table).astype(float)
+    close = [r["unit"] for r in clean if r["near"] >= ALIKE]
+    names += [close[k] for k in _landmarks(close, covered)]
+    words = marks + [r["unit"] for r in clean]
+    y = np.r_[np.ones(len(marks)), -np.ones(len(clean))]
+    seen = np.array([r["in_clean"] for r in clean], float)
+    weight = np.r_[alike, seen / max(1.0, seen.sum())]
+    square = kernel(names, names).astype(float)
     values, vectors = np.linalg.eigh((square + square.T) / 2)
     root = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-    w, bias = _machine(_against(words, table).astype(float) @ root, y, weight)
-    model = ToxicityModel((table @ (root @ w)).astype(np.float32), bias, 1.0, 0.0, names)
+    w, bias = _machine(kernel(words, names) @ root, y, weight)
+    folded, at = np.zeros(_CODES**3), 0
+    for table in _tables(names):
+        folded += table @ (root @ w)[at : at + table.shape[1]].astype(np.float32)
+        at += table.shape[1]
+    model = ToxicityModel(folded.astype(np.float32), bias, 1.0, 0.0, names)
     pairs = _applied(train, model.margins, "text", "margin").select("margin", "toxic").toPandas()  # train_rows rows
     model.slope, model.shift = _sigmoid(pairs["margin"].to_numpy(), pairs["toxic"].to_numpy())
     return model

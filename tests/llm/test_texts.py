@@ -204,6 +204,27 @@ def test_toxicity_of_held_out_rows(llm, odd):
     assert {r["score"] for r in sk.with_score(docs.limit(3), flat).collect()} == {0.5}
 
 
+@pytest.mark.parametrize("round_rows", [1_000, 20])
+def test_landmarks_cover_a_rare_language(llm, round_rows):
+    rng = random.Random(5)
+    plain = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    forms = ["quaxwyk" + "".join(rng.choice("abcdefghilmnoprstu") for _ in range(3)) for _ in range(100)]
+    rows, labels = [], []
+    for k in range(900):
+        own = [rng.choice(plain) for _ in range(15)]
+        if k % 5 == 0:
+            own += ["zyzkov"] if k % 50 == 0 else rng.sample(forms, 15)
+        rows.append((k, " ".join(own)))
+        labels.append((k, int(k % 5 == 0)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    model = sk.fit(docs, llm.createDataFrame(labels, "doc_id long, toxic int"), round_rows=round_rows)
+    assert "zyzkov" in model.landmarks
+    near = sk.kernel([*forms, "zyzkov"], model.landmarks)
+    assert (near.max(axis=1) >= sk.COVERED - 1e-6).all()
+    assert (model.scores([*forms, "zyzkov here", "z y z k o v"]) > 0.5).all()
+    assert (model.scores(plain) > 0.5).sum() <= 3
+
+
 PIECES = viterbi.load()
 ENCODER = viterbi.Encoder(PIECES)
 
