@@ -4,7 +4,7 @@ import csv
 import datetime as dt
 
 import pytest
-from conftest import event
+from helpers import event
 from pyspark.sql import functions as F
 
 from riskflow.operators import quality

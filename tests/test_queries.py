@@ -2,7 +2,7 @@
 
 import pytest
 from compare import TABLES, difference, open_oracle
-from conftest import SMALL
+from helpers import SMALL
 
 import __spark_entry__ as entry_module
 from riskflow.catalogue import QUERIES

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import event, frame
+from helpers import event, frame
 from pyspark.sql import functions as F
 
 from riskflow.schemas import RAW_EVENT
