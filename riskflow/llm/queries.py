@@ -122,6 +122,15 @@ def op2_attention_lm(spark, sf_dir):
     return scored(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks())
 
 
+@_query
+def op12_bloom_exact_dedup(spark, sf_dir):
+    from riskflow.llm.bloom_dedup import with_copies_marked
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = with_copies_marked(docs, carry=["doc_id"])
+    return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 ORACLES["op1_chat_prefix_tree"] = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -149,3 +158,10 @@ scored AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5"""
+
+ORACLES["op12_bloom_exact_dedup"] = r"""
+WITH hashed AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (same ORDER BY doc_id) = 1 AS kept, text_sha256
+FROM hashed WINDOW same AS (PARTITION BY text_sha256)"""
