@@ -21,10 +21,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def open_oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
-    for name in TABLES:
-        connection.execute(
-            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
-        )
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        files = f"{path}/**/*.parquet" if path.is_dir() else path
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     return connection
 
 
