@@ -131,6 +131,13 @@ def op12_bloom_exact_dedup(spark, sf_dir):
     return marked.select("row.doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@_query
+def op13_spelling_variants(spark, sf_dir):
+    from riskflow.llm.spelling_variants import spelling_variants
+
+    return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 ORACLES["op1_chat_prefix_tree"] = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -165,3 +172,41 @@ WITH hashed AS (
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   row_number() OVER (same ORDER BY doc_id) = 1 AS kept, text_sha256
 FROM hashed WINDOW same AS (PARTITION BY text_sha256)"""
+
+ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE octets AS (
+  SELECT list(list_reduce(list_prepend(k::UBIGINT, range(8)), lambda c, _:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) ORDER BY k) AS t FROM range(256) r(k)),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]{7,}')) AS run
+  FROM documents),
+counted AS (SELECT id, run, count(*) AS n FROM runs GROUP BY ALL),
+summed AS (
+  SELECT run, n, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(
+      string_split(id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::UBIGINT]
+        ELSE [(192 + (unicode(c) >> 6))::UBIGINT, (128 + unicode(c) % 64)::UBIGINT] END))),
+    lambda crc, b: xor(crc >> 8, t[(xor(crc, b) % 256 + 1)::BIGINT]))) AS h
+  FROM counted, octets),
+spoilt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+    ELSE run END AS word, n FROM summed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spoilt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cuts c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form,
+    CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+followed AS (
+  SELECT word, word AS root, form AS onward FROM formed
+  UNION ALL SELECT f.word, g.word, g.form FROM followed f JOIN formed g ON f.onward = g.word)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN (SELECT word, root FROM followed WHERE onward IS NULL) USING (word)"""
