@@ -48,6 +48,21 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, purpose: str, **options) -> DataFrame:
+    """Store ``df`` bucketed by a column, in as many buckets as shuffles have partitions.
+
+    What is joined or grouped by that column later moves to these rows, not the rows to it. Spark keeps
+    buckets for catalog tables only, so the entry is made, read once, and taken out again; the files stay.
+    """
+    spark, name = df.sparkSession, f"llm_{purpose}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), column)
+    writer.options(path=scratch(spark, purpose), **options).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE `{name}`")
+    return table
+
+
 def by_size(table: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     """A stored table, marked for broadcast if it has ``most_rows`` narrow rows at most.
 

@@ -138,6 +138,13 @@ def op13_spelling_variants(spark, sf_dir):
     return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query
+def op11_token_alignment(spark, sf_dir):
+    from riskflow.llm.token_alignment import with_alignment
+
+    return with_alignment(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", "*").drop("row")
+
+
 ORACLES["op1_chat_prefix_tree"] = r"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
