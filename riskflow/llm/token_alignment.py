@@ -1,9 +1,9 @@
 """Alignment of two tokenizers' tokens by the byte offsets where both end.
 
-Texts are tokenised in slices of a few megabytes, and each slice is worked on as Arrow tables: the
-lists of ids are flattened with the indices of their documents, running sums of token bytes, started
-anew at each document, give the ends of tokens, and a hash join on (document, end) finds the links and
-the places where both cut. ``Table.group_by`` counts the linked id pairs of a slice; Spark merges these
+Texts are tokenised in slices of a few megabytes, and each slice is worked on as Arrow tables. The lists
+of ids are flattened with the indices of their documents, running sums of token bytes, started anew at
+each document, give the ends of tokens, and a hash join on (document, end) finds the links and the
+places where both cut. ``Table.group_by`` counts the linked id pairs of a slice; Spark merges these
 counts. Each slice then gets back the counts of the pairs it holds, one row a pair, so neither the
 table of all pairs nor a token goes anywhere as a whole.
 """
@@ -11,8 +11,11 @@ table of all pairs nor a token goes anywhere as a whole.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
-from collections.abc import Iterator
+import re
+import struct
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,11 @@ from riskflow.llm.common import bucketed, in_slices
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 SLICE_BYTES = 4 << 20
+REMEMBERED = 300_000  # parts of texts of which a worker keeps the ids
 SPACE_MARK = "▁"
+# Before a space behind what is surely no white space; no piece of a model may hold a space behind other text.
+# A single space at the end stays with its word, as nothing gets no space in front.
+_CUT = re.compile(r"(?<=[\w!-~])(?= .)", re.DOTALL)
 _SHIFT = 20  # an id pair as one number: a << 20 | b
 
 
@@ -64,21 +71,45 @@ def load_pieces(path: str = PIECES) -> tuple[bytes, list[bytes]]:
             texts.append(b"")
         else:
             texts.append(piece.replace(SPACE_MARK, " ").encode())
+    if any(b" " in t.lstrip(b" ") for t in texts):
+        raise ValueError("texts cannot be cut before spaces: a piece holds one behind other text")
     with open(path, "rb") as file:
         return file.read(), texts
 
 
 class _Tokens:
-    """One tokenizer in a worker: how it encodes, and its ids' bytes as Arrow arrays."""
+    """One tokenizer in a worker: how it encodes, and its ids' bytes as Arrow arrays.
 
-    def __init__(self, encode, texts: list[bytes]):
-        self.encode = encode
+    ``cut`` says that texts are cut before encoding, and parts met first, the common ones, remembered.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], texts: list[bytes], cut: bool):
+        self.encode, self.cut = encode, cut
+        self.known: dict[str, bytes] = {}
         self.bytes = pa.array(texts, pa.binary())
         self.sizes = pa.array([len(t) for t in texts], pa.int64())
         ids = [str(k) for k in range(len(texts))]
         # An id in front of another of its group, of the other side or of the next group, or of nothing.
         self.written = pa.array([k + sign for sign in (",", "|", ";", "") for k in ids], pa.large_string())
 
+    def lists(self, texts: list[str]) -> tuple[pa.ListArray, np.ndarray]:
+        """Lists of ids, and the text that each is of. Texts begin with a space, or are empty."""
+        if not self.cut:
+            coded = self.encode(texts)
+            ends = np.cumsum([0, *map(len, coded)])
+            flat = np.fromiter(itertools.chain.from_iterable(coded), np.int32, int(ends[-1]))
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)), np.arange(len(texts))
+        cut = [_CUT.split(t) if t else [] for t in texts]
+        parts = pa.array(list(itertools.chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        distinct, known = parts.dictionary.to_pylist(), self.known
+        new = [p for p in distinct if p not in known]
+        found = {p: struct.pack(f"<{len(ids)}i", *ids) for p, ids in zip(new, self.encode(new))}
+        coded = [known.get(p) or found.get(p, b"") for p in distinct]
+        known.update(itertools.islice(((p, c) for p, c in found.items() if len(p) < 64), max(0, REMEMBERED - len(known))))
+        ends = np.cumsum([0, *map(len, coded)]) // 4
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), np.int32)))
+        return lists.take(parts.indices), np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+
 
 _CACHED: dict[str, tuple[_Tokens, _Tokens]] = {}
 
@@ -94,28 +125,28 @@ def _tokenizers(sent, name: str) -> tuple[_Tokens, _Tokens]:
         bpe = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         pieces = SentencePieceProcessor(model_proto=model)
         _CACHED.clear()
+        # The second puts a space in front itself.
         _CACHED[name] = (
-            _Tokens(lambda texts: [bpe.encode_ordinary(f" {t}") if t else [] for t in texts], byte_texts),
-            _Tokens(lambda texts: pieces.encode(texts, num_threads=1), piece_texts),
+            _Tokens(lambda texts: [bpe.encode_ordinary(t) for t in texts], byte_texts, cut=False),
+            _Tokens(lambda parts: pieces.encode([t[1:] for t in parts], num_threads=1), piece_texts, cut=True),
         )
     return _CACHED[name]
 
 
-def _table(ids: list[list[int]], texts: pa.Array, tokens: _Tokens) -> tuple[pa.Table, np.ndarray]:
-    """``doc, end, id`` of all tokens in order, and which documents' bytes the tokens spell.
+def _table(texts: pa.Array, tokens: _Tokens) -> tuple[pa.Table, np.ndarray]:
+    """``doc, key, id`` of all tokens in order, and which documents' bytes the tokens spell.
 
-    ``texts`` have their leading space. Ends are byte offsets in their document.
+    ``texts`` have their leading space; a key is the document and the byte offset in it where the token ends.
     """
-    ends = np.cumsum([0, *map(len, ids)])
-    flat = np.fromiter((k for doc in ids for k in doc), np.int32, int(ends[-1]))
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-    doc, token = pc.list_parent_indices(lists), pc.list_flatten(lists)
-    reached = pc.cumulative_sum(pc.take(tokens.sizes, token))
-    reached = pa.concat_arrays([pa.array([0], pa.int64()), reached])
-    before = pc.take(reached, lists.offsets)  # bytes of all documents before, and of all
+    lists, of = tokens.lists(texts.to_pylist())
+    token, doc = pc.list_flatten(lists), pc.take(pa.array(of), pc.list_parent_indices(lists))
+    reached = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(pc.take(tokens.sizes, token))])
+    firsts = np.searchsorted(doc.to_numpy(), np.arange(len(texts) + 1))
+    before = pc.take(reached, pa.array(firsts))  # bytes of all documents before, and of all
     end = pc.subtract(reached.slice(1), pc.take(before, doc))
     spelt = _spells(pc.take(tokens.bytes, token), before.to_numpy(), texts)
-    return pa.table({"doc": doc, "end": end, "id": token}), spelt
+    key = pc.bit_wise_or(pc.shift_left(doc, 40), end)
+    return pa.table({"doc": doc, "key": key, "id": token}), spelt
 
 
 def _joined(values: pa.Array) -> memoryview:
@@ -174,19 +205,24 @@ def _align(texts: pa.Array, tokens: tuple[_Tokens, _Tokens]) -> dict:
     docs = len(texts)
     strings = [t.as_py() or "" for t in texts]
     spaced = pa.array([f" {t}" if t else "" for t in strings], pa.large_string())
-    (a, spelt_a), (b, spelt_b) = (_table(t.encode(strings), spaced, t) for t in tokens)
+    (a, spelt_a), (b, spelt_b) = (_table(spaced, t) for t in tokens)
     whole = pa.array(spelt_a & spelt_b)
     a, b = (t.filter(pc.take(whole, t.column("doc"))) for t in (a, b))
     a, b = (t.append_column("at", pa.array(np.arange(len(t)))) for t in (a, b))
-    links = a.join(b, ["doc", "end"], join_type="inner", left_suffix="_a", right_suffix="_b", use_threads=False)
-    pair = pc.bit_wise_or(pc.shift_left(links.column("id_a").cast(pa.int64()), _SHIFT), links.column("id_b").cast(pa.int64()))
-    linked = pa.table({"doc": links.column("doc"), "pair": pair})
+    links = a.select(["key", "at"]).join(b.select(["key", "at"]), "key", join_type="inner", right_suffix="_b", use_threads=False)
+    links = pa.table({"at_a": links.column("at"), "at_b": links.column("at_b")})
+    doc_of_link, id_a = (pc.take(a.column(n), links.column("at_a")) for n in ("doc", "id"))
+    id_b = pc.take(b.column("id"), links.column("at_b"))
+    pair = pc.bit_wise_or(pc.shift_left(id_a.cast(pa.int64()), _SHIFT), id_b.cast(pa.int64()))
+    linked = pa.table({"doc": doc_of_link, "pair": pair})
     in_doc = linked.group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")])
     in_doc = in_doc.rename_columns(["doc", "pair", "n"])
     in_slice = in_doc.group_by("pair", use_threads=False).aggregate([("n", "sum")]).rename_columns(["pair", "n"])
+    in_slice = in_slice.sort_by("pair")
+    place = np.searchsorted(in_slice.column("pair").to_numpy(), in_doc.column("pair").to_numpy())
     cut_a, cut_b = _flags(links, "at_a", len(a)), _flags(links, "at_b", len(b))
     text, ends = _groups_text(a, b, cut_a, cut_b, docs, tokens)
-    doc_a, doc_b, doc_l = (t.column("doc").to_numpy() for t in (a, b, links))
+    doc_a, doc_b, doc_l = (t.column("doc").to_numpy() for t in (a, b, linked))
     counted = lambda doc: np.bincount(doc, minlength=docs).astype(np.int64)
     return {
         "n_a": counted(doc_a),
@@ -194,8 +230,11 @@ def _align(texts: pa.Array, tokens: tuple[_Tokens, _Tokens]) -> dict:
         "n_groups": counted(doc_a[cut_a]),
         "n_links": counted(doc_l),
         "sha": [hashlib.sha256(text[s:e]).hexdigest() if e > s else "" for s, e in zip(ends, ends[1:])],
-        "in_doc": in_doc,
-        "in_slice": in_slice,
+        "doc": in_doc.column("doc"),
+        "doc_pair": pa.array(place),
+        "doc_n": in_doc.column("n"),
+        "pair": in_slice.column("pair"),
+        "n": in_slice.column("n"),
     }
 
 
@@ -208,8 +247,11 @@ def _flat(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else pa.array(column)
 
 
-_LISTS = "n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, sha array<string>"
-_PAIRS = "doc array<long>, doc_pair array<long>, doc_n array<long>, pair array<long>, n array<long>"
+_LISTS = {
+    **{name: pa.int64() for name in ("n_a", "n_b", "n_groups", "n_links")}, "sha": pa.string(),
+    **{name: pa.int32() for name in ("doc", "doc_pair", "doc_n")}, "pair": pa.int64(), "n": pa.int64(),
+}
+_SPARK = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string"}
 
 
 def aligned_slices(
@@ -217,9 +259,9 @@ def aligned_slices(
 ) -> DataFrame:
     """One row per slice of documents, in a table bucketed by slice.
 
-    ``rows`` has the other columns of each document, the lists of ``_LISTS`` its counts and digest;
-    ``doc, doc_pair, doc_n`` count the linked pairs of each document (its place in the slice), ``pair, n``
-    those of the whole slice. A document longer than a slice has one of its own.
+    ``rows`` has the other columns of each document, ``n_a`` to ``sha`` its counts and digest; ``pair, n``
+    count the linked pairs of the slice, ``doc, doc_pair, doc_n`` those of each document (places in the
+    slice and among its pairs). A document longer than a slice has one of its own.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("int").alias("none")]
     source = docs.select(F.struct(*others).alias("row"), F.col(f"`{text}`").alias("body"))
@@ -234,21 +276,13 @@ def aligned_slices(
             for start, stop in in_slices(batch.column(1), slice_bytes):
                 part = batch.slice(start, stop - start)
                 found = _align(part.column(1), tokens)
-                in_doc, in_slice = found["in_doc"], found["in_slice"]
-                lists = {
-                    "rows": pa.concat_arrays([part.column(0)]),
-                    **{k: pa.array(found[k], pa.string() if k == "sha" else pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links", "sha")},
-                    "doc": _flat(in_doc.column("doc")).cast(pa.int64()),
-                    "doc_pair": _flat(in_doc.column("pair")),
-                    "doc_n": _flat(in_doc.column("n")),
-                    "pair": _flat(in_slice.column("pair")),
-                    "n": _flat(in_slice.column("n")),
-                }
+                lists = {"rows": pa.concat_arrays([part.column(0)]), **{k: _flat(found[k]).cast(t) for k, t in _LISTS.items()}}
                 yield pa.RecordBatch.from_arrays([pa.array([number]), *_one_row(lists)], ["slice", *lists])
                 number += 1
 
     row_type = source.schema["row"].dataType.simpleString()
-    rows = source.mapInArrow(align, f"slice long, rows array<{row_type}>, {_LISTS}, {_PAIRS}")
+    shape = ", ".join(f"{name} array<{_SPARK[kind]}>" for name, kind in _LISTS.items())
+    rows = source.mapInArrow(align, f"slice long, rows array<{row_type}>, {shape}")
     return bucketed(rows, "slice", "aligned")
 
 
@@ -290,7 +324,7 @@ def with_alignment(docs: DataFrame, text: str = "text", **options) -> DataFrame:
                 yield _summed({n: c[k] for n, c in zip(batch.schema.names, batch.columns)})
 
     row_type = slices.schema["rows"].dataType.elementType.simpleString()
-    columns = ["slice", "rows", "n_a", "n_b", "n_groups", "n_links", "sha", "doc", "doc_pair", "doc_n"]
+    columns = ["slice", "rows", "n_a", "n_b", "n_groups", "n_links", "sha", "doc", "doc_pair", "doc_n", "pair"]
     joined = slices.select(*columns).join(answers, "slice", "left")
     shape = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return joined.mapInArrow(summed, f"row {row_type}, {shape}")
@@ -299,16 +333,14 @@ def with_alignment(docs: DataFrame, text: str = "text", **options) -> DataFrame:
 def _summed(slice_row: dict) -> pa.RecordBatch:
     """The documents of a slice with their sums over pair counts."""
     rows = slice_row["rows"].values
-    names, kinds = ["doc", "doc_pair", "doc_n"], [pa.int64()] * 3
-    linked = pa.table([slice_row[n].values.cast(t) for n, t in zip(names, kinds)], names=["doc", "pair", "n"])
     n_best, count_sum = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    if len(linked):
-        answers = slice_row["answers"].values.flatten()
-        told = pa.table(answers, names=["pair", "links", "best"])
-        known = linked.join(told, "pair", join_type="inner", use_threads=False)
-        best = pc.multiply(known.column("n"), known.column("best").cast(pa.int64()))
-        total = pc.multiply(known.column("n"), known.column("links"))
-        sums = pa.table({"doc": known.column("doc"), "best": best, "total": total})
+    doc, at_pair, n = (slice_row[name].values for name in ("doc", "doc_pair", "doc_n"))
+    if len(doc):
+        # Every pair of the slice has its answer, and in order of pairs they stand as the pairs do.
+        told = pa.table(slice_row["answers"].values.flatten(), names=["pair", "links", "best"]).sort_by("pair")
+        assert told.column("pair").combine_chunks().equals(slice_row["pair"].values)
+        n, links, best = n.cast(pa.int64()), pc.take(told.column("links"), at_pair), pc.take(told.column("best"), at_pair)
+        sums = pa.table({"doc": doc, "best": pc.multiply(n, best.cast(pa.int64())), "total": pc.multiply(n, links)})
         sums = sums.group_by("doc", use_threads=False).aggregate([("best", "sum"), ("total", "sum")])
         at = sums.column("doc").to_numpy()
         n_best[at], count_sum[at] = sums.column("best_sum").to_numpy(), sums.column("total_sum").to_numpy()

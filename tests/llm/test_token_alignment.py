@@ -1,6 +1,7 @@
 """Cross-tokenizer alignment against a plain loop over the two libraries' own encoders."""
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -86,6 +87,14 @@ def test_texts_of_all_kinds(llm, encoders, slice_bytes):
     assert set(marked.select("row.*").columns) == {"doc_id", "slice", "pair"}
 
 
+def test_cuts_before_spaces_change_nothing(llm, encoders):
+    """White space of all kinds, in runs, and signs next to it."""
+    rng = random.Random(11)
+    signs = ["a", "Bc", "é", "日", "1", "!", "'s", "▁", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "\u3000", "\u200b", "²", "_"]
+    rows = [(k, "".join(rng.choice(signs) for _ in range(rng.randint(1, 40)))) for k in range(600)]
+    assert found(with_alignment(llm.createDataFrame(rows, "doc_id long, text string"))) == expected(rows, encoders)
+
+
 def test_odd_rows_and_empty_table(odd, llm, encoders):
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
     assert found(with_alignment(odd)) == expected(rows, encoders)
