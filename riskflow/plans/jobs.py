@@ -158,7 +158,7 @@ def _insert(
     """Insert-if-absent with the number of rows attempted and inserted.
 
     Both are counts of what is stored (the landed rows, the rows of this load), so they hold when
-    lost tasks are run again. Transactions are looked up by hash directory, see ``TableStore.unseen``.
+    lost tasks are run again. Transactions are looked up among the stored keys, see ``TableStore.unseen``.
     """
     if name == "transactions":
         fresh = store.unseen(name, first_wins(rows, keys, order), keys[0], load_id)

@@ -57,10 +57,16 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that ``path`` is on, and the path as that knows it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a scratch directory on whatever file system it is."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = file_system(spark, path)
+    files.delete(target, True)
 
 
 def replace_dir(spark: SparkSession, source: str, target: str) -> None:

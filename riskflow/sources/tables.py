@@ -1,11 +1,17 @@
-"""Stored tables: Parquet directories whose loads can be repeated safely.
+"""Stored tables: Parquet directories whose loads and epochs can be repeated safely.
 
-Every load or micro-batch owns one ``batch_id`` directory (below ``source=`` for transactions) and
-replaces it as a whole. A repeated load therefore overwrites itself and touches nothing else.
+A batch load owns one ``batch_id`` directory per table (below ``source=`` for transactions) and
+replaces it as a whole. A stream epoch owns one directory with the rows of all its tables, which
+appears by one rename, so a reader sees all tables of an epoch or none. Epochs of a closed period are
+merged into one directory whose name says through which epoch it goes; from the moment it appears
+readers pass over these epochs.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,17 +19,12 @@ from pyspark.sql import types as T
 
 from riskflow.operators.dedup import absent_from_large
 from riskflow.schemas import TABLES
-from riskflow.session import remove_dir
+from riskflow.session import file_system, remove_dir
+from riskflow.sources.key_runs import hashed_keys, with_hashes, write_run
 
 BY_SOURCE = ("transactions",)  # tables with a source= directory level
-KEY_BUCKETS = 256
-KEY_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("batch_id", T.StringType()),
-    ]
-)
+KEYS = "_keys"  # the target of an epoch's transaction keys
+KEY_STRUCT = T.StructType([T.StructField("h", T.LongType()), T.StructField("key", T.StringType())])
 
 
 class TableStore:
@@ -38,20 +39,20 @@ class TableStore:
 
     def read(self, name: str, with_batch_id: bool = False) -> DataFrame:
         """A stored table with its declared schema; empty when nothing was published yet."""
-        text = [T.StructField(n, T.StringType(), True) for n in (OF_BATCH, "batch_id")]
-        df = self._scan(self.path(name), T.StructType([*TABLES[name].fields, *text]))
-        replaced = self._replaced(name)
-        if replaced:
-            # A compaction that has not removed its old directories yet.
-            df = df.filter(~F.col("batch_id").isin(replaced))
-        columns = [field.name for field in TABLES[name].fields]
-        named = F.coalesce(OF_BATCH, "batch_id").alias("batch_id")
-        return df.select(*columns, *([named] if with_batch_id else []))
-
-    def _scan(self, path: str, schema: T.StructType) -> DataFrame:
+        batch = T.StructField("batch_id", T.StringType(), True)
+        loads = self._scan(self.path(name), T.StructType([*TABLES[name].fields, batch]))
+        columns = [*TABLES[name].names, "batch_id"]
+        parts = [loads.select(*columns), *(part.select(*columns) for part in self._epoch_parts(name, TABLES[name]))]
+        rows = reduce(DataFrame.unionByName, parts)
+        return rows if with_batch_id else rows.drop("batch_id")
+
+    def _scan(self, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
         """What is stored below ``path``; empty when nothing was published yet."""
+        reader = self.spark.read.schema(schema)
+        if base is not None:
+            reader = reader.option("basePath", base)
         try:
-            return self.spark.read.schema(schema).parquet(path)
+            return reader.parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -61,150 +62,176 @@ class TableStore:
         """The table without the rows of one batch; a partition filter, not a row filter."""
         return self.read(name, with_batch_id=True).filter(F.col("batch_id") != batch_id)
 
+    # Batch loads
+
     def batch_path(self, name: str, batch_id: str, source: str) -> str:
         level = f"/source={source}" if name in BY_SOURCE else ""
         return f"{self.path(name)}{level}/batch_id={batch_id}"
 
     def publish(self, name: str, rows: DataFrame, batch_id: str, source: str) -> None:
         """Replace what ``batch_id`` wrote before with ``rows``, even if these are empty."""
-        in_path = {"source"} if name in BY_SOURCE else set()
-        typed = rows.select(
-            *[
-                F.col(field.name).cast(field.dataType).alias(field.name)
-                for field in TABLES[name].fields
-                if field.name not in in_path
-            ]
-        )
+        in_path = frozenset({"source"} if name in BY_SOURCE else ())
+        typed = rows.select(*typed_columns(name, in_path))
         typed.write.mode("overwrite").parquet(self.batch_path(name, batch_id, source))
 
     def count(self, name: str, batch_id: str, source: str) -> int:
         """Rows that a batch has stored, from the footers of its own files."""
         return self.spark.read.parquet(self.batch_path(name, batch_id, source)).count()
 
-    # Keys: a narrow twin of a table's key column in directories by hash, written with the table.
+    # Stream epochs
+
+    @property
+    def _epochs(self) -> str:
+        return f"{self.root}/epochs"
+
+    def _epoch_path(self, stream: str, epoch: int) -> str:
+        return f"{self._epochs}/stream={stream}/epoch={epoch}"
+
+    def has_epoch(self, stream: str, epoch: int) -> bool:
+        """Whether the epoch was published; a published epoch is whole."""
+        files, path = file_system(self.spark, self._epoch_path(stream, epoch))
+        return files.exists(path) or epoch <= self._closed().get(stream, -1)
+
+    def publish_epoch(self, tagged: DataFrame, stream: str, epoch: int) -> None:
+        """Publish the rows of all tables of an epoch at once, unless it is published already.
+
+        ``tagged`` has a ``target`` and one struct column per table, of which that of the target is
+        set. They are written aside by one job, and one rename lets them appear. On object stores,
+        where a rename copies, readers may see an epoch grow.
+        """
+        aside = f"{self.root}/_writing/{uuid.uuid4().hex}"
+        # A file per target for a small epoch, files of even size for a large one.
+        tagged.hint("rebalance", "target").write.partitionBy("target").parquet(aside)
+        self._move(aside, self._epoch_path(stream, epoch), unless=lambda: self.has_epoch(stream, epoch))
+
+    def _move(self, aside: str, place: str, unless) -> None:
+        files, source = file_system(self.spark, aside)
+        _, target = file_system(self.spark, place)
+        files.mkdirs(target.getParent())
+        if unless():
+            files.delete(source, True)
+        elif not files.rename(source, target):
+            raise OSError(f"{aside} could not be renamed to {place}")
+
+    def epoch_counts(self, stream: str, epoch: int) -> dict[str, int]:
+        """Stored rows of an epoch by table, from the footers of its files."""
+        rows = self._scan(self._epoch_path(stream, epoch), T.StructType([T.StructField("target", T.StringType())]))
+        return {row.target: row["count"] for row in rows.groupBy("target").count().collect()}
+
+    def _closed(self) -> dict[str, int]:
+        """For each stream with merged epochs, the last of them, as the directories say."""
+        out: dict[str, int] = {}
+        for stream in children(self.spark, f"{self.root}/closed"):
+            ends = [int(n.partition("=")[2]) for n in children(self.spark, f"{self.root}/closed/{stream}")]
+            if ends:
+                out[stream.partition("=")[2]] = max(ends)
+        return out
+
+    def _epoch_parts(self, name: str, fields: T.StructType) -> list[DataFrame]:
+        """A table's rows in single epochs and in merged ones, with ``stream``, ``epoch`` and ``batch_id``."""
+        where = [T.StructField("stream", T.StringType()), T.StructField("epoch", T.LongType())]
+        held = [T.StructField(name, fields), *where, T.StructField("target", T.StringType())]
+        parts, closed = [], self._closed()
+        if children(self.spark, self._epochs):
+            live = self._scan(f"{self._epochs}/stream=*/epoch=*/target={name}", T.StructType(held), self._epochs)
+            for stream, last in closed.items():
+                live = live.filter((F.col("stream") != stream) | (F.col("epoch") > last))
+            parts.append(live)
+        if closed:
+            # Merged rows keep their epoch as a column.
+            parts.append(self._scan(f"{self.root}/closed/stream=*/through=*/target={name}", T.StructType(held), f"{self.root}/closed"))
+        batch = F.concat_ws("-", "stream", "epoch").alias("batch_id")
+        return [part.select(f"{name}.*", "stream", "epoch", batch) for part in parts]
+
+    def close_epochs(self, stream: str, through: int) -> None:
+        """Merge the epochs up to ``through`` into few files; their keys become a sorted run.
+
+        The rename that lets the merged directory appear is also what hides the single epochs, which
+        are removed after it. Stopped anywhere, it can be run again. No epoch up to ``through`` may be
+        written any more.
+        """
+        last = self._closed().get(stream, -1)
+        if through > last:
+            names = [*TABLES, KEYS]
+            of_target = [T.StructField(n, TABLES.get(n, KEY_STRUCT)) for n in names]
+            where = [T.StructField("target", T.StringType()), T.StructField("epoch", T.LongType())]
+            path = f"{self._epochs}/stream={stream}"
+            rows = self._scan(path, T.StructType([*of_target, *where]))
+            rows = rows.filter(F.col("epoch").between(last + 1, through))
+            aside = f"{self.root}/_writing/{uuid.uuid4().hex}"
+            tables = rows.filter(F.col("target") != KEYS).drop(KEYS)
+            tables.hint("rebalance", "target").write.partitionBy("target").parquet(aside)
+            write_run(rows.filter(F.col("target") == KEYS).select(f"{KEYS}.*"), f"{aside}/keys")
+            place = f"{self.root}/closed/stream={stream}/through={through}"
+            self._move(aside, place, unless=lambda: self._closed().get(stream, -1) >= through)
+        for name in children(self.spark, f"{self._epochs}/stream={stream}"):
+            if int(name.partition("=")[2]) <= through:
+                remove_dir(self.spark, f"{self._epochs}/stream={stream}/{name}")
+
+    # Keys: the hashed keys of a table's rows, in sorted runs and in the epochs themselves.
 
     def _key_path(self, name: str) -> str:
         return f"{self.root}/_keys_{name}"
 
-    def publish_keys(self, name: str, keys: DataFrame, batch_id: str) -> None:
+    def publish_keys(self, name: str, keys: DataFrame, batch_id: str, few: bool = False) -> None:
         """Replace the keys of ``batch_id`` with the one column of ``keys``."""
-        key = F.col(keys.columns[0]).cast("string")
-        rows = keys.select(key.alias("key"), _bucket(key).alias("bucket"))
-        path = f"{self._key_path(name)}/batch_id={batch_id}"
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-    def unseen(self, name: str, new: DataFrame, key: str, batch_id: str) -> DataFrame:
+        write_run(hashed_keys(keys), f"{self._key_path(name)}/batch_id={batch_id}", few)
+
+    def stored_keys(self, name: str, other_than: str) -> DataFrame:
+        """``h, key`` of the keys that other batches have stored."""
+        fields = T.StructType([*KEY_STRUCT.fields, T.StructField("batch_id", T.StringType())])
+        parts = [self._scan(self._key_path(name), fields)]
+        if name == "transactions":
+            if children(self.spark, self._epochs):
+                parts.append(self._epoch_parts(KEYS, KEY_STRUCT)[0])
+            if self._closed():
+                merged = self._scan(f"{self.root}/closed/stream=*/through=*/keys", KEY_STRUCT)
+                parts.append(merged.withColumn("batch_id", F.lit("")))
+        others = [part.filter(F.col("batch_id") != other_than).select("h", "key") for part in parts]
+        return reduce(DataFrame.unionByName, others)
+
+    def unseen(self, name: str, new: DataFrame, key: str, batch_id: str, hashes: list[int] | None = None) -> DataFrame:
         """Rows of ``new`` whose key no other batch has stored.
 
-        Only the hash directories that occur in ``new`` are read. Stored keys are first cut down to
-        those that occur in ``new``: where that fits a broadcast the stored side stays in place.
+        With the ``hashes`` of all its keys only pages that can hold them are read. Without, stored
+        keys are cut down in one pass to those that occur in ``new``, which should be a batch of some size.
         """
-        hashed = _bucket(F.col(key).cast("string"))
-        # KEY_BUCKETS numbers at most.
-        buckets = [row[0] for row in new.select(hashed).distinct().collect()]
-        stored = self._scan(self._key_path(name), KEY_SCHEMA)
-        stored = stored.filter(F.col("bucket").isin(buckets) & (F.col("batch_id") != batch_id))
+        stored = self.stored_keys(name, batch_id)
+        if hashes is not None:
+            stored = with_hashes(stored, hashes) if hashes else stored.limit(0)
         keys = stored.select(F.col("key").cast(new.schema[key].dataType).alias(key))
         return absent_from_large(new, keys, [key])
 
     def compact_keys(self, name: str, batch_ids: list[str], period: str) -> None:
-        """Merge the key directories of closed batches into that of ``period``.
+        """Merge the runs of closed batches into that of ``period``.
 
         Stopped half way and run again it may store a key twice, which a lookup reads as one.
         """
-        stored = self._scan(self._key_path(name), KEY_SCHEMA)
-        merged = stored.filter(F.col("batch_id").isin(batch_ids)).select("key", "bucket")
-        path = f"{self._key_path(name)}/batch_id={period}"
-        one_each = merged.repartition("bucket").sortWithinPartitions("bucket", "key")
-        one_each.write.mode("append").partitionBy("bucket").parquet(path)
+        fields = T.StructType([*KEY_STRUCT.fields, T.StructField("batch_id", T.StringType())])
+        stored = self._scan(self._key_path(name), fields)
+        merged = stored.filter(F.col("batch_id").isin(batch_ids)).select("h", "key")
+        write_run(merged, f"{self._key_path(name)}/batch_id={period}")
         for batch_id in batch_ids:
             remove_dir(self.spark, f"{self._key_path(name)}/batch_id={batch_id}")
 
-    # Compaction: the batches of a closed period in one directory that keeps each row's batch.
-
-    def compact(self, name: str, batch_ids: list[str], source: str, period: str) -> None:
-        """Merge the directories of closed batches into that of ``period``.
-
-        The merged rows are written first, then the note that they replace the old directories,
-        then these go. Stopped anywhere, it can be run again, and readers see every row once: before
-        the note they skip the merged directory, after it the old ones.
-        """
-        note, merged_path = self._note(name, period), self.batch_path(name, period, source)
-        begun = _exists(self.spark, f"{note}.plan") or _exists(self.spark, note)
-        if not begun and _exists(self.spark, merged_path):
-            return
-        if not _exists(self.spark, note):
-            rows = self.read(name, with_batch_id=True).filter(F.col("batch_id").isin(batch_ids))
-            rows = rows.withColumnRenamed("batch_id", OF_BATCH)
-            if name in BY_SOURCE:
-                rows = rows.filter(F.col("source") == source).drop("source")
-            # One file for some hundred megabytes: AQE sizes the partitions of a rebalance.
-            merged = rows.hint("rebalance")
-            self._write_text(f"{note}.plan", [period])
-            merged.write.mode("overwrite").parquet(merged_path)
-            self._write_text(note, batch_ids)
-        for batch_id in batch_ids:
-            remove_dir(self.spark, self.batch_path(name, batch_id, source))
-        for done in (f"{note}.plan", note):
-            remove_dir(self.spark, done)
-
-    def _note(self, name: str, period: str) -> str:
-        return f"{self.root}/_compacted/{name}/{period}"
-
-    def _write_text(self, path: str, lines: list[str]) -> None:
-        rows = self.spark.createDataFrame([(line,) for line in lines], "value string")
-        rows.coalesce(1).write.mode("overwrite").text(path)
-
-    def _replaced(self, name: str) -> list[str]:
-        """Directories to pass over: merged ones not noted yet, old ones that a note replaces.
-
-        Only compactions under way have notes, so the list is as long as their periods are.
-        """
-        folder = f"{self.root}/_compacted/{name}"
-        skipped: list[str] = []
-        for note in _children(self.spark, folder):
-            lines = [row[0] for row in self.spark.read.text(f"{folder}/{note}").collect()]
-            if not note.endswith(".plan"):
-                skipped += lines
-            elif not _exists(self.spark, f"{folder}/{note.removesuffix('.plan')}"):
-                skipped += lines
-        return skipped
-
-    def retract(self, name: str, batch_id: str, source: str) -> None:
-        """Empty what a failed batch left behind, so no row is both stored and dead-lettered."""
-        empty = self.spark.createDataFrame([], TABLES[name])
-        self.publish(name, empty, batch_id, source)
-
     def overwrite(self, name: str, rows: DataFrame) -> DataFrame:
         """Full rebuild of a derived table, read back from storage."""
         rows.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
 
-OF_BATCH = "_of_batch"  # in compacted directories: the batch of each row
-
-
-def _bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
-
-
-def _folder(spark: SparkSession, path: str):
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a directory was written to its end."""
-    files, target = _folder(spark, f"{path}/_SUCCESS")
-    return files.exists(target)
+def typed_columns(name: str, without: frozenset[str] = frozenset()) -> list[Column]:
+    """A table's columns, cast to their declared types."""
+    fields = [f for f in TABLES[name].fields if f.name not in without]
+    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    files, target = _folder(spark, path)
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the directories below ``path``, none if there is no such path."""
+    files, target = file_system(spark, path)
     if not files.exists(target):
         return []
-    names = [status.getPath().getName() for status in files.listStatus(target)]
-    return [name for name in names if _exists(spark, f"{path}/{name}")]
+    return [status.getPath().getName() for status in files.listStatus(target) if status.isDirectory()]
 
 
 def save_as_table(rows: DataFrame, database: str, name: str) -> None:

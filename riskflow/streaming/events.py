@@ -133,31 +133,39 @@ def staging_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def transaction_rows(events: DataFrame, ingested_at: Column) -> DataFrame:
+def transaction_columns(ingested_at: Column) -> dict[str, Column]:
     """The lean fact row; stream rows carry no resolved keys."""
-    no_key = F.lit(None).cast("bigint")
-    return events.select(
-        F.col("trans_num").alias("trans_id"),
-        no_key.alias("customer_id"),
-        no_key.cast("string").alias("merchant_id"),
-        "trans_at",
-        "unix_time",
-        F.col("amt").alias("amount"),
-        "is_fraud",
-        F.lit("stream").alias("source"),
-        ingested_at.alias("ingested_at"),
-    )
+    no_key = F.lit(None)
+    return {
+        "trans_id": F.col("trans_num"),
+        "customer_id": no_key.cast("bigint"),
+        "merchant_id": no_key.cast("string"),
+        "trans_at": F.col("trans_at"),
+        "unix_time": F.col("unix_time"),
+        "amount": F.col("amt"),
+        "is_fraud": F.col("is_fraud"),
+        "source": F.lit("stream"),
+        "ingested_at": ingested_at,
+    }
+
+
+def alert_columns(detected_at: Column) -> dict[str, Column]:
+    return {
+        "alert_id": F.md5(F.col("trans_num").cast("binary")),
+        "trans_id": F.col("trans_num"),
+        "detected_at": detected_at,
+        "risk_score": F.col("risk_score"),
+        "distance_km": F.col("distance_km"),
+        "alert_reason": F.col("alert_reason"),
+    }
+
+
+def transaction_rows(events: DataFrame, ingested_at: Column) -> DataFrame:
+    return events.select(*[c.alias(n) for n, c in transaction_columns(ingested_at).items()])
 
 
 def alert_rows(alerts: DataFrame, detected_at: Column) -> DataFrame:
-    return alerts.select(
-        F.md5(F.col("trans_num").cast("binary")).alias("alert_id"),
-        F.col("trans_num").alias("trans_id"),
-        detected_at.alias("detected_at"),
-        "risk_score",
-        "distance_km",
-        "alert_reason",
-    )
+    return alerts.select(*[c.alias(n) for n, c in alert_columns(detected_at).items()])
 
 
 def as_messages(events: DataFrame) -> DataFrame:

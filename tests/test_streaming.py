@@ -1,6 +1,8 @@
 """The stream job on file streams: several epochs, restarts, replays, dead letters."""
 
 import json
+import time
+from pathlib import Path
 
 import pytest
 from helpers import event, frame
@@ -10,6 +12,7 @@ from riskflow.schemas import RAW_EVENT
 from riskflow.session import work_dir
 from riskflow.sources import events as sources
 from riskflow.sources import files
+from riskflow.sources.key_runs import first_hashes
 from riskflow.sources.tables import TableStore
 from riskflow.streaming import dead_letters, events, job
 from riskflow.streaming.writer import MicroBatchWriter
@@ -120,16 +123,17 @@ def test_numbers_that_do_not_fit_are_rejected(spark, store):
 
 
 class BrokenStore(TableStore):
-    """Fails when one of its tables is written with rows."""
+    """Fails when an epoch has rows of one of its tables."""
 
     def __init__(self, spark, root, *broken):
         super().__init__(spark, root)
         self.broken = broken
 
-    def publish(self, name, rows, batch_id, source):
-        if name in self.broken and not rows.isEmpty():
-            raise OSError(f"{name} is full")
-        super().publish(name, rows, batch_id, source)
+    def publish_epoch(self, tagged, stream, epoch):
+        for name in self.broken:
+            if not tagged.filter(F.col("target") == name).isEmpty():
+                raise OSError(f"{name} is full")
+        super().publish_epoch(tagged, stream, epoch)
 
 
 def test_failed_epoch_goes_to_the_dead_letters_as_a_whole(spark, tmp_path):
@@ -166,65 +170,110 @@ def test_guard_finds_a_number_that_comes_back_with_any_time(spark, store):
     assert ids(store, "transactions") == ["a", "b"]
 
 
-def test_guard_reads_only_the_hash_directories_of_its_keys(spark, store):
+def bytes_read(spark, run) -> int:
+    """Bytes that the tasks of ``run`` read from storage."""
+    context, group = spark.sparkContext, f"read-{time.time()}"
+    context.setJobGroup(group, group)
+    run()
+    context.setJobGroup("", "")
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker, status = context.statusTracker(), context._jsc.sc().statusStore()
+    stages = {k for job_id in tracker.getJobIdsForGroup(group) for k in tracker.getJobInfo(job_id).stageIds}
+    return sum(status.lastStageAttempt(k).inputBytes() for k in stages)
+
+
+def test_guard_reads_a_few_pages_of_ten_million_keys(spark, store):
+    numbers = F.md5(F.col("id").cast("string").cast("binary"))
+    store.publish_keys("transactions", spark.range(10_000_000).select(numbers.alias("trans_num")), "load-1")
+    wanted = spark.range(9_999_950, 10_000_050).select(numbers.alias("trans_num")).persist()
+    hashes = first_hashes(wanted, "trans_num")
+    found = []
+    few = bytes_read(spark, lambda: found.extend(store.unseen("transactions", wanted, "trans_num", "s-0", hashes).collect()))
+    expected = spark.range(10_000_000, 10_000_050).select(numbers.alias("n")).collect()
+    assert sorted(r.trans_num for r in found) == sorted(r.n for r in expected)
+    stored = sum(p.stat().st_size for p in Path(store.root).rglob("*.parquet"))
+    assert 0 < few < 0.05 * stored, (few, stored)
+    # Without hashes one pass over all keys gives the same.
+    whole = store.unseen("transactions", wanted, "trans_num", "s-0").collect()
+    assert sorted(whole) == sorted(found)
+    assert store.unseen("transactions", wanted, "trans_num", "load-1", hashes).count() == 100
+    wanted.unpersist()
+
+
+def test_lookups_of_more_keys_than_are_sent_take_one_pass(spark, store):
+    rows = spark.range(5_000).select(F.col("id").cast("string").alias("trans_num"))
+    store.publish_keys("transactions", rows.filter("trans_num % 2 = 0"), "load-1")
+    assert first_hashes(rows, "trans_num") is None
+    few = rows.filter("trans_num < 600")
+    hashes = first_hashes(few, "trans_num")
+    assert len(hashes) == 600 and store.unseen("transactions", few, "trans_num", "x", hashes).count() == 300
+    assert store.unseen("transactions", rows, "trans_num", "x").count() == 2_500
+
+
+def test_closed_epochs_keep_rows_batches_and_the_guard(spark, store):
     writer = MicroBatchWriter(store, "s")
-    writer(frame(spark, [event(f"t{i}") for i in range(300)]), 0)
-    new = spark.createDataFrame([("t1",), ("x",)], "trans_num string")
-    fresh = store.unseen("transactions", new, "trans_num", "s-9")
-    files = fresh._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in files and "bucket" in files.split("PartitionFilters")[1][:200]
-    # Stored keys are cut down where they lie: an exchange stands above the join, never above the scan.
-    below = files[files.rindex("LeftSemi") :]
-    assert "BroadcastExchange" in below and "Exchange hashpartitioning" not in below.split("BroadcastExchange")[0]
-    assert [r.trans_num for r in fresh.collect()] == ["x"]
-
-
-def test_compaction_keeps_rows_batches_and_the_guard(spark, store):
-    writer = MicroBatchWriter(store, "s")
-    for epoch in range(4):
-        writer(frame(spark, [event(f"t{epoch}{i}") for i in range(3)]), epoch)
+    for epoch in range(5):
+        writer(frame(spark, [event(f"t{epoch}{i}", is_fraud=i) for i in range(2)] + [event(None)]), epoch)
+    MicroBatchWriter(store, "other")(frame(spark, [event("o")]), 0)
+    names = ("transactions", "fraud_alerts", "stream_staging", "dead_letters")
 
     def stored():
-        return sorted((r.trans_id, r.batch_id) for r in store.read("transactions", with_batch_id=True).collect())
+        return {n: sorted(map(str, store.read(n, with_batch_id=True).collect())) for n in names}
 
-    before, closed = stored(), ["s-0", "s-1", "s-2"]
-    for _ in range(2):  # safe to repeat
-        store.compact("transactions", closed, "stream", "period-1")
-        store.compact_keys("transactions", closed, "period-1")
+    before = stored()
+    assert len(before["transactions"]) == 11 and len(before["dead_letters"]) == 5
+    for through in (1, 1, 3):  # safe to repeat
+        store.close_epochs("s", through)
         assert stored() == before
-    from pathlib import Path
-
-    folders = sorted(p.name for p in Path(store.path("transactions"), "source=stream").iterdir() if p.is_dir())
-    assert folders == ["batch_id=period-1", "batch_id=s-3"]
-    writer(frame(spark, [event("t00"), event("new")]), 9)
-    assert ids(store, "transactions") == sorted([i for i, _ in before] + ["new"])
+    assert sorted(p.name for p in Path(store.root, "epochs/stream=s").iterdir()) == ["epoch=4"]
+    writer(frame(spark, [event("t00"), event("t30"), event("t40"), event("o"), event("new")]), 9)
+    assert ids(store, "transactions") == sorted(["o", "new", *(f"t{e}{i}" for e in range(5) for i in range(2))])
+    writer(frame(spark, [event("late")]), 2)  # an epoch that was closed is published already
+    assert "late" not in ids(store, "transactions")
 
 
-@pytest.mark.parametrize("stopped_at", ["plan", "note"])
-def test_compaction_that_stops_half_way_shows_every_row_once(spark, store, stopped_at, monkeypatch):
+def test_closing_that_stops_half_way_shows_every_row_once(spark, store, monkeypatch):
     from riskflow.sources import tables
 
     writer = MicroBatchWriter(store, "s")
     for epoch in range(2):
         writer(frame(spark, [event(f"t{epoch}")]), epoch)
-    write, real = store._write_text, tables.remove_dir
 
-    def fail(*_):
+    def fail(*_, **__):
         raise OSError("stopped")
 
-    def write_plan_only(path, lines):
-        return write(path, lines) if path.endswith(".plan") else fail()
-
-    with monkeypatch.context() as patch:
-        if stopped_at == "plan":
-            patch.setattr(store, "_write_text", write_plan_only)
-        else:
-            patch.setattr(tables, "remove_dir", fail)
-        with pytest.raises(OSError):
-            store.compact("transactions", ["s-0", "s-1"], "stream", "p")
-    assert ids(store, "transactions") == ["t0", "t1"] and tables.remove_dir is real
-    store.compact("transactions", ["s-0", "s-1"], "stream", "p")
-    assert ids(store, "transactions") == ["t0", "t1"]
+    for broken in ("_move", "remove_dir"):  # before the merged rows appear, and before the single ones go
+        with monkeypatch.context() as patch:
+            patch.setattr(*((store, "_move") if broken == "_move" else (tables, broken)), fail)
+            with pytest.raises(OSError):
+                store.close_epochs("s", 1)
+        assert ids(store, "transactions") == ["t0", "t1"]
+    store.close_epochs("s", 1)
+    assert ids(store, "transactions") == ["t0", "t1"] and not list(Path(store.root, "epochs/stream=s").iterdir())
+
+
+def test_tables_of_an_epoch_appear_together(spark, store, monkeypatch):
+    """A reader at any moment of the write sees all targets or none; one job writes them."""
+    writer, seen, move = MicroBatchWriter(store, "s"), [], store._move
+    names = ("transactions", "fraud_alerts", "stream_staging", "dead_letters")
+
+    def watched(*args, **options):
+        seen.append([store.read(n).count() for n in names])
+        move(*args, **options)
+        seen.append([store.read(n).count() for n in names])
+
+    monkeypatch.setattr(store, "_move", watched)
+    writer(frame(spark, [event("a", is_fraud=1), event("b"), event(None)]), 0)
+    assert seen == [[0, 0, 0, 0], [2, 1, 2, 1]]
+    writer(frame(spark, [event("a"), event("c")]), 1)
+    assert seen[2:] == [[2, 1, 2, 1], [3, 1, 4, 1]]
+
+
+def test_small_epoch_writes_a_file_for_each_target(spark, store):
+    rows = frame(spark, [event(f"t{i}", is_fraud=i % 2) for i in range(50)] + [event(None)]).repartition(8)
+    MicroBatchWriter(store, "s")(rows, 0)
+    files = [p.parent.name for p in Path(store.root, "epochs").rglob("*.parquet")]
+    assert sorted(files) == [f"target={n}" for n in ("_keys", "dead_letters", "fraud_alerts", "stream_staging", "transactions")]
 
 
 def test_dead_letters_go_to_their_topic(spark, store, tmp_path):
