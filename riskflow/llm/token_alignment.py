@@ -1,6 +1,6 @@
 """Alignment of two tokenizers' tokens by the byte offsets where both end.
 
-Texts are tokenised in slices of a few megabytes, and each slice is worked on as Arrow tables. The lists
+Texts are tokenised in slices of a megabyte, and each slice is worked on as Arrow tables. The lists
 of ids are flattened with the indices of their documents, running sums of token bytes, started anew at
 each document, give the ends of tokens, and a hash join on (document, end) finds the links and the
 places where both cut. ``Table.group_by`` counts the linked id pairs of a slice; Spark merges these
@@ -28,8 +28,8 @@ from riskflow.llm.common import bucketed, in_slices
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 4 << 20
-REMEMBERED = 300_000  # parts of texts of which a worker keeps the ids
+SLICE_BYTES = 1 << 20
+REMEMBERED = 100_000  # parts of texts of which a worker keeps the ids
 SPACE_MARK = "▁"
 # Before a space behind what is surely no white space; no piece of a model may hold a space behind other text.
 # A single space at the end stays with its word, as nothing gets no space in front.
