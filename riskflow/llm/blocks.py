@@ -10,7 +10,6 @@ number, so joining answers to texts does not move the texts.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,14 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import scratch, utf8
+from riskflow.llm.common import bucketed, utf8
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES, BUCKET_BYTES = 2 << 20, 4 << 20
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets of keys: four for each shuffle partition, 256 at least."""
-    return max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def bucket_count(packed: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
+    """Buckets of keys: one for every four megabytes of packed texts, 256 at least."""
+    return max(256, packed.count() * block_bytes // BUCKET_BYTES)  # counted from the footers
 
 
 def pack(docs: DataFrame, text: str, digest: Callable[[bytes], int], block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -35,7 +34,6 @@ def pack(docs: DataFrame, text: str, digest: Callable[[bytes], int], block_bytes
     ``rows`` has the other columns of each document, ``sizes`` its bytes, ``blob`` all texts in turn.
     A document longer than ``block_bytes`` has a block of its own. Null text is empty.
     """
-    spark = docs.sparkSession
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("int").alias("none")]
     source = docs.select(F.struct(*others).alias("row"), utf8(text).alias("body"))
     row_type = source.schema["row"].dataType.simpleString()
@@ -69,16 +67,8 @@ def pack(docs: DataFrame, text: str, digest: Callable[[bytes], int], block_bytes
             )
             number += count
 
-    name = f"llm_blocks_{uuid.uuid4().hex}"
     shape = f"block long, rows array<{row_type}>, sizes array<long>, digests array<long>, blob binary"
-    (
-        source.mapInArrow(packed, shape)
-        .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
-        .option("path", scratch(spark, "blocks"))
-        .option("parquet.block.size", 16 << 20)
-        .saveAsTable(name)
-    )
-    return spark.table(name)
+    return bucketed(source.mapInArrow(packed, shape), "block", "blocks", **{"parquet.block.size": 16 << 20})
 
 
 def ask(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:

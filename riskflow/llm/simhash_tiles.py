@@ -1,30 +1,31 @@
 """SimHash near-duplicates by tiled exact comparison.
 
-Every text gets a 64-bit fingerprint. Equal fingerprints are merged first, so copies cost one row.
-The distinct fingerprints are cut into tiles by population count and a hash; two tiles are compared
-only if their population counts lie within the radius, each pair of tiles in one task, with
-exclusive-or and bit counts over numpy arrays. Inside a pair of tiles the same rule is applied to
-the population counts of the four 16-bit words: their differences add up to at most the number of
-differing bits. A task returns a spanning forest of its links, never the links themselves, and the
-forests are joined into components on Spark.
+Every text gets a 64-bit fingerprint. Equal fingerprints are merged first, so copies cost one row. Two
+fingerprints within a radius of three bits agree in one of their four 16-bit words at least, so each
+distinct one is dealt to four groups, one for each word's value, and compared inside them only. A group
+that is too large is split by the same rule, applied to the bits that are left. Inside a group, tiles of
+equal population counts (of the four words) are compared by exclusive-or and bit counts over numpy
+arrays; pairs of tiles whose counts differ by more than the radius are skipped. A task returns spanning
+forests of its links, never the links themselves, and these are joined into components on Spark.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import by_size, free_name, stored, utf8
 from riskflow.llm.components import components
 
 SEED = 42
-TILE_ROWS = 16_384
-_SLICE = 1 << 15
+GROUP_ROWS = 16_384
+_SLICE, _SHORT = 1 << 15, 48
 
 
 def fingerprint(text: bytes, width: int = 3) -> int:
@@ -113,68 +114,100 @@ def linked(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.
     return everything[away], everything[labels[away]]
 
 
-def _tiled(rows: DataFrame, prints: str, radius: int, tile_rows: int) -> DataFrame:
-    """Every row once for each pair of tiles that it takes part in.
+def linked_in_groups(groups: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Star edges of the components inside groups; rows of a group stand together.
 
-    Adds ``a, b`` (the tiles), ``second`` (its tile is b, not a). Neighbouring population counts share
-    a tile until it is full, a frequent one is split by a hash of the fingerprint. Pairs of tiles whose
-    population counts differ by more than ``radius`` are left out.
+    Short groups are compared side by side, all rows with the next, then with the one after that.
     """
-    spark = rows.sparkSession
-    counted = rows.withColumn("ones", F.bit_count(prints))
-    # At most 65 rows.
-    number = {r["ones"]: r["count"] for r in counted.groupBy("ones").count().collect()}
-    spans: list[list[int]] = []  # lowest count, highest count, rows
-    first, split = {}, {}
-    for ones in sorted(number):
-        split[ones] = -(-number[ones] // tile_rows)
-        if spans and split[ones] == 1 and spans[-1][2] + number[ones] <= tile_rows:
-            spans[-1][1:] = ones, spans[-1][2] + number[ones]
-            first[ones] = len(spans) - 1
-        else:
-            first[ones] = len(spans)
-            spans += [[ones, ones, number[ones] // split[ones]] for _ in range(split[ones])]
-    plan = []
-    for ones in sorted(number):
-        low, high = spans[first[ones]][:2]
-        near = [t for t, (lo, hi, _) in enumerate(spans) if lo - high <= radius and low - hi <= radius]
-        plan.append((ones, first[ones], split[ones], near[0], near[-1]))
-    shape = "ones int, first_tile int, own_tiles int, near_from int, near_to int"
-    of = F.broadcast(spark.createDataFrame(plan, shape))
-    own = F.col("first_tile") + F.pmod(F.xxhash64(prints), F.col("own_tiles"))
-    placed = counted.join(of, "ones").select(*rows.columns, own.cast("int").alias("own"), "near_from", "near_to")
-    return placed.select(*rows.columns, "own", F.explode(F.sequence("near_from", "near_to")).alias("other")).select(
-        *rows.columns, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-        (F.col("own") > F.col("other")).alias("second"),
-    )
-
-
-def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray | None]:
-    """Row numbers of the first tile, and of the second unless both are the same."""
-    second = group.column("second").to_numpy(zero_copy_only=False).astype(bool)
-    same = group.column("a")[0].as_py() == group.column("b")[0].as_py()
-    return np.flatnonzero(~second), None if same else np.flatnonzero(second)
-
-
-def links(distinct: DataFrame, name: str, radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Forest edges ``u, v`` among the distinct fingerprints in column ``name``."""
-
-    def compare(group: pa.Table) -> pa.Table:
-        prints = group.column("f").to_numpy().view(np.uint64)
-        left, right = _sides(group)
-        if not len(left) or right is not None and not len(right):
-            u = v = prints[:0]
-        else:
-            u, v = linked(np.sort(prints[left]), None if right is None else np.sort(prints[right]), radius)
-        return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
-
-    tiled = _tiled(distinct.select(F.col(name).alias("f")), "f", radius, tile_rows)
-    return tiled.groupBy("a", "b").applyInArrow(compare, "u long, v long")
+    ends = np.r_[0, np.flatnonzero(np.diff(groups)) + 1, len(groups)] if len(groups) else np.zeros(1, int)
+    sizes = np.diff(ends)
+    labels = np.arange(len(groups))
+    left = np.flatnonzero(np.repeat(sizes <= _SHORT, sizes))
+    for apart in range(1, min(_SHORT, sizes.max(initial=0))):
+        left = left[left + apart < len(groups)]
+        left = left[groups[left] == groups[left + apart]]
+        near = left[np.bitwise_count(prints[left] ^ prints[left + apart]) <= radius]
+        _merge(labels, near, near + apart)
+    away = np.flatnonzero(labels != np.arange(len(labels)))
+    found = [(prints[away], prints[labels[away]])]
+    for k in np.flatnonzero(sizes > _SHORT):
+        found.append(linked(prints[ends[k] : ends[k + 1]], None, radius))
+    return tuple(np.concatenate(side) for side in zip(*found))
+
+
+def _dealt(radius: int) -> Column:
+    """The groups of a row: for each word of its remaining bits, one with that word's value.
+
+    ``part`` names the group, ``rest`` are the bits without that word, ``bits`` is their number.
+    """
+    words = radius + 1
+    width = F.expr(f"bits div {words}")
+    of = []
+    for k in range(words):
+        low = (width * k).cast("int")
+        # The last word takes what the division leaves over.
+        high = (width * (k + 1)).cast("int") if k + 1 < words else F.col("bits")
+        below = F.call_function("shiftleft", F.lit(1).cast("long"), low) - 1
+        above = F.when(high >= 64, F.lit(0).cast("long")).otherwise(
+            F.call_function("shiftleft", F.call_function("shiftrightunsigned", F.col("rest"), high), low)
+        )
+        word = F.call_function("shiftrightunsigned", F.col("rest"), low)
+        size = (high - low).cast("int")
+        word = word.bitwiseAND(F.when(size >= 64, F.lit(-1).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), size) - 1))
+        name = F.concat_ws(".", "part", F.lit(str(k)), F.hex(word))
+        kept = F.col("rest").bitwiseAND(below).bitwiseOR(above)
+        of.append(F.struct(name.alias("part"), kept.alias("rest"), (F.col("bits") - size).alias("bits"), F.col("f").alias("f")))
+    return F.array(*of)
+
+
+def links(distinct: DataFrame, name: str, radius: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Forest edges ``u, v`` among the distinct fingerprints in column ``name``.
+
+    Each fingerprint has a row in ``radius + 1`` groups, whatever their number; one in a group of more
+    than ``group_rows`` has as many in the next smaller groups instead.
+    """
+    f = F.col(f"`{name}`").cast("long")
+    whole = distinct.select(F.lit("").alias("part"), f.alias("rest"), F.lit(64).alias("bits"), f.alias("f"))
+    rows, small = stored(whole.select(F.inline(_dealt(radius))), "groups"), []
+    while True:
+        # A group whose bits cannot be cut again has few enough values left for one task.
+        large = rows.groupBy("part").agg(F.count("*").alias("n"), F.first("bits").alias("bits"))
+        large = stored(large.filter((F.col("n") > group_rows) & (F.col("bits") > 2 * radius + 2)).select("part"), "large-groups")
+        if large.isEmpty():
+            break
+        small.append(rows.join(large, "part", "left_anti"))
+        rows = stored(rows.join(large, "part", "left_semi").select(F.inline(_dealt(radius))), "groups")
+    for more in small:
+        rows = rows.unionByName(more)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, prints = np.zeros(0, object), np.zeros(0, np.uint64)
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                part = np.concatenate([part, batch.column(0).to_numpy(zero_copy_only=False)])
+                prints = np.concatenate([prints, batch.column(1).to_numpy().view(np.uint64)])
+            # The last group may go on in the next batch.
+            done = len(part) if batch is None else int(np.searchsorted(part, part[-1], "left")) if len(part) else 0
+            _, number = np.unique(part[:done], return_inverse=True)
+            u, v = linked_in_groups(number, prints[:done], radius)
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
+            part, prints = part[done:], prints[done:]
+
+    dealt = rows.select("part", "f").repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(compare, "u long, v long")
+
+
+def _labelled(prints: DataFrame, radius: int, group_rows: int) -> DataFrame:
+    """``f, label``: the component of each fingerprint of ``prints.f``."""
+    distinct = prints.select("f").distinct()
+    classes = components(links(distinct, "f", radius, group_rows))
+    named = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left")
+    return named.select("f", F.coalesce("label", "f").alias("label"))
 
 
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = 3, radius: int = 3,
-    tile_rows: int = TILE_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id``: one row per document.
 
@@ -189,187 +222,31 @@ def near_duplicates(
     ids = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     prints = stored(with_fingerprints(ids, "text", "f", width), "fingerprints")
     distinct = prints.groupBy("f").agg(F.min("doc_id").alias("lowest"))
-    classes = components(links(distinct.select("f"), "f", radius, tile_rows))
-    named = distinct.join(classes.withColumnRenamed("node", "f"), "f", "left")
-    named = named.select("f", "lowest", F.coalesce("label", "f").alias("label"))
+    named = stored(_labelled(prints, radius, group_rows), "labels").join(distinct, "f")
     lowest = named.groupBy("label").agg(F.min("lowest").alias("component_id"))
     by_print = named.join(lowest, "label").select("f", "component_id")
     digits = F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint")
     return prints.join(by_print, "f").select("doc_id", digits, "component_id")
 
 
-# Similar texts: the fingerprints only propose, the shingles themselves decide.
-
-WIDTH, SIMILARITY = 5, 0.8
-#: Of 128 bits. At a Jaccard similarity of 0.8 the two fingerprints differ in 20 bits on average, with
-#: a deviation of 4; ``FIRST`` bounds the first 64 of them and is 3.5 deviations off as well.
-PROPOSE, FIRST = 34, 20
-PROPOSAL_TILE_ROWS, SIMILAR_TILE_ROWS = 65_536, 1_024
-
-
-def shingle_hashes(text: bytes, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; none without words."""
-    words = text.lower().split()
-    if len(words) <= width:
-        shingles = {b" ".join(words)} if words else set()
-    else:
-        shingles = set(map(b" ".join, zip(*(words[k:] for k in range(width)))))
-    digest = xxhash.xxh3_64_intdigest
-    return np.sort(np.fromiter((digest(s) for s in shingles), np.uint64, len(shingles)))
-
-
-def _majority(h: np.ndarray) -> int:
-    """Signed fingerprint of a set of hashes."""
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(h), _SLICE):
-        bits = np.unpackbits(h[at : at + _SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits((2 * ones > len(h)).astype(np.uint8), bitorder="little").view(np.int64)[0])
-
-
-def _second(h: np.ndarray) -> np.ndarray:
-    """Other hashes of the same shingles."""
-    with np.errstate(over="ignore"):
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def _proposals(f: np.ndarray, g: np.ndarray, left: np.ndarray, right: np.ndarray | None, step: int = 2048):
-    """Pairs of row numbers whose fingerprints are near, chunk by chunk; each pair once."""
-    other = left if right is None else right
-    for p in range(0, len(left), step):
-        for q in range(p if right is None else 0, len(other), step):
-            one, two = left[p : p + step], other[q : q + step]
-            apart = np.bitwise_count(f[one][:, None] ^ f[two][None, :])
-            a, b = np.nonzero(apart <= FIRST)
-            if right is None and p == q:
-                a, b = a[a < b], b[a < b]
-            far = apart[a, b].astype(np.int16) + np.bitwise_count(g[one[a]] ^ g[two[b]])
-            yield one[a[far <= PROPOSE]], two[b[far <= PROPOSE]]
-
-
-def similar_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = WIDTH,
-    similarity: float = SIMILARITY, tile_rows: int = PROPOSAL_TILE_ROWS, similar_tile_rows: int = SIMILAR_TILE_ROWS,
+def without_near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, width: int = 3, radius: int = 3,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """``handle, doc_id, text_key, label`` of every row: its hash, id, the hash of its lower-cased words,
-    and its group.
+    """The rows of ``docs`` less all but one of each component of :func:`near_duplicates`, columns unchanged.
 
-    Texts are linked if their sets of ``width``-word shingles have a Jaccard similarity of at least
-    ``similarity``, or if their words are equal; groups are what links reach. A first tiled pass joins
-    texts with near fingerprints into families; within a family the texts are compared again with
-    their shingles at hand. Texts already joined within a task are not compared again, so a large
-    group of near copies costs about one exact comparison per member.
-
-    Null texts, empty ones and ones of white space have no shingles; they are copies of one another.
-    """
-    handle = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("handle")
-    source = docs.select(handle, F.col(f"`{doc_id}`").cast("long").alias("doc_id"), utf8(f"`{text}`").alias("body"))
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.as_py() for t in batch.column(2)]
-            keys = [xxhash.xxh64_intdigest(b" ".join(t.lower().split())) for t in texts]
-            sets = [shingle_hashes(t, width) for t in texts]
-            columns = [np.array(keys, np.uint64).view(np.int64), [_majority(s) for s in sets], [_majority(_second(s)) for s in sets]]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], *(pa.array(c, pa.int64()) for c in columns)], ["handle", "doc_id", "text_key", "f", "g"]
-            )
-
-    rows = stored(source.mapInArrow(prints, "handle long, doc_id long, text_key long, f long, g long"), "prints")
-    # One row for each text, merged on the map side.
-    every = stored(rows.groupBy("text_key", "f", "g").agg(F.min("handle").alias("handle")), "texts")
-
-    def propose(group: pa.Table) -> pa.Table:
-        f, g = (group.column(c).to_numpy().view(np.uint64) for c in "fg")
-        key, labels = group.column("text_key").to_numpy(), np.arange(group.num_rows)
-        for a, b in _proposals(f, g, *_sides(group)):
-            _merge(labels, a, b)
-        away = np.flatnonzero(labels != np.arange(len(labels)))
-        return pa.table({"u": key[away], "v": key[labels[away]]})
-
-    near = _tiled(every.select("text_key", "f", "g"), "f", FIRST, tile_rows)
-    proposed = components(near.groupBy("a", "b").applyInArrow(propose, "u long, v long"))
-    proposed = stored(proposed.select(F.col("node").alias("text_key"), F.col("label").alias("family")), "proposed")
-    sizes = proposed.groupBy("family").agg(F.ceil(F.count("*") / similar_tile_rows).cast("int").alias("tiles"))
-    wanted = stored(every.join(proposed, "text_key").join(sizes, "family"), "wanted")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [shingle_hashes(t.as_py(), width).tobytes() for t in batch.column(5)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(own, pa.binary())], ["text_key", "f", "g", "family", "tiles", "shingles"]
-            )
-
-    shingled = (
-        source.join(by_size(wanted), "handle").select("text_key", "f", "g", "family", "tiles", "body")
-        .mapInArrow(sets, "text_key long, f long, g long, family long, tiles int, shingles binary")
-    )
-
-    def decide(group: pa.Table) -> pa.Table:
-        f, g = (group.column(c).to_numpy().view(np.uint64) for c in "fg")
-        key, own = group.column("text_key").to_numpy(), group.column("shingles").combine_chunks()
-        sets = [np.frombuffer(s.as_py(), np.uint64) for s in own]
-        labels = np.arange(len(f))
-        for a, b in _proposals(f, g, *_sides(group)):
-            for i, j in zip(a.tolist(), b.tolist()):
-                x, y = _root(labels, i), _root(labels, j)
-                if x != y and _jaccard_at_least(sets[i], sets[j], similarity):
-                    labels[max(x, y)] = min(x, y)
-        roots = np.array([_root(labels, k) for k in range(len(f))], np.int64)
-        away = np.flatnonzero(roots != np.arange(len(f)))
-        return pa.table({"u": key[away], "v": key[roots[away]]})
-
-    # A family of few texts is one task; a large one is cut into tiles like the whole.
-    own = F.pmod(F.xxhash64("text_key"), F.col("tiles")).cast("int")
-    placed = shingled.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiles = placed.select(
-        "family", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"),
-        (F.col("own") > F.col("other")).alias("second"), "text_key", "f", "g", "shingles",
-    )
-    edges = tiles.groupBy("family", "a", "b").applyInArrow(decide, "u long, v long")
-    groups = components(edges).withColumnRenamed("node", "text_key")
-    named = every.select("text_key").join(groups, "text_key", "left")
-    named = named.select("text_key", F.coalesce("label", "text_key").alias("label"))
-    return rows.select("handle", "doc_id", "text_key").join(named, "text_key")
-
-
-def _root(labels: np.ndarray, k: int) -> int:
-    while labels[k] != k:
-        labels[k] = labels[labels[k]]
-        k = int(labels[k])
-    return k
-
-
-def _jaccard_at_least(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    small, large = sorted((a, b), key=len)
-    if not len(small) or len(small) < similarity * len(large):
-        return False
-    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-    both = int((large[at] == small).sum())
-    return both >= similarity * (len(a) + len(b) - both)
-
-
-def without_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` less all but one of each group of similar texts, columns unchanged.
-
-    The row with the smallest id stays, then the one with the smallest hash; rows whose id is null
-    come last. Repeated rows are copies of each other. Options are those of ``similar_groups``.
+    The row with the smallest id stays, then the first as stored; rows whose id is null come last.
+    Repeated rows are copies of each other, and so are all rows without words. An empty table gives an
+    empty result.
     """
-    groups = similar_groups(docs, doc_id, text, **options)
-    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "handle")
-    handle = free_name(docs.columns, "handle")
-    groups = stored(groups, "groups")
-    kept = groups.groupBy("label").agg(F.min(best).alias("best")).select(F.col("best.handle").alias("handle"))
-    # The rows to leave out are few: their handles are joined, and the texts of the others stay in place
-    # wherever that list fits a broadcast.
-    gone = stored(groups.select("handle").join(kept, "handle", "left_anti").distinct(), "gone")
-    rows = docs.withColumn(handle, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    left = rows.join(by_size(gone.withColumnRenamed("handle", handle)), handle, "left_anti")
-    # Rows alike in every column share a handle; one of them stays.
-    repeated = stored(groups.join(kept, "handle", "left_semi").groupBy("handle").count().filter("count > 1").select(F.col("handle").alias(handle)), "repeated")
-    if repeated.isEmpty():
-        return left.drop(handle)
-    once = left.join(repeated, handle, "left_semi").dropDuplicates([handle])
-    return left.join(repeated, handle, "left_anti").unionByName(once).drop(handle)
+    number = free_name(docs.columns, "number")
+    # A row's number is fixed by being stored with the row.
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    ids = rows.select(F.col(number).alias("number"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    prints = stored(with_fingerprints(ids, "text", "f", width), "fingerprints")
+    best = F.struct(F.col("id").isNull().alias("none"), "id", "number")
+    firsts = prints.groupBy("f").agg(F.min(best).alias("best"))
+    labels = _labelled(prints, radius, group_rows)
+    kept = firsts.join(labels, "f").groupBy("label").agg(F.min("best").alias("best"))
+    kept = stored(kept.select(F.col("best.number").alias(number)), "kept")
+    return rows.join(by_size(kept), number, "left_semi").drop(number)

@@ -32,7 +32,7 @@ from riskflow.llm.common import stored
 
 PERIOD = 273  # 16 * 16 + 16 + 1: a perfect difference set of 17 residues exists
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SLICE = 1 << 22
+_SLICE = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -160,9 +160,20 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {n: v if n == "rows" else v.as_py() for n, v in row.items()}
 
 
+def _of_words(text: np.ndarray, cover: np.ndarray, edges: np.ndarray, least: int) -> np.ndarray:
+    """The runs ``start, stop`` that hold enough words; the others are no longer covered."""
+    kept = []
+    for start, stop in edges.reshape(-1, 2).tolist():
+        if len(text[start:stop].tobytes().split()) >= least:
+            kept += [start, stop]
+        else:
+            cover[start:stop] = False
+    return np.array(kept, np.int64)
+
+
 def remove_repeats(
     docs: DataFrame, text: str = "text", *, length: int = 400, period: int = PERIOD,
-    block_bytes: int = blocks.BLOCK_BYTES, whole_characters: bool = False,
+    block_bytes: int = blocks.BLOCK_BYTES, whole_characters: bool = False, least_words: int = 0,
 ) -> DataFrame:
     """``row, n_bytes, spans, kept``: what is left of each text.
 
@@ -170,14 +181,16 @@ def remove_repeats(
     same document or another; passages never cross documents. ``row`` is a struct of all other
     columns of ``docs``, so that no name clashes; ``spans`` are the maximal removed runs
     ``start, stop``, ``kept`` the remaining bytes in turn. With ``whole_characters`` the bytes of a
-    character of UTF-8 go only together, so that what is kept remains UTF-8.
+    character of UTF-8 go only together, so that what is kept remains UTF-8. Of the maximal runs only those
+    with ``least_words`` words or more go, so that short strings which repeat by nature can stay.
 
     Null text counts as empty. Texts shorter than ``length`` stay whole. Repeated rows are copies of
     one another and, if long enough, lose every byte. An empty table gives an empty result.
     """
     if length < period + 8:
         raise ValueError("length must exceed the period by 8 at least")
-    packed, buckets = blocks.pack(docs, text, _digest, block_bytes), blocks.bucket_count(docs)
+    packed = blocks.pack(docs, text, _digest, block_bytes)
+    buckets = blocks.bucket_count(packed, block_bytes)
 
     def asked(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -212,6 +225,8 @@ def remove_repeats(
                 cover = np.bincount(of, ~cover, of[-1] + 1)[of] == 0 if len(of) else cover
             for a, b in zip(block.starts, block.starts[1:]):
                 edges = np.flatnonzero(np.diff(np.r_[False, cover[a:b], False]))
+                if least_words:
+                    edges = _of_words(block.data[a:b], cover[a:b], edges, least_words)
                 spans.append([{"start": s, "stop": e} for s, e in edges.reshape(-1, 2).tolist()])
                 kept.append(block.data[a:b][~cover[a:b]].tobytes())
             span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))

@@ -8,8 +8,7 @@ import pytest
 
 import corpus_pipeline
 from riskflow.llm import pfair, queries
-from riskflow.llm.simhash_tiles import shingle_hashes
-
+from riskflow.llm.simhash_tiles import fingerprint
 
 
 def covered(texts, length):
@@ -120,35 +119,87 @@ def test_toxic_documents_of_every_language_go(llm):
 
 def test_one_of_each_group_of_near_copies_stays(stages):
     before, after = stages["near_copies"]
-    sets = {i: frozenset(shingle_hashes((t or "").encode(), 5).tolist()) for i, t in zip(before.doc_id, before.text)}
-    parent = {i: i for i in sets}
+    prints = {i: fingerprint((t or "").encode()) for i, t in zip(before.doc_id, before.text)}
+    parent = {i: i for i in prints}
 
     def root(k):
         while parent[k] != k:
             k = parent[k]
         return k
 
-    ids = sorted(sets)
+    ids = sorted(prints)
     for n, a in enumerate(ids):
         for b in ids[:n]:
-            x, y = sets[a], sets[b]
-            if x == y or len(x & y) >= 0.8 * len(x | y):
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
                 parent[root(a)] = root(b)
     assert set(after.doc_id) == {min(i for i in ids if root(i) == r) for r in {root(i) for i in ids}}
 
 
+def without_passages(texts: list[bytes]) -> list[bytes]:
+    """Texts without the runs of 50 words or more of bytes that repeated strings of 150 bytes cover."""
+    out = []
+    for text, cover in zip(texts, covered(texts, corpus_pipeline.PASSAGE_BYTES)):
+        edges = np.flatnonzero(np.diff(np.r_[False, cover, False])).reshape(-1, 2)
+        keep = np.ones(len(text), bool)
+        for a, b in edges:
+            if len(text[a:b].split()) >= 50:
+                keep[a:b] = False
+        out.append(np.frombuffer(text, np.uint8)[keep].tobytes())
+    return out
+
+
 def test_repeated_passages_go(stages):
     before, after = stages["repeated_passages"]
-    texts = [t.encode() for t in before.text]
-    cover = dict(zip(before.doc_id, covered(texts, 400)))
     kept = dict(zip(after.doc_id, after.text))
     assert len(after) == len(before)
-    for i, t in zip(before.doc_id, texts):
-        left = np.frombuffer(t, np.uint8)[~cover[i]].tobytes()
-        if not cover[i].any():
-            assert kept[i].encode() == t
+    texts = [t.encode() for t in before.text]
+    for i, text, left in zip(before.doc_id, texts, without_passages(texts)):
+        if left == text:
+            assert kept[i].encode() == text
+        else:  # characters are not cut
+            assert 0 <= len(kept[i].encode()) - len(left) <= 6 * (len(text) - len(left)) // 150 + 6
+
+
+def test_passages_of_over_fifty_short_words_go(llm):
+    """51 words of two letters that stand in two texts, and 40 that do."""
+    rng = random.Random(2)
+
+    def words(n, letters="abcdefghijklmnopqrstuvwxyz"):
+        return " ".join(rng.choice(letters) + rng.choice(letters) for _ in range(n))
+
+    long, short = words(51), words(40) + " " + words(9, "é日")
+    texts = [f"{words(70)} {long} {words(30)}", f"{words(20)} {long} {words(90)}", f"{words(60)} {short} {words(9)}", f"{short} {words(60)}"]
+    texts += [words(200), "", None]
+    docs = llm.createDataFrame([(k, t, "en", "src0", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(llm, docs, SMALL).collect()}
+    assert all(long[4:-4] not in kept[k] and len(kept[k]) > 50 for k in (0, 1))
+    assert [kept[k] for k in (2, 3, 4, 5, 6)] == [*texts[2:6], ""]
+
+
+DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages_take_odd_rows_and_no_rows(llm, odd):
+    """Nulls in any column, repeated rows and ids, empty and long texts; and an empty table."""
+    docs = odd.select(*DOCUMENTS)
+    rows = Counter(map(tuple, docs.collect()))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(llm, docs, SMALL)
+        found = out.select(*DOCUMENTS).collect()
+        if name in ("mix", "encode"):
+            assert Counter(map(tuple, found)) == rows, name
+        elif name == "repeated_passages":
+            assert len(found) == sum(rows.values()), name
         else:
-            assert 0 <= len(kept[i].encode()) - len(left) <= 6 * cover[i].sum() // 400 + 6
+            assert not Counter(map(tuple, found)) - rows, name
+        none = stage(llm, docs.limit(0), SMALL)
+        assert none.columns == out.columns and none.collect() == [], name
+
+
+def test_run_on_an_empty_table(llm, tmp_path):
+    llm.read.parquet(f"{SMALL}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    llm.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(llm, str(tmp_path)).collect() == []
 
 
 def test_mix_keeps_every_document(stages):
@@ -170,7 +221,7 @@ def test_registry_has_each_operator_once():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names and set(queries.QUERIES) <= names
 
@@ -182,6 +233,6 @@ def test_queries_match_their_sql(llm, name):
 
     oracle = duckdb.connect()
     oracle.execute("SET TimeZone = 'UTC'")
-    for table in ("conversations", "embeddings"):
+    for table in ("conversations", "documents", "embeddings"):
         oracle.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     assert difference(queries.QUERIES[name](llm, SMALL), oracle, queries.ORACLES[name]) is None

@@ -9,7 +9,7 @@ import pytest
 
 from riskflow.llm.common import stored
 from riskflow.llm.components import components
-from riskflow.llm.simhash_tiles import fingerprint, linked, near_duplicates, shingle_hashes, similar_groups, without_near_copies
+from riskflow.llm.simhash_tiles import fingerprint, linked, linked_in_groups, links, near_duplicates, without_near_copies
 from riskflow.llm.suffix_repeats import difference_cover, digest_of, remove_repeats, window_names
 
 
@@ -97,8 +97,8 @@ def brute_fingerprint(text: str) -> int:
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-@pytest.mark.parametrize("tile_rows", [5, 16_384])
-def test_fingerprints_and_components_against_brute_force(llm, odd, tile_rows):
+@pytest.mark.parametrize("group_rows", [5, 16_384])
+def test_fingerprints_and_components_against_brute_force(llm, odd, group_rows):
     rng = random.Random(4)
     words = [f"w{k}" for k in range(40)]
     texts = []
@@ -107,27 +107,86 @@ def test_fingerprints_and_components_against_brute_force(llm, odd, tile_rows):
         texts += [" ".join(own), " ".join(own[:-1] + ["W1"]), " ".join(own).upper()]
     rows = list(enumerate(texts)) + [(r["doc_id"], r["text"]) for r in odd.collect()]
     frame = llm.createDataFrame(rows, "doc_id long, text string")
-    got = near_duplicates(frame, tile_rows=tile_rows).collect()
+    got = near_duplicates(frame, group_rows=group_rows).collect()
     prints = [(i, brute_fingerprint(t or "")) for i, t in rows]
     assert Counter((r["doc_id"], r["fingerprint"]) for r in got) == Counter((i, f"{f:016x}") for i, f in prints)
-    distinct = sorted({f for _, f in prints})
-    parent = {f: f for f in distinct}
+    root = roots({f for _, f in prints})
+    lowest = {}
+    for i, f in prints:
+        if i is not None:
+            lowest[root[f]] = min(i, lowest.get(root[f], i))
+    want = Counter((i, lowest.get(root[f])) for i, f in prints)
+    assert Counter((r["doc_id"], r["component_id"]) for r in got) == want
+
+
+def roots(prints):
+    """Fingerprint -> a name of its component, by comparing all pairs."""
+    parent = {f: f for f in prints}
 
     def root(f):
         while parent[f] != f:
             f = parent[f]
         return f
 
-    for a in distinct:
-        for b in distinct:
+    for a in prints:
+        for b in prints:
             if a < b and bin(a ^ b).count("1") <= 3:
                 parent[root(a)] = root(b)
-    lowest = {}
-    for i, f in prints:
-        if i is not None:
-            lowest[root(f)] = min(i, lowest.get(root(f), i))
-    want = Counter((i, lowest.get(root(f))) for i, f in prints)
-    assert Counter((r["doc_id"], r["component_id"]) for r in got) == want
+    return {f: root(f) for f in prints}
+
+
+def planted(rng, count):
+    """Fingerprints of which many are near others, and many share words of bits."""
+    out = set()
+    while len(out) < count:
+        f = rng.getrandbits(64) if rng.random() < 0.5 else rng.getrandbits(20) | 0xABCD << 40
+        out.add(f)
+        for _ in range(rng.randint(0, 3)):
+            f ^= sum(1 << b for b in rng.sample(range(64), rng.randint(1, 4)))
+            out.add(f)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("group_rows", [3, 40, 16_384])
+def test_groups_meet_every_link(llm, group_rows):
+    prints = planted(random.Random(6), 500)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    frame = llm.createDataFrame([(f,) for f in signed], "print long")
+    edges = links(frame, "print", 3, group_rows).collect()
+    assert all(((e["u"] ^ e["v"]) & (1 << 64) - 1).bit_count() for e in edges)
+    label = {f: f for f in signed}
+    label.update({r["node"]: r["label"] for r in components(stored(llm.createDataFrame(edges, "u long, v long"), "e")).collect()})
+    root = roots(set(prints))
+    of = dict(zip(signed, prints))
+    found, want = {}, {}
+    for f in signed:
+        found.setdefault(label[f], set()).add(f)
+        want.setdefault(root[of[f]], set()).add(f)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+
+
+def test_short_and_long_groups():
+    rng = random.Random(3)
+    groups, prints = [], []
+    for k, size in enumerate([1, 2, 47, 48, 49, 200, 1, 130]):
+        own = planted(rng, size)[:size]
+        groups += [k] * len(own)
+        prints += own
+    u, v = linked_in_groups(np.array(groups), np.array(prints, np.uint64), 3)
+    assert all((int(a) ^ int(b)).bit_count() <= 64 for a, b in zip(u, v))
+    for k in set(groups):
+        own = [f for g, f in zip(groups, prints) if g == k]
+        root, parent = roots(set(own)), {f: f for f in own}
+
+        def top(f, parent=parent):
+            while parent[f] != f:
+                f = parent[f]
+            return f
+
+        for a, b in zip(u.tolist(), v.tolist()):
+            if a in parent and b in parent and root.get(a) == root.get(b):
+                parent[top(a)] = top(b)
+        assert len({top(f) for f in own}) == len(set(root.values()))
 
 
 def test_tiles_find_every_link():
@@ -150,51 +209,22 @@ def test_components_of_a_long_chain_and_a_star(llm):
     assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 1300), 1000)}
 
 
-def jaccard(a: str, b: str) -> float:
-    x, y = (set(shingle_hashes(t.encode(), 5).tolist()) for t in (a, b))
-    return len(x & y) / max(1, len(x | y))
-
-
-@pytest.mark.parametrize("tile_rows", [7, 16_384])
-def test_similarity_groups_against_brute_force(llm, tile_rows):
-    rng = random.Random(9)
-    texts = []
-    for _ in range(25):
-        own = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(30, 220))]
-        texts.append(" ".join(own))
-        for edits in (1, 2, 3, 6):
-            other = list(own)
-            for _ in range(edits):
-                other[rng.randrange(len(other))] = "new"
-            texts.append(" ".join(other))
-    frame = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = similar_groups(frame, tile_rows=tile_rows, similar_tile_rows=tile_rows).collect()
-    label = {r["doc_id"]: r["label"] for r in rows}
-    parent = list(range(len(texts)))
-
-    def root(k):
-        while parent[k] != k:
-            k = parent[k]
-        return k
-
-    for a in range(len(texts)):
-        for b in range(a):
-            if jaccard(texts[a], texts[b]) >= 0.8:
-                parent[root(a)] = root(b)
-    for a in range(len(texts)):
-        for b in range(a):
-            assert (label[a] == label[b]) == (root(a) == root(b)), (a, b)
-
-
-def test_one_of_each_group_stays(llm, odd):
-    kept = without_near_copies(odd).collect()
-    assert {tuple(r) for r in kept} <= {tuple(r) for r in odd.collect()}
-    by_words = {}
-    for r in odd.collect():
-        key = " ".join((r["text"] or "").lower().split())
-        if r["doc_id"] is not None:
-            by_words.setdefault(key, []).append(r["doc_id"])
-    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted(min(v) for v in by_words.values())
+def test_one_of_each_component_stays(llm, odd):
+    """The smallest id of each component, one row of those without ids; repeated rows are copies."""
+    rng = random.Random(8)
+    rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    for k in range(100, 160, 3):
+        own = [f"w{rng.randint(0, 400)}" for _ in range(rng.randint(100, 300))]
+        rows += [(k + 2, " ".join(own)), (k, " ".join(own[:-1])), (None, " ".join(own).upper())]
+    kept = without_near_copies(llm.createDataFrame(rows, "doc_id long, text string")).collect()
+    prints = [brute_fingerprint(t or "") for _, t in rows]
+    root, want = roots(set(prints)), {}
+    for (i, _), f in zip(rows, prints):
+        want.setdefault(root[f], []).append(i)
+    expected_ids = sorted((min((i for i in ids if i is not None), default=None) for ids in want.values()), key=str)
+    assert sorted((r["doc_id"] for r in kept), key=str) == expected_ids
+    again = without_near_copies(odd)
+    assert again.columns == odd.columns and {tuple(r) for r in again.collect()} <= {tuple(r) for r in odd.collect()}
 
 
 def test_fingerprint_of_no_words():
