@@ -9,6 +9,8 @@ from riskflow.llm import pfair, simhash_tiles, string_kernel, suffix_repeats, vi
 from riskflow.llm.common import scratch, ship
 from riskflow.llm.queries import MIX_WEIGHTS, OTHER_WEIGHT
 
+PASSAGE_BYTES, PASSAGE_PERIOD, PASSAGE_WORDS = 150, 73, 50
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the model learns from the labelled rows of ``docs``."""
@@ -19,18 +21,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 of their five-word shingles."""
+    """One document of each group that fingerprints of three-word shingles link at three bits or fewer."""
     ship(spark)
     return simhash_tiles.without_near_copies(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the 400-byte passages that occur more than once; all documents stay.
+    """Texts without passages of over 50 words that occur more than once; all documents stay.
 
+    A passage of that many words has ``PASSAGE_BYTES`` in any language: words of two letters and a space.
     A character stays if any of its bytes does, so texts remain UTF-8; ``n_chars`` counts anew.
     """
     ship(spark)
-    cut = suffix_repeats.remove_repeats(docs, whole_characters=True)
+    cut = suffix_repeats.remove_repeats(
+        docs, length=PASSAGE_BYTES, period=PASSAGE_PERIOD, least_words=PASSAGE_WORDS, whole_characters=True
+    )
     columns = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
     text = F.col("kept").cast("string").alias("text")
     return cut.select(*columns, text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
