@@ -3,7 +3,8 @@
 A neighbour graph of a bounded sample is cut into balanced parts with few edges between them, and a
 small network learns which parts the neighbours of a vector lie in. Every row is indexed under its
 most probable part; a query is sent to its several most probable parts and all vectors there are
-scored exactly. How many parts a query visits is set on the sample, for a recall above the target.
+scored exactly. How many parts a query visits is set on sample vectors kept from learning, for a recall
+above the target.
 """
 
 from __future__ import annotations
@@ -22,16 +23,21 @@ from riskflow.llm.routed import best_per_query, every, finite_vectors, matrix
 SAMPLE_ROWS = 8_192
 MOST_PARTS = 256
 TARGET_RECALL = 0.93
+HELD_OUT = 8  # one sample vector of so many is kept from learning, to count the visits on
+_BLOCK = 128
 
 
-def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
-    """The k nearest by inner product of every row, itself left out, in blocks of rows."""
-    k, near = min(k, len(x) - 1), []
-    for a in range(0, len(x), 1024):
-        scores = x[a : a + 1024] @ x.T
-        scores[np.arange(len(scores)), np.arange(a, a + len(scores))] = -np.inf
-        near.append(np.argpartition(-scores, k - 1, axis=1)[:, :k])
-    return np.concatenate(near)
+def neighbour_graph(x: np.ndarray, k: int, queries: np.ndarray | None = None) -> np.ndarray:
+    """The k nearest rows by inner product of every query (every row, itself left out), a few at a time."""
+    own = queries is None
+    queries = x if own else queries
+    k, near = min(k, len(x) - int(own)), np.empty((len(queries), min(k, len(x) - int(own))), np.int32)
+    for a in range(0, len(queries), _BLOCK):
+        scores = queries[a : a + _BLOCK] @ x.T
+        if own:
+            scores[np.arange(len(scores)), np.arange(a, a + len(scores))] = -np.inf
+        near[a : a + _BLOCK] = np.argpartition(scores, len(x) - k, axis=1)[:, len(x) - k :]
+    return near
 
 
 def balanced_parts(x: np.ndarray, near: np.ndarray, parts: int, rounds: int = 12, slack: float = 1.05) -> np.ndarray:
@@ -112,21 +118,23 @@ def _train(x: np.ndarray, target: np.ndarray, hidden: int = 96, passes: int = 40
 
 
 def fit(sample: np.ndarray, parts: int, k: int = 20, target: float = TARGET_RECALL) -> Router:
-    """Learn from distinct sample vectors, and count the visits that reach the target recall on them."""
-    x = np.unique(sample, axis=0)
+    """Learn from distinct sample vectors; those held out say how many visits reach the target recall."""
+    x = np.unique(sample.astype(np.float32), axis=0)
     parts = max(1, min(parts, len(x) // 8))
     if parts == 1:
         dim = sample.shape[1]
         return Router((np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)), 1)
+    out = np.random.default_rng(3).permutation(len(x)) % HELD_OUT == 0
+    held, x = x[out], x[~out]
     near = neighbour_graph(x, k)
     label = balanced_parts(x, near, parts)
     share = np.stack([np.bincount(label[row], minlength=parts) for row in np.c_[near, np.arange(len(x))]])
     router = Router(_train(x, share / share.sum(axis=1, keepdims=True)), parts)
-    order = router.visited(x, parts)
-    home = order[:, 0]
-    # Position, in each vector's visiting order, of the part that holds each of its neighbours.
-    position = np.argsort(order, axis=1)
-    needed = np.take_along_axis(position, home[near], axis=1).ravel() + 1
+    # Every vector is indexed under the part the network finds most probable. The place, in a held-out
+    # vector's visiting order, of the part that holds each of its neighbours is the visits these need.
+    home = router.visited(x, 1)[:, 0]
+    position = np.argsort(router.visited(held, parts), axis=1)
+    needed = np.take_along_axis(position, home[neighbour_graph(x, k, held)], axis=1).ravel() + 1
     router.visits = int(np.quantile(needed, target, method="higher"))
     return router
 
@@ -167,8 +175,9 @@ def nearest(
     common = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     dim, count = (common["dim"], common["count"]) if common else (0, 0)
     usual = rows.filter(F.col("dim") == dim)
-    picked = usual.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toPandas()["v"]  # sample_rows rows
-    sample = np.stack(picked.to_numpy()) if len(picked) else np.ones((1, 1))
+    picked = usual.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows)  # sample_rows rows
+    floats = picked.select(F.col("v").cast("array<float>").alias("v")).toArrow().column("v")
+    sample = matrix(floats, np.float32) if len(floats) else np.ones((1, 1), np.float32)
     # More parts for more rows, but more slowly: a query takes its k best from each part it visits.
     wanted = min(MOST_PARTS, round(count**0.5 / 14)) if parts is None else parts
     router = fit(sample, wanted, k, target)

@@ -82,6 +82,43 @@ def test_parts_are_balanced_and_cut_few_edges():
     assert router.visits < 8
 
 
+def test_few_parts_are_visited_where_vectors_cluster():
+    """Calibrated on vectors kept from learning: a third of the rows are scanned, and others are found."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([c + rng.normal(0, 0.25, (150, 24)) for c in rng.normal(0, 1, (40, 24))])
+    x = x[rng.permutation(len(x))]
+    router = lp.fit(x[:3000], 16)
+    home, asked = router.visited(x, 1)[:, 0], x[3000:3400]
+    visited = router.visited(asked, router.visits)
+    near = lp.neighbour_graph(x, 20, asked)
+    found = np.mean([np.isin(home[n], v).mean() for n, v in zip(near, visited)])
+    scanned = np.mean([np.isin(home, v).mean() for v in visited])
+    assert found >= 0.9 and scanned < 0.35, (found, scanned)
+
+
+def test_neighbours_in_blocks_are_those_of_one_product():
+    x = np.random.default_rng(4).normal(0, 1, (300, 9)).astype(np.float32)
+    whole = x @ x.T
+    np.fill_diagonal(whole, -np.inf)
+    want = np.sort(np.argsort(-whole, axis=1)[:, :7], axis=1)
+    assert np.array_equal(np.sort(lp.neighbour_graph(x, 7), axis=1), want)
+
+
+def test_registered_query_on_the_whole_table(llm):
+    from riskflow.llm import queries
+
+    got = found(queries.QUERIES["op5_learned_partitions"](llm, "/root/testdata/sf0.1"))
+    rows = llm.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    whole = [(r.vec_id, np.array(r.embedding, float)) for r in rows if r.embedding and None not in r.embedding]
+    ids, x = np.array([i for i, _ in whole]), np.array([v for _, v in whole])
+    hits = 0
+    for q, near in got.items():
+        scores = x @ x[ids == q][0]
+        scores[ids == q] = -np.inf
+        hits += len({i for i, _ in near} & set(ids[np.lexsort((ids, -scores))[:20]].tolist()))
+    assert hits >= 0.9 * 20 * len(got)
+
+
 def test_empty_and_tiny_tables(llm):
     for rows in ([], vectors(10)[:1], [(20, None, 1, None, None)]):
         assert top_k(table(llm, rows)).collect() == []
