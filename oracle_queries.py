@@ -425,6 +425,11 @@ _ORACLES: dict[str, tuple[str, str]] = {
         """SELECT trans_num, trans_at, hour(trans_at)::INTEGER AS hour_of_day,
           amt::DOUBLE AS amt, distance_km, risk_score, alert_reason FROM scored""",
     ),
+    "txn_enriched_sql": (
+        "scored",
+        """SELECT trans_num, trans_at, hour(trans_at)::INTEGER AS hour_of_day,
+          amt::DOUBLE AS amt, distance_km, risk_score, alert_reason FROM scored""",
+    ),
     "txn_risk_score": (
         "scored",
         """SELECT trans_num, amount_band, distance_band, category_band, risk_score
@@ -671,6 +676,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     ),
     "event_rate_15s": ("", WINDOWS),
+    "stream_event_rate_state": ("", WINDOWS),
     "event_rate_lag": (
         "log",
         """SELECT topic, make_timestamp(tick) AS sampled_at,
@@ -791,11 +797,11 @@ _ORACLES: dict[str, tuple[str, str]] = {
           count(*) AS rows, 0::BIGINT AS city_pop FROM uniq GROUP BY 1""",
     ),
     "consumer_progress": (
-        "log",
-        """SELECT description AS source, topic, partition, latest // share AS end_offset,
-          latest AS latest_offset, latest - latest // share AS lag
-          FROM (SELECT topic, partition, max("offset") + 1 AS latest FROM log GROUP BY 1, 2),
-            (VALUES (1, 'all'), (2, 'half'), (3, 'third')) AS s(share, description)""",
+        "",
+        """SELECT event_id % 4 AS batch_id, count(*) AS input_rows,
+            (sum(count(*)) OVER (ORDER BY event_id % 4))::BIGINT AS received,
+            (sum(count(*)) OVER ())::BIGINT AS available, available - received AS lag
+          FROM events GROUP BY event_id % 4""",
     ),
     "panel_from_store": (
         "mart_fraud_summary mart_customer_360",
@@ -832,6 +838,15 @@ _ORACLES: dict[str, tuple[str, str]] = {
           FROM loaded""",
     ),
     "warehouse_refresh": ("loaded calendar", check_sql(ALL_CHECKS, LOADED_MODELS)),
+    "warehouse_refresh_selected": (
+        "loaded calendar",
+        check_sql(
+            [c for c in ALL_CHECKS if c[0].startswith("stg_") or c[0] in ("int_transaction_stats", "mart_fraud_summary")],
+            LOADED_MODELS,
+        ),
+    ),
+    "mart_fraud_summary_by_load": ("mart_fraud_summary", "SELECT * FROM mart_fraud_summary"),
+    "mart_customer_360_by_load": ("mart_customer_360", "SELECT * FROM mart_customer_360"),
 }
 
 

@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskflow.functions import amount_band, category_band, distance_band, is_alert
+from riskflow.functions import amount_band, category_band, distance_band, is_alert, sql
 from riskflow.operators import quality, rates
 from riskflow.operators.dedup import first_wins, insert_if_absent
 from riskflow.operators.keys import orphans, resolve_keys, unresolved_keys
 from riskflow.plans import health, jobs, marts, panels, staging, star
+from riskflow.plans.incremental import DailyWarehouse
 from riskflow.session import configure, work_dir
 from riskflow.sources import cards, files
 from riskflow.sources.events import ALERT_TOPIC, DEAD_LETTER_TOPIC, ENRICHED_TOPIC, json_topics
 from riskflow.sources.tables import TableStore
-from riskflow.streaming import dead_letters, events, job
+from riskflow.streaming import dead_letters, events, job, progress
 from riskflow.streaming.writer import MicroBatchWriter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+FILES_OF_DELIVERY = 4
 
 
 def query(function: Query) -> Query:
@@ -89,6 +91,20 @@ def txn_enriched(spark, sf_dir):
     )
 
 
+@query
+def txn_enriched_sql(spark, sf_dir):
+    """The enriched events by a SQL statement that calls the registered functions."""
+    sql.register(spark)
+    view = f"card_events_{uuid.uuid4().hex}"
+    cards.unique_events(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(
+        f"""SELECT trans_num, trans_at, hour(trans_at) AS hour_of_day, CAST(amt AS DOUBLE) AS amt, distance_km,
+              risk_score(amt, distance_km, category) AS risk_score,
+              alert_reason(amt, distance_km, category) AS alert_reason
+            FROM (SELECT *, haversine_km(lat, long, merch_lat, merch_long) AS distance_km FROM {view})"""
+    )
+
+
 @query
 def txn_risk_score(spark, sf_dir):
     scored = _scored(spark, sf_dir)
@@ -724,6 +740,15 @@ def stream_event_rate(spark, sf_dir):
     return job.recorded_rate(spark, out)
 
 
+@query
+def stream_event_rate_state(spark, sf_dir):
+    """All windows of the event stream, counted in streaming state."""
+    stream = cards.table_stream(spark, sf_dir, "events")
+    out, checkpoint = work_dir(spark, "rate"), work_dir(spark, "checkpoint")
+    job.drain(job.rate_state_to(stream, "ts", out, checkpoint, once=True))
+    return job.current_rate(spark, out)
+
+
 @query
 def stream_compacted(spark, sf_dir):
     """Three epochs of the stream path, merged; rows per batch, and what their events store once more."""
@@ -791,8 +816,8 @@ def dlq_pipeline(spark, sf_dir):
     lines = cards.table_stream(spark, sf_dir, "lineitem")
     messages = _damaged_messages(cards.card_events(spark, sf_dir, lines))
     _run_stream(messages, spark, topics=json_topics(root))
-    sent = dead_letters.as_log(_topic(spark, root, DEAD_LETTER_TOPIC), DEAD_LETTER_TOPIC)
-    return dead_letters.depth_status(rates.topic_depth(rates.offset_ranges(sent)))
+    sent = _topic(spark, root, DEAD_LETTER_TOPIC)
+    return dead_letters.depth_status(dead_letters.topic_depth(sent, DEAD_LETTER_TOPIC))
 
 
 @query
@@ -855,21 +880,23 @@ def payload_defaults(spark, sf_dir):
 
 @query
 def consumer_progress(spark, sf_dir):
-    """Lag per topic partition from a stored progress report of three sources."""
-    found = rates.offset_ranges(_log(spark, sf_dir)).collect()  # one row per topic partition
-    sources = []
-    for share, name in ((1, "all"), (2, "half"), (3, "third")):
-        latest: dict[str, dict[str, int]] = {}
-        ends: dict[str, dict[str, int]] = {}
-        for row in found:
-            latest.setdefault(row.topic, {})[str(row.partition)] = row.end_offset
-            ends.setdefault(row.topic, {})[str(row.partition)] = row.end_offset // share
-        sources.append({"description": name, "endOffset": ends, "latestOffset": json.dumps(latest)})
-    path = work_dir(spark, "progress")
-    report = json.dumps({"sources": sources})
-    spark.createDataFrame([(report,)], "value string").write.text(path)
-    stored = json.loads(spark.read.text(path, wholetext=True).first()[0])
-    return job.consumer_lag(spark, stored)
+    """Lag after each trigger of a rate-limited stream over four deliveries of ``events``."""
+    inbox, log = work_dir(spark, "inbox"), work_dir(spark, "progress")
+    table = cards.table(spark, sf_dir, "events").select("event_id", "ts")
+    for delivery in range(4):
+        rows = table.filter(F.pmod("event_id", F.lit(4)) == delivery)
+        rows.repartition(FILES_OF_DELIVERY).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", FILES_OF_DELIVERY).parquet(inbox)
+    listener = progress.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        sink = stream.writeStream.format("noop").option("checkpointLocation", work_dir(spark, "checkpoint"))
+        job.drain(sink.trigger(availableNow=True).start())
+        progress.flush(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    available = spark.read.schema(table.schema).parquet(inbox).count()  # from the footers
+    return progress.trigger_lag(progress.reports(spark, log), available).drop("id")
 
 
 @query
@@ -941,3 +968,41 @@ def warehouse_refresh(spark, sf_dir):
     warehouse = TableStore(spark, work_dir(spark, "warehouse"))
     models = jobs.refresh_warehouse(store, warehouse, _as_of(), cards.DATE_RANGE)
     return models["quality_report"]
+
+
+@query
+def warehouse_refresh_selected(spark, sf_dir):
+    """A refresh of the daily mart alone: the models it reads are built, tested and switched, no others."""
+    store, _ = _load_csv(spark, sf_dir)
+    warehouse = TableStore(spark, work_dir(spark, "warehouse"))
+    models = jobs.refresh_warehouse(store, warehouse, _as_of(), cards.DATE_RANGE, select=["mart_fraud_summary"])
+    return models["quality_report"]
+
+
+# Marts kept up to date load by load
+
+
+def _loaded_daily(spark: SparkSession, sf_dir: str) -> DailyWarehouse:
+    """All transactions in three loads whose years overlap, applied one after the other."""
+    store = TableStore(spark, work_dir(spark, "tables"))
+    store.publish("customers", cards.customers(spark, sf_dir), "load-0", "batch")
+    store.publish("merchants", cards.merchants(spark, sf_dir), "load-0", "batch")
+    daily = DailyWarehouse(store, work_dir(spark, "daily"), _as_of(), cards.DATE_RANGE, grain="year")
+    rows = _transactions(spark, sf_dir)
+    share = F.pmod(F.xxhash64("trans_id"), F.lit(3))
+    for load in range(3):
+        part = rows.filter(share == load)
+        for source in ("batch", "stream"):
+            store.publish("transactions", part.filter(F.col("source") == source), f"load-{load}", source)
+        daily.apply(f"load-{load}")
+    return daily
+
+
+@query
+def mart_fraud_summary_by_load(spark, sf_dir):
+    return _loaded_daily(spark, sf_dir).daily_summary()
+
+
+@query
+def mart_customer_360_by_load(spark, sf_dir):
+    return _loaded_daily(spark, sf_dir).customer_mart()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 from functools import reduce
 
@@ -12,9 +13,11 @@ from riskflow.operators import quality
 from riskflow.operators.dedup import first_wins, insert_if_absent
 from riskflow.operators.keys import resolve_keys, surrogate_key, unresolved_keys
 from riskflow.plans import marts, staging, star
-from riskflow.session import remove_dir, replace_dir, work_dir
+from riskflow.plans.models import ModelGraph
+from riskflow.session import remove_dir, work_dir
 from riskflow.sources import files
-from riskflow.sources.tables import TableStore, save_as_table
+from riskflow.sources.tables import TableStore, show_in_database
+from riskflow.sources.versions import VersionedTables
 from riskflow.streaming.dead_letters import to_dead_letters
 
 SOURCE = "batch"
@@ -171,13 +174,27 @@ def _insert(
     return rows.count(), store.count(name, load_id, SOURCE)
 
 
-def staged(store: TableStore, as_of: Column | None = None) -> dict[str, DataFrame]:
-    """The three staging views over the stored tables."""
-    return {
-        "stg_transactions": staging.stg_transactions(store.read("transactions")),
-        "stg_customers": staging.stg_customers(store.read("customers"), as_of),
-        "stg_merchants": staging.stg_merchants(store.read("merchants")),
-    }
+def warehouse_models(
+    as_of: Column | None = None, calendar: tuple[str, str] = (star.SPINE_START, star.SPINE_END)
+) -> ModelGraph:
+    """All models of the warehouse over the stored tables."""
+    graph = ModelGraph()
+    declare = graph.model
+    declare("stg_transactions", "transactions", stored=False)(staging.stg_transactions)
+    declare("stg_customers", "customers", stored=False)(lambda customers: staging.stg_customers(customers, as_of))
+    declare("stg_merchants", "merchants", stored=False)(staging.stg_merchants)
+    declare("int_transaction_stats", "stg_transactions", "stg_customers", "stg_merchants")(star.int_transaction_stats)
+    declare("dim_customer", "stg_customers")(star.dim_customer)
+    declare("dim_merchant", "stg_merchants")(star.dim_merchant)
+    declare("dim_date", "stg_transactions")(lambda txns: star.dim_date(star.date_spine(txns.sparkSession, *calendar)))
+    declare("fact_transactions", "stg_transactions")(lambda txns: star.fact_transactions(txns, *calendar))
+    declare("mart_fraud_summary", "int_transaction_stats")(
+        lambda stats: marts.newest_first(marts.mart_fraud_summary(stats))
+    )
+    declare("mart_customer_360", "stg_transactions", "stg_customers", "stg_merchants")(
+        lambda *tables: marts.riskiest_first(marts.mart_customer_360(*tables))
+    )
+    return graph
 
 
 def register_views(models: dict[str, DataFrame]) -> None:
@@ -191,53 +208,39 @@ def refresh_warehouse(
     as_of: Column | None = None,
     calendar: tuple[str, str] = (star.SPINE_START, star.SPINE_END),
     database: str | None = None,
+    select: Iterable[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Staging views, their tests, the rest of the models, all tests; stop at a failed gate.
 
-    The joined view and the marts are written beside the current ones, tested as stored, and take
-    their place only when every test has passed. The staging tests are part of "all tests" but
-    their input did not change, so their first report is kept. With a ``database`` the marts become
-    catalog tables of it, otherwise Parquet directories of ``warehouse``.
+    ``select`` names the models to refresh, which are built with all they read and nothing else. New
+    versions are written beside the current ones, tested as stored, and become the current ones all at
+    once when every test has passed. The staging tests are part of "all tests" but their input did not
+    change, so their first report is kept. With a ``database`` its views show the current versions.
     """
-    models = staged(store, as_of)
-    register_views(models)
-    first = _gate(warehouse, "quality_staging", models, quality.STAGING_CHECKS)
-
-    txns, customers, merchants = models.values()
-    following = TableStore(store.spark, f"{warehouse.root}/_next")
-    stats = star.int_transaction_stats(txns, customers, merchants)
-    stats = following.overwrite("int_transaction_stats", stats)
-    spine = star.date_spine(store.spark, *calendar)
-    built = {
-        "dim_customer": star.dim_customer(customers),
-        "dim_merchant": star.dim_merchant(merchants),
-        "dim_date": star.dim_date(spine),
-        "fact_transactions": star.fact_transactions(txns, *calendar),
-        "mart_fraud_summary": marts.newest_first(marts.mart_fraud_summary(stats)),
-        "mart_customer_360": marts.riskiest_first(
-            marts.mart_customer_360(txns, customers, merchants)
-        ),
-    }
-    stored = {name: following.overwrite(name, df) for name, df in built.items()}
-    rest = [check for check in quality.ALL_CHECKS if check not in quality.STAGING_CHECKS]
-    second = _gate(warehouse, "quality_models", {**models, "int_transaction_stats": stats, **stored}, rest)
-    names = ["int_transaction_stats", *built]
-    current = {name: _switch(following, warehouse, name, database) for name in names}
-    register_views(current)
-    return {**models, **current, "quality_report": first.unionByName(second)}
-
-
-def _switch(
-    following: TableStore, warehouse: TableStore, name: str, database: str | None
-) -> DataFrame:
-    """Let a tested model take the place of the current one."""
-    spark = warehouse.spark
-    if database is None:
-        replace_dir(spark, following.path(name), warehouse.path(name))
-        return spark.read.parquet(warehouse.path(name))
-    save_as_table(spark.read.parquet(following.path(name)), database, name)
-    remove_dir(spark, following.path(name))
-    return spark.table(f"`{database}`.`{name}`")
+    graph = warehouse_models(as_of, calendar)
+    tables = VersionedTables(store.spark, warehouse.root)
+    folders: dict[str, str] = {}
+    reports: list[DataFrame] = []
+
+    def keep(name: str, rows: DataFrame) -> DataFrame:
+        folders[name] = tables.write(name, rows)
+        return store.spark.read.parquet(folders[name])
+
+    def staged(views: dict[str, DataFrame]) -> None:
+        register_views(views)
+        checks = [check for check in quality.STAGING_CHECKS if check.model in views]
+        if checks:
+            reports.append(_gate(warehouse, "quality_staging", views, checks))
+
+    models = graph.build({n: store.read(n) for n in graph.sources()}, keep, select, staged)
+    rest = [c for c in quality.ALL_CHECKS if c not in quality.STAGING_CHECKS and c.model in models]
+    if rest:
+        reports.append(_gate(warehouse, "quality_models", models, rest))
+    tables.switch(folders)
+    register_views({name: models[name] for name in folders})
+    if database is not None:
+        show_in_database(store.spark, database, folders)
+    return {**models, "quality_report": reduce(DataFrame.unionByName, reports)}
 
 
 def _gate(

@@ -56,19 +56,13 @@ def mart_fraud_summary(stats: DataFrame) -> DataFrame:
     )
 
 
-def mart_customer_360(
-    transactions: DataFrame,
-    customers: DataFrame,
-    merchants: DataFrame,
-    resolved_only: bool = False,
+def customer_state(
+    transactions: DataFrame, merchants: DataFrame, resolved_only: bool = False
 ) -> DataFrame:
-    """Risk profile per customer from the staged tables.
+    """What the customer mart needs of its transactions, per (customer, category).
 
-    All customer attributes depend on ``customer_id``, so grouping happens on the key alone and
-    the attributes are joined to the finished groups, never to the facts. The first grouping is
-    per (customer, category): it feeds the totals and the most frequent category alike, and it
-    combines on the map side, so the one NULL customer of all stream rows stays small. Ties in
-    ``top_category`` go to the smaller name; NULL categories do not count.
+    Counts, exact sums and extremes, so that the states of two sets of transactions can be merged. The
+    grouping combines on the map side: the one NULL customer of all stream rows stays small.
     """
     facts = transactions.select(
         "trans_id", "customer_id", "merchant_id", "amount", "is_fraud", "trans_at"
@@ -76,7 +70,7 @@ def mart_customer_360(
     if resolved_only:
         facts = facts.filter(F.col("customer_id").isNotNull())
     categories = merchants.select("merchant_id", F.col("category").alias("_category"))
-    per_category = (
+    return (
         lookup(facts, categories, "merchant_id", "trans_id")
         .groupBy("customer_id", "_category")
         .agg(
@@ -89,9 +83,31 @@ def mart_customer_360(
             F.max("trans_at").alias("_last"),
         )
     )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of several sets of transactions, each transaction in one of them, as one state."""
+    return states.groupBy("customer_id", "_category").agg(
+        F.sum("_rows").alias("_rows"),
+        F.sum("_spend").cast(states.schema["_spend"].dataType).alias("_spend"),
+        F.sum("_amounts").alias("_amounts"),
+        F.max("_largest").alias("_largest"),
+        F.sum("_fraud").alias("_fraud"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+    )
+
+
+def customer_profiles(state: DataFrame, customers: DataFrame) -> DataFrame:
+    """The customer mart from a state with one row per (customer, category).
+
+    All customer attributes depend on ``customer_id``, so grouping happens on the key alone and the
+    attributes are joined to the finished groups. Ties in ``top_category`` go to the smaller name;
+    NULL categories do not count.
+    """
     # Negated count first: the smallest struct is the most frequent, then the smallest, category.
     rank = F.struct((-F.col("_rows")).alias("n"), F.col("_category").alias("name"))
-    totals = per_category.groupBy("customer_id").agg(
+    totals = state.groupBy("customer_id").agg(
         F.sum("_rows").alias("total_transactions"),
         F.sum("_spend").cast("decimal(22,2)").alias("total_spend"),
         F.sum("_amounts").alias("_amounts"),
@@ -124,6 +140,16 @@ def mart_customer_360(
     )
 
 
+def mart_customer_360(
+    transactions: DataFrame,
+    customers: DataFrame,
+    merchants: DataFrame,
+    resolved_only: bool = False,
+) -> DataFrame:
+    """Risk profile per customer from the staged tables; facts never meet customer attributes."""
+    return customer_profiles(customer_state(transactions, merchants, resolved_only), customers)
+
+
 def newest_first(summary: DataFrame) -> DataFrame:
     """Stored order of the daily mart; range-sorted files also let panels skip by date."""
     return summary.orderBy(

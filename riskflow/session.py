@@ -67,13 +67,3 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Delete a scratch directory on whatever file system it is."""
     files, target = file_system(spark, path)
     files.delete(target, True)
-
-
-def replace_dir(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a directory to one whose present content goes."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(path(target), True)
-    if not files.rename(path(source), path(target)):
-        raise OSError(f"{source} could not be renamed to {target}")
-    spark.catalog.refreshByPath(target)

@@ -234,10 +234,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(target) if status.isDirectory()]
 
 
-def save_as_table(rows: DataFrame, database: str, name: str) -> None:
-    """Full rebuild of a catalog table; the database name is used as given."""
-    rows.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    rows.write.mode("overwrite").saveAsTable(f"`{database}`.`{name}`")
+def show_in_database(spark: SparkSession, database: str, folders: dict[str, str]) -> None:
+    """Views of a database over folders of Parquet files; replacing a view changes what it shows at once."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, folder in folders.items():
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{folder}`")
 
 
 def read_jdbc(
