@@ -845,6 +845,7 @@ _ORACLES: dict[str, tuple[str, str]] = {
             LOADED_MODELS,
         ),
     ),
+    "int_transaction_stats_bucketed": ("int_transaction_stats", "SELECT * FROM int_transaction_stats"),
     "mart_fraud_summary_by_load": ("mart_fraud_summary", "SELECT * FROM mart_fraud_summary"),
     "mart_customer_360_by_load": ("mart_customer_360", "SELECT * FROM mart_customer_360"),
 }

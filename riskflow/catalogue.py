@@ -14,6 +14,7 @@ from riskflow.operators import quality, rates
 from riskflow.operators.dedup import first_wins, insert_if_absent
 from riskflow.operators.keys import orphans, resolve_keys, unresolved_keys
 from riskflow.plans import health, jobs, marts, panels, staging, star
+from riskflow.plans.bucketed import BucketedStar
 from riskflow.plans.incremental import DailyWarehouse
 from riskflow.session import configure, work_dir
 from riskflow.sources import cards, files
@@ -280,6 +281,17 @@ def int_transaction_stats(spark, sf_dir):
     return star.int_transaction_stats(*_staged(spark, sf_dir))
 
 
+@query
+def int_transaction_stats_bucketed(spark, sf_dir):
+    """The joined view over facts and customers that are stored alike."""
+    txns, customers, merchants = _staged(spark, sf_dir)
+    tables = BucketedStar(spark, work_dir(spark, "bucketed"), f"star_{uuid.uuid4().hex}", buckets=8)
+    tables.store(txns, customers)
+    joined = tables.joined(merchants)
+    tables.forget()
+    return joined.select(*star.int_transaction_stats(txns, customers, merchants).columns)
+
+
 @query
 def dim_customer(spark, sf_dir):
     return star.dim_customer(_staged(spark, sf_dir)[1])
