@@ -2,13 +2,14 @@
 
 The best segmentation under the piece scores is found from left to right. Scores are kept for a
 window of the longest piece only; identifiers are given out as soon as all paths that are still alive
-run through one boundary. Characters that no longer piece contains, and the change from a letter
-to a space mark, are such boundaries for certain, so a text is searched span by span and short spans
-are remembered.
+run through one boundary. Characters that no longer piece contains, the change from a letter to a space
+mark, and letters that stand side by side in no piece, are such boundaries for certain, so a text is
+searched span by span; the ids of common spans are remembered.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import struct
@@ -17,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from riskflow.llm.common import in_slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_SHORT, _REMEMBERED = 32, 150_000
+_REMEMBERED, _LONG = 150_000, 64  # spans whose ids are kept, and how long they are at most
 
 
 @dataclass
@@ -35,10 +37,13 @@ class Pieces:
     byte_ids: list[int]
     texts: list[bytes]
     longest: int = field(init=False)
+    begins: dict[str, tuple] = field(init=False)
     unknown_score: float = field(init=False)
 
     def __post_init__(self):
         self.longest = max(map(len, self.known), default=1)
+        # Every beginning of a piece; those that are no piece themselves have nothing to give.
+        self.begins = {p[:k]: () for p in self.known for k in range(1, len(p))} | self.known
         self.unknown_score = min((s for _, s in self.known.values()), default=0.0) - 10.0
 
 
@@ -69,58 +74,69 @@ def load(path: str = MODEL) -> Pieces:
     return Pieces(known, byte_ids, texts)
 
 
-def stream(characters: Iterable[str], pieces: Pieces) -> Iterator[list[int]]:
-    """Lists of ids, each as soon as it is certain, of a text given character by character.
+def stream(text: Iterable[str], pieces: Pieces) -> Iterator[list[int]]:
+    """Lists of ids, each as soon as it is certain, of a text given a few characters at a time.
 
-    Of equally good segmentations the one whose last piece is longest wins. A character in no piece
-    costs ten more than the worst piece and comes out as its bytes.
+    Pieces are tried from each boundary on, once the longest of them is there. What is kept is the text,
+    the scores and the ways back since the last certain boundary; where paths keep converging that is a
+    few times the longest piece. Of equally good segmentations the one whose last piece is longest wins. A
+    character in no piece costs ten more than the worst piece and comes out as its bytes.
     """
-    longest, known = pieces.longest, pieces.known
-    window = ""  # the last characters, up to the longest piece
-    best = [0.0]  # best[-1 - k]: score of the boundary k characters back
-    back: dict[int, tuple[int, list[int]]] = {}  # boundary -> previous boundary and ids between
-    done = end = 0
-    for character in characters:
-        window = (window + character)[-longest:]
-        end += 1
-        top, choice = None, None
-        for start in range(max(0, len(window) - len(best)), len(window)):
-            found = known.get(window[start:])
-            if found is not None:
-                score = best[start - len(window)] + found[1]
-                if top is None or score > top:
-                    top, choice = score, (end - len(window) + start, [found[0]])
-        if character not in known:
-            score = best[-1] + pieces.unknown_score
-            if top is None or score > top:
-                raw = character.encode("utf-8", "surrogateescape")
-                top, choice = score, (end - 1, [pieces.byte_ids[b] for b in raw])
-        best = [*best[-(longest - 1) :], top] if longest > 1 else [top]
-        back[end] = choice
-        if end - done >= 2 * longest and end % longest == 0:
-            alive = set(range(max(done, end - longest + 1), end + 1))
-            while len(alive) > 1:
-                last = max(alive)
-                alive.remove(last)
-                alive.add(back[last][0])
-            (met,) = alive
-            if met > done:
-                yield _path(back, done, met)
-                for gone in range(done + 1, met + 1):
-                    del back[gone]
-                done = met
-                base = best[-1]
-                best = [b - base for b in best]  # only differences matter
-    if end > done:
-        yield _path(back, done, end)
-
-
-def _path(back: dict[int, tuple[int, list[int]]], start: int, end: int) -> list[int]:
-    steps = []
-    while end > start:
-        end, ids = back[end]
-        steps.append(ids)
-    return [i for ids in reversed(steps) for i in ids]
+    longest, begins, known, unknown = pieces.longest, pieces.begins, pieces.known, pieces.unknown_score
+    held, start = "", 0  # the text since the last certain boundary, and the next boundary to go on from
+    check = 2 * longest  # where to look next whether paths have met
+    best, back, last = [0.0], [0], [None]  # of each boundary in it: score, previous boundary, piece between
+    for more in itertools.chain(text, (None,)):
+        if more is not None:
+            held += more
+            best += [-math.inf] * len(more)
+            back += [0] * len(more)
+            last += [None] * len(more)
+        while start < (ready := len(held) - longest + 1 if more is not None else len(held)):
+            n = len(held)
+            for start in range(start, min(ready, check)):
+                base, end = best[start], start + 1
+                while end <= n and (found := begins.get(held[start:end])) is not None:
+                    if found and base + found[1] > best[end]:
+                        best[end], back[end], last[end] = base + found[1], start, found[0]
+                    end += 1
+                if held[start] not in known and base + unknown > best[start + 1]:
+                    best[start + 1], back[start + 1], last[start + 1] = base + unknown, start, held[start]
+            start += 1
+            if start < check:
+                continue
+            if start < n and (met := _met(best, back, start, min(n, start + longest - 1))):
+                yield _path(back, last, met, pieces)
+                held, best, back, last = held[met:], best[met:], [p - met for p in back[met:]], last[met:]
+                start -= met
+                lowest = best[start]
+                best = [b - lowest for b in best]  # only differences matter
+            check = start + longest
+    if held:
+        yield _path(back, last, len(held), pieces)
+
+
+def _met(best: list[float], back: list[int], start: int, stop: int) -> int:
+    """The boundary that the best ways to all reached boundaries from ``start`` to ``stop`` run through; 0 if none."""
+    alive = {k for k in range(start, stop + 1) if best[k] > -math.inf}
+    while len(alive) > 1:
+        end = max(alive)
+        alive.remove(end)
+        alive.add(back[end])
+    return alive.pop()
+
+
+def _path(back: list[int], last: list, end: int, pieces: Pieces) -> list[int]:
+    """Ids of the best way to ``end``; a character in no piece gives those of its bytes."""
+    out: list[int] = []
+    while end:
+        piece = last[end]
+        if isinstance(piece, int):
+            out.append(piece)
+        else:
+            out += [pieces.byte_ids[b] for b in reversed(piece.encode("utf-8", "surrogateescape"))]
+        end = back[end]
+    return out[::-1]
 
 
 class Encoder(dict):
@@ -129,8 +145,6 @@ class Encoder(dict):
     def __init__(self, pieces: Pieces):
         super().__init__()
         self.pieces = pieces
-        # Every beginning of a piece; those that are no piece themselves have nothing to give.
-        self.begins = {p[:k]: () for p in pieces.known for k in range(1, len(p))} | pieces.known
         self.pairs = {pair for p in pieces.known for pair in zip(p, p[1:])}
         self.parts: dict[str, bytes] = {}
         joined = {c for p in pieces.known if len(p) > 1 for c in p}
@@ -142,10 +156,8 @@ class Encoder(dict):
             self.spans = re.compile(f"{letters}{SPACE}+|.", re.DOTALL)
 
     def __missing__(self, span: str) -> bytes:
-        if len(span) > _SHORT:
-            return np.fromiter((i for ids in stream(span, self.pieces) for i in ids), np.int32).tobytes()
         found = b"".join(map(self._part, self._parts(span)))
-        if len(self) < _REMEMBERED:
+        if len(self) < _REMEMBERED and len(span) <= _LONG:
             self[span] = found  # common spans come early
         return found
 
@@ -156,35 +168,16 @@ class Encoder(dict):
         return [span[a:b] for a, b in zip([0, *cuts], [*cuts, len(span)])] if cuts else [span]
 
     def _part(self, part: str) -> bytes:
+        """Ids of a part by the streaming search; a long part goes through it a piece's length at a time."""
         found = self.parts.get(part)
         if found is None:
-            ids = self._whole(part)
+            chunks = (part,) if len(part) <= _LONG else (part[k : k + _LONG] for k in range(0, len(part), _LONG))
+            ids = list(itertools.chain.from_iterable(stream(chunks, self.pieces)))
             found = struct.pack(f"<{len(ids)}i", *ids)
-            if len(self.parts) < _REMEMBERED:
+            if len(self.parts) < _REMEMBERED and len(part) <= _LONG:
                 self.parts[part] = found
         return found
 
-    def _whole(self, span: str) -> list[int]:
-        """The search of ``stream`` over a short span, which needs no window."""
-        n, begins, missing = len(span), self.begins, self.pieces.unknown_score
-        best, back = [0.0] + [-math.inf] * n, [(0, ())] * (n + 1)
-        for start in range(n):
-            base = best[start]
-            for end in range(start + 1, n + 1):
-                found = begins.get(span[start:end])
-                if found is None:
-                    break
-                if found and base + found[1] > best[end]:
-                    best[end], back[end] = base + found[1], (start, (found[0],))
-            if span[start] not in self.pieces.known and base + missing > best[start + 1]:
-                raw = span[start].encode("utf-8", "surrogateescape")
-                best[start + 1], back[start + 1] = base + missing, (start, [self.pieces.byte_ids[b] for b in raw])
-        out: list[int] = []
-        while n:
-            n, ids = back[n]
-            out[:0] = ids
-        return out
-
     def encode(self, text: bytes) -> bytes:
         """Ids of one text; bytes that are not UTF-8, and a space mark in the text, become byte pieces."""
         if not text:
@@ -246,10 +239,15 @@ def with_decoded(coded: DataFrame, pieces: Pieces, ids: str = "ids", name: str =
     sent = coded.sparkSession.sparkContext.broadcast(pieces.texts)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look = sent.value.__getitem__
+        table = pa.array(sent.value, pa.large_binary())
         for batch in batches:
             lists = batch.column(at)
-            texts = [b"".join(map(look, v.values.to_numpy().tolist() if v.is_valid and len(v) else ()))[1:] for v in lists]
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            spelt = table.take(lists.flatten())
+            ends = np.r_[0, np.cumsum(pc.binary_length(spelt).to_numpy(zero_copy_only=False))].astype(np.int64)
+            data, cuts = memoryview(spelt.buffers()[2] or b""), ends[np.r_[0, np.cumsum(counts)]]
+            # The space in front of a text is not part of it.
+            texts = [bytes(data[a + 1 : b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, name])
 
     return coded.mapInArrow(decode, coded.withColumn(name, F.lit(b"")).schema)

@@ -264,9 +264,35 @@ def test_stream_equals_the_whole_search_and_decodes(text):
         assert ids == (brute_ids(marked) if text else [])
 
 
-def test_stream_commits_early():
-    parts = list(viterbi.stream("▁the▁cat" * 200, PIECES))
-    assert len(parts) > 20 and sum(parts, []) == brute_ids("▁the▁cat" * 200)
+@pytest.mark.parametrize("step", [1, 7, 1600])
+def test_stream_commits_early(step):
+    text = "▁the▁cat" * 200
+    parts = list(viterbi.stream((text[k : k + step] for k in range(0, len(text), step)), PIECES))
+    assert len(parts) > 20 and sum(parts, []) == brute_ids(text)
+
+
+def test_stream_holds_a_window_only():
+    """Of a long text that comes in slowly, ids come out after a few lengths of the longest piece."""
+    given, out, behind = [], 0, 0
+    text = "▁the▁quick▁brown" * 300
+
+    def slowly():
+        for character in text:
+            given.append(character)
+            yield character
+
+    for ids in viterbi.stream(slowly(), PIECES):
+        out += len(b"".join(PIECES.texts[i] for i in ids).decode())
+        behind = max(behind, len(given) - out)
+    assert out == len(text) and behind <= 6 * PIECES.longest
+
+
+def test_every_span_goes_through_the_streaming_search(monkeypatch):
+    """The registered path: what is not remembered is searched by ``stream``, short spans too."""
+    seen, search = [], viterbi.stream
+    monkeypatch.setattr(viterbi, "stream", lambda text, pieces: seen.append("".join(kept := list(text))) or search(kept, pieces))
+    viterbi.Encoder(PIECES).encode(b"short words and " + b"x" * 300 + b" short")
+    assert "".join(dict.fromkeys(seen)).count("x") == 300 and any(len(s) < 8 for s in seen)
 
 
 def test_ids_of_odd_rows(llm, odd):
