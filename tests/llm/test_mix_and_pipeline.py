@@ -104,17 +104,17 @@ def test_toxic_documents_go_and_others_stay(llm):
     assert len(gone & toxic) >= 0.8 * len(toxic)
 
 
-def test_toxic_documents_of_every_language_go(llm):
+def test_toxic_documents_of_every_language_go_and_clean_ones_stay(llm):
     larger = SMALL.replace("0.001", "0.1")
     docs = llm.read.parquet(f"{larger}/documents.parquet")
     before, after = docs.select("doc_id", "lang").toPandas(), corpus_pipeline.toxicity(llm, docs, larger).select("doc_id").toPandas()
     labels = llm.read.parquet(f"{larger}/labels.parquet").toPandas().set_index("doc_id").toxic
     gone = set(before.doc_id) - set(after.doc_id)
-    assert len(gone & set(labels[labels == 0].index)) <= 0.03 * (labels == 0).sum()
     for lang in ("en", "de", "fr", "es"):
         toxic = set(labels[labels == 1].index) & set(before[before.lang == lang].doc_id)
-        print("RECALL", lang, len(gone & toxic), len(toxic), len(gone & set(labels[labels == 0].index)))
         assert toxic and len(gone & toxic) >= 0.8 * len(toxic), lang
+        clean = set(labels[labels == 0].index) & set(before[before.lang == lang].doc_id)
+        assert clean and len(gone & clean) <= 0.025 * len(clean), lang
 
 
 def test_one_of_each_group_of_near_copies_stays(stages):
