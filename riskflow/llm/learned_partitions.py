@@ -168,7 +168,8 @@ def nearest(
     no part, nor do rows without an id. The index is learned from at most ``sample_rows`` vectors of
     the commonest length, picked by a hash; it holds every row. ``parts`` is a fourteenth of the root
     of the number of rows unless given. Vectors of any other length are
-    compared with all of their own length. Vectors repeated under other ids each count.
+    compared with all of their own length. Vectors repeated under other ids each count. Rows that share an id
+    each take part: the id's list holds the best that its rows find, each row of another id once for each.
     """
     rows = finite_vectors(table, vec_id, vector).filter(F.exists("v", lambda x: x != 0))
     rows = stored(rows.withColumn("dim", F.size("v")), "vectors")

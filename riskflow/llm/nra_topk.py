@@ -81,7 +81,8 @@ def top_k(
     candidates all rows but the query's own; ties go to the smaller id. Vectors null or holding null
     or non-finite components take no part, nor do rows without an id; vectors of different length are
     not compared. Scores beyond a long are cut to its range; vectors too long to scale take no part.
-    Vectors repeated under other ids each count.
+    Vectors repeated under other ids each count. Rows that share an id
+    each take part: the id's list holds the best that its rows find, each row of another id once for each.
     """
     # From 2**53 on, doubles are integers already.
     floor = lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)

@@ -70,6 +70,19 @@ def test_nearest_reaches_the_recall_and_scores_exactly(llm):
     assert got[2000] == [(2001, 0.0)]
 
 
+def test_rows_that_share_an_id(llm):
+    """A query and a candidate that stand twice, and once more with another vector."""
+    rows = vectors(60)[:60]
+    rows += [rows[0], (0, rows[7][1], 1, None, None), rows[5], (5, rows[9][1], 1, None, None)]
+    whole = [(i, np.floor(256 * np.array(v, np.float64))) for i, v, *_ in rows]
+    for query in (0, 50):
+        pairs = [(int(a @ b), i) for q, a in whole if q == query for i, b in whole if i != query]
+        want = [(i, s) for s, i in sorted(pairs, key=lambda p: (-p[0], p[1]))[:5]]
+        assert found(top_k(table(llm, rows)))[query] == want
+    near = found(lp.nearest(table(llm, rows)))
+    assert set(near) == {0, 20, 40} and all(len(v) == 20 for v in near.values())
+
+
 def test_parts_are_balanced_and_cut_few_edges():
     rng = np.random.default_rng(1)
     centres = rng.normal(0, 1, (8, 16))
