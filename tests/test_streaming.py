@@ -407,3 +407,43 @@ def test_work_folders_are_fresh_and_shared(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     root = spark.conf.get("spark.checkpoint.dir")
     assert first != second and first.startswith(root) and second.startswith(root)
+
+
+def test_topics_are_stored_compressed(spark, store, tmp_path):
+    root = str(tmp_path / "topics")
+    writer = MicroBatchWriter(store, "s", topics=sources.json_topics(root))
+    writer(frame(spark, [event("a", is_fraud=1), event("b", amt=None)]), 0)
+    found = [p for p in Path(root).rglob("part-*") if p.stat().st_size]
+    assert found and all(p.name.endswith(".json.gz") for p in found)
+
+
+def test_replay_files_can_be_compressed(spark, tmp_path):
+    rows = [event(f"t{i}", unix_time=(i * 37) % 101) for i in range(101)]
+    files.write_replay(frame(spark, rows), str(tmp_path / "replay"), compression="gzip")
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "replay").glob("part-*"))
+    assert spark.read.text(str(tmp_path / "replay")).count() == 101
+
+
+def test_large_epoch_is_written_where_it_lies(spark, store, monkeypatch):
+    from riskflow.sources import key_runs, tables
+    from riskflow.streaming import writer
+
+    monkeypatch.setattr(key_runs, "MOST_SENT", 20)
+    monkeypatch.setattr(tables, "LARGE_ROWS", 20)
+    monkeypatch.setattr(writer, "LARGE_ROWS", 20)
+    rows = frame(spark, [event(f"t{i % 40}", is_fraud=i % 2) for i in range(60)] + [event(None)])
+    plans, publish = [], store.publish_epoch
+
+    def watched(tagged, *where):
+        plans.append(tagged._jdf.queryExecution().optimizedPlan().toString())
+        publish(tagged, *where)
+
+    monkeypatch.setattr(store, "publish_epoch", watched)
+    MicroBatchWriter(store, "s")(rows, 0)
+    assert "RebalancePartitions" not in plans[0]
+    assert "Join" not in plans[0]  # nothing is stored yet
+    counts = [store.read(n).count() for n in ("stream_staging", "transactions", "dead_letters")]
+    assert counts == [60, 40, 1]
+    MicroBatchWriter(store, "s")(frame(spark, [event(f"t{i}") for i in range(60)]), 1)
+    store.close_epochs("s", 1)
+    assert [store.read(n).count() for n in ("stream_staging", "transactions", "dead_letters")] == [120, 60, 1]
