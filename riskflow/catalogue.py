@@ -837,7 +837,7 @@ def replay_order(spark, sf_dir):
     """Replay files as they lie: whether time ever falls within a file, and where files overlap."""
     path = work_dir(spark, "replay")
     payload = cards.raw_fields(cards.card_events(spark, sf_dir))
-    files.write_replay(payload, path)
+    files.write_replay(payload, path, compression="gzip")
     moment = F.get_json_object("value", "$.unix_time").cast("long")
     lines = spark.read.text(path).select(
         F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), moment.alias("at")

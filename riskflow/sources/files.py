@@ -94,11 +94,11 @@ def to_messages(payload: DataFrame) -> DataFrame:
     return payload.select(key.alias("key"), row_as_json(*payload.columns).alias("value"))
 
 
-def write_replay(payload: DataFrame, path: str, key: str = "unix_time") -> None:
+def write_replay(payload: DataFrame, path: str, key: str = "unix_time", compression: str = "none") -> None:
     """Replay files in event-time order: range-partitioned, sorted inside each file."""
     ordered = payload.repartitionByRange(key, "trans_num").sortWithinPartitions(
         key, "trans_num"
     )
     ordered.select(row_as_json(*payload.columns).alias("value")).write.mode(
         "overwrite"
-    ).text(path)
+    ).text(path, compression=compression)
