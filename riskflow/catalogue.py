@@ -1000,7 +1000,9 @@ def _loaded_daily(spark: SparkSession, sf_dir: str) -> DailyWarehouse:
     store.publish("customers", cards.customers(spark, sf_dir), "load-0", "batch")
     store.publish("merchants", cards.merchants(spark, sf_dir), "load-0", "batch")
     daily = DailyWarehouse(store, work_dir(spark, "daily"), _as_of(), cards.DATE_RANGE, grain="year")
-    rows = _transactions(spark, sf_dir)
+    landed = work_dir(spark, "landed")
+    _transactions(spark, sf_dir).write.parquet(landed)  # once for all loads
+    rows = spark.read.parquet(landed)
     share = F.pmod(F.xxhash64("trans_id"), F.lit(3))
     for load in range(3):
         part = rows.filter(share == load)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def first_wins(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], *, rare_repeats: bool = False
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], *, rare_repeats: bool = False,
+    deal_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per key: the earliest by ``order_by``, remaining columns break ties.
 
@@ -17,10 +18,10 @@ def first_wins(
     task as one candidate row. A struct has no place in a hash table of fixed width, so each task
     sorts its rows by key before it merges them, before and after the exchange. Where keys hardly
     repeat the first of these sorts is for nothing: with ``rare_repeats`` rows are exchanged as
-    they are and sorted once.
+    they are and sorted once, by ``deal_by``, a part of the key that a join after it needs as well.
     """
     if rare_repeats:
-        df = df.repartition(*keys)
+        df = df.repartition(*(deal_by or keys))
     lead = [name for name in order_by if name not in keys]
     rest = [name for name in df.columns if name not in keys and name not in lead]
     if not lead and not rest:

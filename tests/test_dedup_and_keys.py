@@ -144,3 +144,16 @@ def test_null_foreign_keys_are_no_orphans(spark):
     child = spark.createDataFrame([(1,), (2,), (None,)], "k long")
     parent = spark.createDataFrame([(1,)], "id long")
     assert [r.k for r in orphans(child, parent, "k", "id").collect()] == [2]
+
+
+def test_unique_lines_are_dealt_once_for_the_join_with_orders(spark):
+    from helpers import SMALL
+
+    from riskflow.sources import cards
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cards.transactions(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # lines and orders, once each
