@@ -14,11 +14,15 @@ from riskflow.operators.keys import lookup
 from riskflow.plans.star import CUSTOMER_CONTEXT, merchant_context
 
 SLICE = "customer_slice"
+BUCKET_ROWS = 1_000_000  # facts beyond which a bucket is split
 HOT_SHARE = 1_000  # a customer with more than this part of the facts is hot; fewer than that many are
 
 
 class BucketedStar:
-    """Two catalog tables, ``<prefix>_facts`` and ``<prefix>_customers``, below ``root``."""
+    """Two catalog tables, ``<prefix>_facts`` and ``<prefix>_customers``, below ``root``.
+
+    ``buckets`` is their least number; it grows with the facts.
+    """
 
     def __init__(self, spark: SparkSession, root: str, prefix: str, buckets: int = 64, slices: int = 64) -> None:
         self.spark = spark
@@ -35,11 +39,13 @@ class BucketedStar:
 
     def store(self, facts: DataFrame, customers: DataFrame) -> None:
         """Store both; ``facts`` need ``trans_id`` and ``customer_id``."""
-        counted = facts.filter("customer_id is not null").groupBy("customer_id").agg(F.count("*").alias("n"))
+        counted = facts.groupBy("customer_id").agg(F.count("*").alias("n"))
         counted.write.mode("overwrite").parquet(f"{self.root}/_rows")
         rows = self.spark.read.parquet(f"{self.root}/_rows")
-        total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        hot = rows.filter(F.col("n") > total // HOT_SHARE + 1).select("customer_id", F.lit(True).alias("_hot"))
+        known = F.col("customer_id").isNotNull()
+        every_row, total = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0))).first()
+        self.buckets = max(self.buckets, -(-every_row // BUCKET_ROWS))
+        hot = rows.filter(known & (F.col("n") > total // HOT_SHARE + 1)).select("customer_id", F.lit(True).alias("_hot"))
         hot = F.broadcast(hot)  # fewer than HOT_SHARE rows
         dealt = F.pmod(F.xxhash64("trans_id"), F.lit(self.slices)).cast("int")
         spread = F.col("_hot").isNotNull() | F.col("customer_id").isNull()

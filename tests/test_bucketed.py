@@ -1,5 +1,6 @@
 """Facts and customers stored alike: the join moves no facts, hot customers are split."""
 
+import uuid
 from collections import Counter
 
 import pytest
@@ -62,3 +63,16 @@ def test_no_facts(spark, tables):
     facts, customers = rows(spark)
     tables.store(facts.limit(0), customers)
     assert tables.with_customers().count() == 0
+
+
+def test_buckets_grow_with_the_facts(spark, tmp_path, monkeypatch):
+    from riskflow.plans import bucketed
+
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
+    facts = spark.range(95).selectExpr("string(id) as trans_id", "if(id % 5 = 0, null, id % 7) as customer_id")
+    customers = spark.range(7).selectExpr("id as customer_id")
+    tables = bucketed.BucketedStar(spark, str(tmp_path / "star"), f"grow_{uuid.uuid4().hex}", buckets=2)
+    tables.store(facts, customers)
+    tables.forget()
+    assert tables.buckets == 10
+    assert spark.read.parquet(f"{tmp_path}/star/facts").count() == 95
