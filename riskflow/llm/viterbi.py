@@ -15,6 +15,7 @@ import re
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import in_slices
+from riskflow.llm.common import in_slices, slices_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_REMEMBERED, _LONG = 150_000, 64  # spans whose ids are kept, and how long they are at most
+_REMEMBERED, _LONG = 400_000, 64  # spans whose ids are kept, and how long they are at most
+_DECODED = 1 << 18  # ids that are decoded at once; a row of more goes alone
 
 
 @dataclass
@@ -37,14 +39,18 @@ class Pieces:
     byte_ids: list[int]
     texts: list[bytes]
     longest: int = field(init=False)
-    begins: dict[str, tuple] = field(init=False)
     unknown_score: float = field(init=False)
 
     def __post_init__(self):
         self.longest = max(map(len, self.known), default=1)
-        # Every beginning of a piece; those that are no piece themselves have nothing to give.
-        self.begins = {p[:k]: () for p in self.known for k in range(1, len(p))} | self.known
         self.unknown_score = min((s for _, s in self.known.values()), default=0.0) - 10.0
+    @cached_property
+    def begins(self) -> dict[str, tuple]:
+        """Every beginning of a piece; those that are no piece themselves have nothing to give.
+
+        Made where it is used: sent along, each query would leave a copy of its own in a kept worker.
+        """
+        return {p[:k]: () for p in self.known for k in range(1, len(p))} | self.known
 
 
 def load(path: str = MODEL) -> Pieces:
@@ -241,13 +247,15 @@ def with_decoded(coded: DataFrame, pieces: Pieces, ids: str = "ids", name: str =
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.array(sent.value, pa.large_binary())
         for batch in batches:
-            lists = batch.column(at)
-            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            spelt = table.take(lists.flatten())
-            ends = np.r_[0, np.cumsum(pc.binary_length(spelt).to_numpy(zero_copy_only=False))].astype(np.int64)
-            data, cuts = memoryview(spelt.buffers()[2] or b""), ends[np.r_[0, np.cumsum(counts)]]
-            # The space in front of a text is not part of it.
-            texts = [bytes(data[a + 1 : b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, name])
+            sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            # A batch holds thousands of rows, whose ids as text with 64-bit offsets take many times the texts.
+            for start, stop in slices_of(sizes, _DECODED):
+                part = batch.slice(start, stop - start)
+                spelt = table.take(part.column(at).flatten())
+                ends = np.r_[0, np.cumsum(pc.binary_length(spelt).to_numpy(zero_copy_only=False), dtype=np.int64)]
+                data, cuts = memoryview(spelt.buffers()[2] or b""), ends[np.r_[0, np.cumsum(sizes[start:stop])]]
+                # The space in front of a text is not part of it.
+                texts = [bytes(data[a + 1 : b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], [*batch.schema.names, name])
 
     return coded.mapInArrow(decode, coded.withColumn(name, F.lit(b"")).schema)

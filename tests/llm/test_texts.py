@@ -1,11 +1,14 @@
 """Chat tree, language model, toxicity, tokens and pages."""
 
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -302,6 +305,33 @@ def test_ids_of_odd_rows(llm, odd):
         assert r["decoded"] == (r["text"] or "").encode()
 
 
+def decoding_of(columns):
+    """The function that ``with_decoded`` gives to Spark, for rows of the named columns."""
+    frame = mock.MagicMock(columns=columns)
+    frame.sparkSession.sparkContext.broadcast = lambda value: mock.Mock(value=value)
+    frame.mapInArrow = lambda function, schema: function
+    with mock.patch.object(viterbi, "F"):
+        return viterbi.with_decoded(frame, PIECES)
+
+
+def test_decoding_takes_a_bounded_number_of_ids_at_a_time():
+    """A batch of thousands of rows was spelt out as a whole, with 64-bit offsets for each of its ids."""
+    own = np.frombuffer(viterbi.Encoder(PIECES).encode(b"some words of a text " * 40), np.int32).tolist()
+    lists = [own, None, [], own * 2000, *[own] * 3000]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["ids"])
+    parts = list(decoding_of(["ids"])(iter([batch])))
+    sizes = [[len(i or ()) for i in p.column(0).to_pylist()] for p in parts]
+    assert all(sum(n) <= 1 << 18 or len(n) == 1 for n in sizes) and sum(map(len, sizes)) == len(lists)
+    spelt = [t for p in parts for t in p.column(1).to_pylist()]
+    text = b"some words of a text " * 40
+    assert spelt[1:3] == [b"", b""] and set(spelt[4:]) == {text} and spelt[0] == text
+
+
+def test_the_vocabulary_is_sent_without_what_is_made_from_it():
+    pieces = viterbi.load()
+    assert pieces.begins and "begins" not in vars(pickle.loads(pickle.dumps(viterbi.load())))
+
+
 PAGES = {
     "<p>one<p>two": "one\n\ntwo",
     "<ul><li>a<li>b<ol start=9><li>x<li>y</ol></ul>": "- a\n- b\n  9. x\n  10. y",
