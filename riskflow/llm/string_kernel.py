@@ -35,6 +35,7 @@ COVERED, ALIKE = 0.8, 0.7
 ROUND_ROWS = 1_000
 NEGATIVES = 3_000
 ROUNDS, BLAME = 3, 4.0
+_BLOCK = 512
 _CODES = 32
 _SIGNS = re.compile(r"[\W\d_]+")
 
@@ -102,7 +103,11 @@ def _norms(triples: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel of each word with each landmark."""
-    return np.concatenate([_against(words, table) for table in _tables(landmarks)], axis=1)
+    out, at = np.empty((len(words), len(landmarks)), np.float32), 0
+    for table in _tables(landmarks, 128):
+        out[:, at : at + table.shape[1]] = _against(words, table)
+        at += table.shape[1]
+    return out
 
 
 def _tables(landmarks: list[str], columns: int = 256) -> Iterator[np.ndarray]:
@@ -165,21 +170,33 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-z))
 
 
-def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5) -> tuple[np.ndarray, float]:
+def _added(blocks: list[np.ndarray], rows: np.ndarray) -> None:
+    """Append rows to a matrix held in blocks of ``_BLOCK`` rows, of which only the last may have fewer."""
+    if blocks and (room := _BLOCK - len(blocks[-1])) > 0:
+        blocks[-1], rows = np.concatenate([blocks[-1], rows[:room]]), rows[room:]
+    blocks += [rows[k : k + _BLOCK].copy() for k in range(0, len(rows), _BLOCK)]
+
+
+def _machine(x: list[np.ndarray], y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5) -> tuple[np.ndarray, float]:
     """Linear support vector machine with squared hinge loss, by Newton steps over blocks of rows."""
-    n, dim = x.shape
-    ridge = np.diag(np.r_[np.full(dim, penalty), 1e-6])
+    dim = x[0].shape[1]
+    ridge = np.r_[np.full(dim, penalty), 1e-6]  # of the diagonal
     w, share = np.zeros(dim + 1), weight / weight.sum()
-    rows = [slice(k, k + 512) for k in range(0, n, 512)]
-    decide = lambda v: np.concatenate([x[r] @ v[:-1] + v[-1] for r in rows])
-    loss = lambda v: v @ ridge @ v + share @ np.maximum(0, 1 - y * decide(v)) ** 2
+    rows = [slice(k * _BLOCK, k * _BLOCK + len(xb)) for k, xb in enumerate(x)]
+    decide = lambda v: np.concatenate([xb @ v[:-1] + v[-1] for xb in x])
+    loss = lambda v: (v * ridge) @ v + share @ np.maximum(0, 1 - y * decide(v)) ** 2
+    square, product = np.empty((dim + 1, dim + 1)), np.empty((dim + 1, min(_BLOCK, dim + 1)))  # used by all steps
     for _ in range(50):
         on = np.where(y * decide(w) < 1, share, 0.0)
-        square, pull = ridge.copy(), np.zeros(dim + 1)
-        for r in rows:
-            xb = np.c_[x[r], np.ones(len(y[r]))]
+        square.fill(0)
+        np.fill_diagonal(square, ridge)
+        pull = np.zeros(dim + 1)
+        for r, own in zip(rows, x):
+            xb = np.c_[own, np.ones(len(own))]
             a = xb * on[r, None]
-            square += xb.T @ a
+            for k in range(0, dim + 1, _BLOCK):
+                part = a[:, k : k + _BLOCK]
+                square[:, k : k + _BLOCK] += np.matmul(xb.T, part, out=product[:, : part.shape[1]])
             pull += a.T @ y[r]
         best = np.linalg.solve(square, pull)
         step = best - w
@@ -314,7 +331,9 @@ def fit(
     values, vectors = np.linalg.eigh((square + square.T) / 2)
     root = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
     root = root.astype(np.float32)
-    space = kernel(words, names) @ root
+    del square, values, vectors  # the driver holds the space in blocks, and no second copy of anything as large
+    space: list[np.ndarray] = []
+    _added(space, kernel(words, names) @ root)
     place = {unit: k for k, unit in enumerate(words) if y[k] < 0}
     for _ in range(ROUNDS):
         w, bias = _machine(space, y, weight)
@@ -327,7 +346,7 @@ def fit(
         if fresh:
             place.update({unit: len(words) + k for k, unit in enumerate(fresh)})
             words, y = words + fresh, np.r_[y, -np.ones(len(fresh))]
-            space = np.concatenate([space, kernel(fresh, names) @ root])
+            _added(space, kernel(fresh, names) @ root)
             weight = np.r_[weight, np.zeros(len(fresh))]
         for unit, texts in wrong.items():
             weight[place[unit]] += BLAME * texts / n0

@@ -3,6 +3,7 @@
 import math
 import pickle
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from unittest import mock
@@ -180,6 +181,24 @@ def test_units_see_through_signs_and_gaps():
     assert all(len(u) <= sk.WINDOW for u in sk.units("y" * 1000 + " z"))
 
 
+def test_the_machine_holds_no_second_copy_of_its_rows():
+    """The driver's peak, in matrices of the normal equations: 3.9 when rows and ridge were whole."""
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(1100, 1200)).astype(np.float32), np.sign(rng.normal(size=1100))
+    blocks = []
+    for part in (x[:700], x[700:705], x[705:]):
+        sk._added(blocks, part)
+    assert np.array_equal(np.concatenate(blocks), x) and [len(b) for b in blocks] == [512, 512, 76]
+    tracemalloc.start()
+    weights, bias = sk._machine(blocks, y, np.ones(1100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3.5 * 1201**2 * 8
+    slack = np.maximum(0, 1 - y * (x @ weights + bias))
+    pull = np.r_[x.T.astype(float) @ (slack * y), (slack * y).sum()] / 1100
+    assert np.allclose(pull, np.r_[1e-5 * weights, 1e-6 * bias], atol=1e-5)
+
+
 def test_toxicity_of_held_out_rows(llm, odd):
     rng = random.Random(1)
     plain = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(400)]
