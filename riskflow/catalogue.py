@@ -943,7 +943,7 @@ def _load_csv(
     batch = cards.card_events(spark, sf_dir).filter(F.col("source") == "batch")
     if gender is not None:
         batch = batch.withColumn("gender", gender)
-    cards.raw_fields(batch).drop("produced_at").write.option("header", True).csv(path)
+    cards.raw_fields(batch).drop("produced_at").write.csv(path, header=True, compression="gzip")
     store = TableStore(spark, work_dir(spark, "tables"))
     now = F.lit("2002-01-01").cast("timestamp")
     return store, jobs.batch_load(store, path, "load-1", now)

@@ -95,20 +95,22 @@ def batch_load(
 ) -> LoadCounts:
     """Customers, then merchants, then transactions of one CSV.
 
-    The text is parsed once; each load then scans its own columns. Stored rows always win over new
+    The text is parsed once; each load then scans its own columns, and keys are resolved once. Stored rows always win over new
     ones, and earlier rows over later ones. Rows that break a table constraint, and transactions
     whose customer or merchant is not stored, go to the dead letters. Running the same ``load_id`` again leaves the same tables; another id for the same
     file inserts nothing.
     """
     now = F.current_timestamp() if now is None else now
-    landing = work_dir(store.spark, "landing")
+    landing, resolved = work_dir(store.spark, "landing"), work_dir(store.spark, "resolved")
     try:
-        return _load(store, files.land(files.read_csv_events(store.spark, csv_path), landing), load_id, now)
+        events = files.land(files.read_csv_events(store.spark, csv_path), landing)
+        return _load(store, events, load_id, now, resolved)
     finally:
         remove_dir(store.spark, landing)
+        remove_dir(store.spark, resolved)
 
 
-def _load(store: TableStore, events: DataFrame, load_id: str, now: Column) -> LoadCounts:
+def _load(store: TableStore, events: DataFrame, load_id: str, now: Column, resolved: str) -> LoadCounts:
     counts = LoadCounts()
     order = list(files.ORDER_COLUMNS)
 
@@ -127,8 +129,10 @@ def _load(store: TableStore, events: DataFrame, load_id: str, now: Column) -> Lo
 
     scanned = files.scan_transactions(events)
     known = store.read("customers"), store.read("merchants")
+    # Both joins once: the valid rows, their number and the rejected rows are read from what is stored.
+    transaction_rows(resolve_keys(scanned, *known), now).write.parquet(resolved)
     valid, bad_transactions = quality.split_by_violation(
-        transaction_rows(resolve_keys(scanned, *known), now), quality.transaction_violation()
+        store.spark.read.parquet(resolved), quality.transaction_violation()
     )
     counts.transactions_attempted, counts.transactions_inserted = _insert(
         store, "transactions", valid, ["trans_id"], TRANSACTION_ORDER, load_id

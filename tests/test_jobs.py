@@ -7,6 +7,7 @@ import pytest
 from helpers import event
 from pyspark.sql import functions as F
 
+from riskflow import catalogue
 from riskflow.operators import quality
 from riskflow.plans import jobs
 from riskflow.sources.tables import TableStore
@@ -63,6 +64,25 @@ def test_load_keeps_first_rows(spark, store, tmp_path):
     }
 
 
+def test_rows_meet_the_dimensions_once_for_rows_counts_and_rejects(spark, store, tmp_path, monkeypatch):
+    """What is inserted, counted and rejected is read from resolved rows that are stored, and removed at the end."""
+    read, asked, removed = [], jobs.quality.split_by_violation, []
+    monkeypatch.setattr(jobs, "remove_dir", lambda s, path: removed.append(path))
+    monkeypatch.setattr(
+        jobs.quality, "split_by_violation", lambda rows, violation: read.append(rows) or asked(rows, violation)
+    )
+    counts = jobs.batch_load(store, write_csv(tmp_path / "a.csv", [*ROWS, event("t5", is_fraud=7)]), "load-1")
+    assert (counts.transactions_attempted, counts.rows_rejected, counts.transactions_unresolved) == (4, 1, 0)
+    (resolved,) = [p for p in removed if "resolved" in p]
+    assert read[2].inputFiles() and all(resolved in f for f in read[2].inputFiles())
+
+
+def test_the_queries_csv_is_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
+    _, counts = catalogue._load_csv(spark, "/root/testdata/sf0.001")
+    assert counts.transactions_inserted and all(p.name.endswith(".csv.gz") for p in (tmp_path / "csv").glob("part-*"))
+
+
 def test_repeating_a_load_changes_nothing(spark, store, tmp_path):
     path = write_csv(tmp_path / "a.csv", ROWS)
     jobs.batch_load(store, path, "load-1")
