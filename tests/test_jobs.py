@@ -4,7 +4,7 @@ import csv
 import datetime as dt
 
 import pytest
-from helpers import event
+from helpers import SMALL, event
 from pyspark.sql import functions as F
 
 from riskflow import catalogue
@@ -79,7 +79,7 @@ def test_rows_meet_the_dimensions_once_for_rows_counts_and_rejects(spark, store,
 
 def test_the_queries_csv_is_compressed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalogue, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
-    _, counts = catalogue._load_csv(spark, "/root/testdata/sf0.001")
+    _, counts = catalogue._load_csv(spark, SMALL)
     assert counts.transactions_inserted and all(p.name.endswith(".csv.gz") for p in (tmp_path / "csv").glob("part-*"))
 
 
