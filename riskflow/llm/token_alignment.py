@@ -1,6 +1,6 @@
 """Alignment of two tokenizers' tokens by the byte offsets where both end.
 
-Texts are tokenised in slices of a megabyte, and each slice is worked on as Arrow tables. The lists
+Texts are tokenised in slices of a quarter of a megabyte, and each slice is worked on as Arrow tables. The lists
 of ids are flattened with the indices of their documents, running sums of token bytes, started anew at
 each document, give the ends of tokens, and a hash join on (document, end) finds the links and the
 places where both cut. ``Table.group_by`` counts the linked id pairs of a slice; Spark merges these
@@ -28,7 +28,7 @@ from riskflow.llm.common import bucketed, in_slices
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18  # a slice is one row, in the worker and in the JVM
 REMEMBERED = 100_000  # parts of texts of which a worker keeps the ids
 SPACE_MARK = "▁"
 # Before a space behind what is surely no white space; no piece of a model may hold a space behind other text.
@@ -248,10 +248,14 @@ def _flat(column) -> pa.Array:
 
 
 _LISTS = {
-    **{name: pa.int64() for name in ("n_a", "n_b", "n_groups", "n_links")}, "sha": pa.string(),
-    **{name: pa.int32() for name in ("doc", "doc_pair", "doc_n")}, "pair": pa.int64(), "n": pa.int64(),
+    **{name: pa.int64() for name in ("n_a", "n_b", "n_groups", "n_links")}, "sha": pa.string(), "pair": pa.int64(), "n": pa.int64(),
 }
-_SPARK = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string"}
+_PACKED = ("doc", "doc_pair", "doc_n")  # read in Python only: 32-bit numbers in one binary value, a few per token
+_SPARK = {pa.int64(): "long", pa.string(): "string"}
+
+
+def _packed(column) -> pa.Array:
+    return pa.array([_flat(column).to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary())
 
 
 def aligned_slices(
@@ -260,8 +264,8 @@ def aligned_slices(
     """One row per slice of documents, in a table bucketed by slice.
 
     ``rows`` has the other columns of each document, ``n_a`` to ``sha`` its counts and digest; ``pair, n``
-    count the linked pairs of the slice, ``doc, doc_pair, doc_n`` those of each document (places in the
-    slice and among its pairs). A document longer than a slice has one of its own.
+    count the linked pairs of the slice, ``doc, doc_pair, doc_n`` (packed) those of each document (places
+    in the slice and among its pairs). A document longer than a slice has one of its own.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("int").alias("none")]
     source = docs.select(F.struct(*others).alias("row"), F.col(f"`{text}`").alias("body"))
@@ -277,13 +281,14 @@ def aligned_slices(
                 part = batch.slice(start, stop - start)
                 found = _align(part.column(1), tokens)
                 lists = {"rows": pa.concat_arrays([part.column(0)]), **{k: _flat(found[k]).cast(t) for k, t in _LISTS.items()}}
-                yield pa.RecordBatch.from_arrays([pa.array([number]), *_one_row(lists)], ["slice", *lists])
+                packed = [_packed(found[k]) for k in _PACKED]
+                yield pa.RecordBatch.from_arrays([pa.array([number]), *_one_row(lists), *packed], ["slice", *lists, *_PACKED])
                 number += 1
 
     row_type = source.schema["row"].dataType.simpleString()
-    shape = ", ".join(f"{name} array<{_SPARK[kind]}>" for name, kind in _LISTS.items())
+    shape = ", ".join([*(f"{name} array<{_SPARK[kind]}>" for name, kind in _LISTS.items()), *(f"{name} binary" for name in _PACKED)])
     rows = source.mapInArrow(align, f"slice long, rows array<{row_type}>, {shape}")
-    return bucketed(rows, "slice", "aligned")
+    return bucketed(rows, "slice", "aligned", **{"parquet.block.size": 16 << 20})
 
 
 def _pattern(file: str) -> str:
@@ -334,7 +339,7 @@ def _summed(slice_row: dict) -> pa.RecordBatch:
     """The documents of a slice with their sums over pair counts."""
     rows = slice_row["rows"].values
     n_best, count_sum = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-    doc, at_pair, n = (slice_row[name].values for name in ("doc", "doc_pair", "doc_n"))
+    doc, at_pair, n = (pa.array(np.frombuffer(slice_row[name].as_buffer(), np.int32)) for name in _PACKED)
     if len(doc):
         # Every pair of the slice has its answer, and in order of pairs they stand as the pairs do.
         told = pa.table(slice_row["answers"].values.flatten(), names=["pair", "links", "best"]).sort_by("pair")

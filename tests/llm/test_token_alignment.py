@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow.llm import queries
-from riskflow.llm.token_alignment import BYTE_BPE, PIECES, load_byte_bpe, load_pieces, with_alignment
+from riskflow.llm.token_alignment import BYTE_BPE, PIECES, aligned_slices, load_byte_bpe, load_pieces, with_alignment
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -114,3 +114,13 @@ def test_files_whose_split_pattern_is_unknown_are_refused(llm, tmp_path):
     other.write_text('{"pre_tokenizer": {"type": "Whitespace"}, "model": {"type": "BPE", "vocab": {"a": 0}}, "added_tokens": []}')
     with pytest.raises(ValueError):
         with_alignment(llm.createDataFrame([("a",)], "text string"), byte_bpe=str(other))
+
+
+def test_rows_of_slices_stay_small(llm):
+    """A slice is one row, held whole by a worker and by the JVM that sorts it: bounded, whatever the table."""
+    rows = [(k, " ".join(f"w{k}x{n}" for n in range(1500))) for k in range(80)]
+    slices = aligned_slices(llm.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    most = max(sum(len(rows[r.doc_id][1]) for r in s.rows) for s in slices.select("rows").collect())
+    assert sum(len(t) for _, t in rows) > 1 << 19 and most <= 1 << 18
+    lists = [F.length(c) for c in ("doc", "doc_pair", "doc_n")]  # packed: four bytes a number
+    assert all(a == b == c and a % 4 == 0 for a, b, c in slices.select(*lists).collect())
