@@ -153,6 +153,28 @@ def test_training_lowers_the_loss():
     assert loss[1] < 0.3 * loss[0]
 
 
+def test_attention_learns_from_every_block(llm):
+    """Each task holds patterns that no other has, in 2,100 texts; the model knows them all."""
+    texts = [[np.array([1 + 5 * b + (k * (b + 1) + s) % 5 + 1 for k in range(16)]) for s in range(700)] for b in range(3)]
+    rows = [(b, np.concatenate(t).astype(np.uint16).tobytes(), np.arange(16, 16 * 701, 16).tobytes()) for b, t in enumerate(texts)]
+    frame = llm.createDataFrame([(b, bytearray(o), bytearray(e)) for b, o, e in rows], "block long, leads binary, ends binary")
+    place_of = np.r_[lm.OTHER, lm.END, np.arange(3, 18)].astype(np.int16)
+    counts = np.bincount(place_of[np.concatenate([w for t in texts for w in t])], minlength=lm.PLACES)
+    model = lm.learned(frame.repartition(3, "block"), place_of, counts, 600)
+    for t in texts:
+        x, want = lm.windows_of([place_of[w] for w in t])
+        assert -model.score(x, want).mean() < 0.7 * math.log(15)
+
+
+def test_words_are_those_of_bytes(odd):
+    texts = [(r["text"] or "").encode() for r in odd.collect()] + [b"", b" A\x1cb \x0b\x0cB\xff ", b"\t"]
+    names, flat, sizes = lm.words_of(pa.py_buffer(b"".join(texts)), np.array([len(t) for t in texts]))
+    assert len(set(names)) == len(names) and sizes.sum() == len(flat)
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    assert [[names[k] for k in p[:-1]] for p in parts] == [t.lower().split() for t in texts]
+    assert all(p[-1] == len(names) for p in parts)
+
+
 def brute_kernel(a, b):
     def features(w):
         out = Counter()
