@@ -14,13 +14,14 @@ import math
 import re
 import struct
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import in_slices, slices_of
@@ -44,13 +45,31 @@ class Pieces:
     def __post_init__(self):
         self.longest = max(map(len, self.known), default=1)
         self.unknown_score = min((s for _, s in self.known.values()), default=0.0) - 10.0
+
+    def __getstate__(self) -> dict:
+        """What is worked out from the vocabulary is made where it is used, not sent along."""
+        return {k: v for k, v in vars(self).items() if k not in ("begins", "encoder", "broadcast")}
+
     @cached_property
     def begins(self) -> dict[str, tuple]:
-        """Every beginning of a piece; those that are no piece themselves have nothing to give.
+        """Every beginning of a piece; those that are no piece themselves have nothing to give."""
+        return {p[:k]: () for p in self.known for k in range(1, len(p))} | self.known
 
-        Made where it is used: sent along, each query would leave a copy of its own in a kept worker.
+    @cached_property
+    def encoder(self) -> Encoder:
+        """An encoder, kept from task to task for the spans it remembers.
+
+        It lives as long as these pieces. A kept worker holds those that were sent to it while its tasks
+        use them, and lets go of both with the first task that does not. The encoder's own copy makes no cycle.
         """
-        return {p[:k]: () for p in self.known for k in range(1, len(p))} | self.known
+        return Encoder(replace(self))
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """The pieces, sent once: a worker that encodes in one task and decodes in the next keeps them."""
+        context, sent = vars(self).get("broadcast", (None, None))
+        if context is not spark.sparkContext:
+            self.broadcast = spark.sparkContext, (sent := spark.sparkContext.broadcast(self))
+        return sent
 
 
 def load(path: str = MODEL) -> Pieces:
@@ -199,16 +218,6 @@ class Encoder(dict):
         return self.spans.findall(text.replace(" ", SPACE))
 
 
-_ENCODERS: list[Encoder] = []
-
-
-def _encoder(pieces: Pieces) -> Encoder:
-    """The process's encoder, kept from task to task for the spans it remembers."""
-    if not _ENCODERS or _ENCODERS[0].pieces.known != pieces.known:
-        _ENCODERS[:] = [Encoder(pieces)]
-    return _ENCODERS[0]
-
-
 def _class(characters: set[str]) -> str:
     return "".join(map(re.escape, sorted(characters)))
 
@@ -222,10 +231,10 @@ def with_ids(docs: DataFrame, pieces: Pieces, text: str = "text", name: str = "i
     if name.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"there is a column {name} already")
     at = docs.columns.index(text)
-    sent = docs.sparkSession.sparkContext.broadcast(pieces)
+    sent = pieces.sent(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(sent.value)
+        encoder = sent.value.encoder
         for batch in batches:
             for start, stop in in_slices(batch.column(at)):
                 part = batch.slice(start, stop - start)
@@ -242,10 +251,10 @@ def with_ids(docs: DataFrame, pieces: Pieces, text: str = "text", name: str = "i
 def with_decoded(coded: DataFrame, pieces: Pieces, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """All columns and the bytes that the ids stand for; null ids count as none."""
     at = coded.columns.index(ids)
-    sent = coded.sparkSession.sparkContext.broadcast(pieces.texts)
+    sent = pieces.sent(coded.sparkSession)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(sent.value, pa.large_binary())
+        table = pa.array(sent.value.texts, pa.large_binary())
         for batch in batches:
             sizes = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
             # A batch holds thousands of rows, whose ids as text with 64-bit offsets take many times the texts.

@@ -1,6 +1,8 @@
 """Chat tree, language model, toxicity, tokens and pages."""
 
+import gc
 import math
+import os
 import pickle
 import random
 import tracemalloc
@@ -373,6 +375,31 @@ def test_the_vocabulary_is_sent_without_what_is_made_from_it():
     assert pieces.begins and "begins" not in vars(pickle.loads(pickle.dumps(viterbi.load())))
 
 
+def encoders_held(frame, sent=None):
+    """Process and number of the encoders in it, for each batch of a query to which ``sent`` belongs."""
+
+    def count(batches):
+        held = sum(type(x).__name__ == "Encoder" for x in gc.get_objects()) if sent is None or sent.value else 0
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid()]), pa.array([held])], ["process", "held"])
+
+    return frame.mapInArrow(count, "process long, held long").collect()
+
+
+def test_workers_let_go_of_the_spans_with_the_query(llm):
+    """The spans a worker remembered stayed in it for good, beside all that later queries took."""
+    docs = llm.range(64).selectExpr("id as doc_id", "concat('word', id, ' and more') as text").repartition(16)
+    pieces = viterbi.load()
+    coded = viterbi.with_ids(docs, pieces)
+    assert all(bytes(r["decoded"]) == r["text"].encode() for r in viterbi.with_decoded(coded, pieces).collect())
+    during = encoders_held(docs, pieces.sent(llm))  # as a decoding task, which takes turns with encoding ones
+    having = {r["process"] for r in during if r["held"]}
+    assert having  # kept from task to task
+    after = encoders_held(docs)
+    assert having & {r["process"] for r in after}
+    assert sum(r["held"] for r in after) == 0
+
+
 PAGES = {
     "<p>one<p>two": "one\n\ntwo",
     "<ul><li>a<li>b<ol start=9><li>x<li>y</ol></ul>": "- a\n- b\n  9. x\n  10. y",
