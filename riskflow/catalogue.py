@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.functions import amount_band, category_band, distance_band, is_alert, sql
@@ -839,20 +839,7 @@ def replay_order(spark, sf_dir):
     payload = cards.raw_fields(cards.card_events(spark, sf_dir))
     files.write_replay(payload, path, compression="gzip")
     moment = F.get_json_object("value", "$.unix_time").cast("long")
-    lines = spark.read.text(path).select(
-        F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"), moment.alias("at")
-    )
-    within = Window.partitionBy("file", F.col("at") - F.pmod("at", F.lit(86400))).orderBy("line")
-    falls = lines.withColumn("falls", F.lag("at").over(within) > F.col("at"))
-    spans = lines.groupBy("file").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    follow = Window.orderBy("first", "last")  # one row per file
-    overlap = spans.withColumn("overlap", F.lag("last").over(follow) > F.col("first"))
-    measures = (
-        lines.agg(F.count("*").alias("value")).withColumn("measure", F.lit("messages")),
-        falls.agg(F.count_if("falls").alias("value")).withColumn("measure", F.lit("falls")),
-        overlap.agg(F.count_if("overlap").alias("value")).withColumn("measure", F.lit("overlaps")),
-    )
-    return reduce(DataFrame.unionByName, measures).select("measure", "value")
+    return files.replay_measures(spark, path)
 
 
 @query

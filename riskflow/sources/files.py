@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,3 +102,69 @@ def write_replay(payload: DataFrame, path: str, key: str = "unix_time", compress
     ordered.select(row_as_json(*payload.columns).alias("value")).write.mode(
         "overwrite"
     ).text(path, compression=compression)
+
+
+def replay_measures(spark: SparkSession, path: str, key: str = "unix_time") -> DataFrame:
+    """``measure, value`` of replay files: their messages, how often time falls from a line to the next that has a
+    time, anywhere within a file, and how many files begin before one that begins earlier has ended.
+
+    Tasks compare the lines where they lie, in their order; what is shuffled is one row per piece of a file.
+    """
+    names = ["file", "start", "lines", "falls", "opens", "closes", "first", "last"]
+
+    def pieces(batches):
+        """What a task read of each file as one row: times at both ends, the least and the largest."""
+        import numpy as np
+        import pyarrow as pa
+
+        def row(piece: dict) -> pa.RecordBatch:
+            columns = [pa.array([piece[n]], pa.int64() if n != "file" else pa.string()) for n in names]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        piece = None
+        for batch in batches:
+            file, start, at = batch.columns
+            number, begin = file.dictionary_encode().indices.to_numpy(), start.to_numpy()
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (begin[1:] != begin[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                if piece is None or (piece["file"], piece["start"]) != (file[a].as_py(), start[a].as_py()):
+                    if piece is not None:
+                        yield row(piece)
+                    piece = {**dict.fromkeys(names), "file": file[a].as_py(), "start": start[a].as_py(), "lines": 0, "falls": 0}
+                piece["lines"] += b - a
+                own = at.slice(a, b - a).drop_null().to_numpy()
+                if not len(own):
+                    continue
+                piece["falls"] += int((own[1:] < own[:-1]).sum())
+                if piece["opens"] is None:
+                    piece |= {"opens": int(own[0]), "first": int(own.min()), "last": int(own.max())}
+                else:
+                    piece["falls"] += int(own[0] < piece["closes"])
+                    piece |= {"first": min(piece["first"], int(own.min())), "last": max(piece["last"], int(own.max()))}
+                piece["closes"] = int(own[-1])
+        if piece is not None:
+            yield row(piece)
+
+    moment = F.get_json_object("value", f"$.{key}").cast("long")
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("start"), moment.alias("at")
+    )
+    shape = ", ".join(f"{n} {'string' if n == 'file' else 'long'}" for n in names)
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    between = F.last("closes", ignorenulls=True).over(before) > F.col("opens")
+    spans = lines.mapInArrow(pieces, shape).withColumn("between", between.cast("int")).groupBy("file").agg(
+        F.sum("lines").alias("messages"),
+        (F.sum("falls") + F.coalesce(F.sum("between"), F.lit(0))).alias("falls"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+    )
+    earlier = Window.orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    overlap = F.max("last").over(earlier) > F.col("first")
+    counts = spans.withColumn("overlaps", overlap.cast("int")).agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("messages", "falls", "overlaps")]
+    )
+    return counts.selectExpr(
+        "stack(3, 'messages', messages, 'falls', falls, 'overlaps', overlaps) as (measure, value)"
+    )

@@ -447,3 +447,19 @@ def test_large_epoch_is_written_where_it_lies(spark, store, monkeypatch):
     MicroBatchWriter(store, "s")(frame(spark, [event(f"t{i}") for i in range(60)]), 1)
     store.close_epochs("s", 1)
     assert [store.read(n).count() for n in ("stream_staging", "transactions", "dead_letters")] == [120, 60, 1]
+
+
+def test_falls_are_counted_across_days_and_overlaps_with_any_file_before(spark, tmp_path):
+    """Time falls from a later day to an earlier one, over a line without time; one file spans two others."""
+    day = 86400
+    files_of = {"a": [1, 9 * day], "b": [3 * day + 5, 2 * day + 7, None, day], "c": [4 * day, 4 * day], "d": [10 * day]}
+    for name, moments in files_of.items():
+        (tmp_path / f"{name}.txt").write_text("".join(json.dumps({"unix_time": at}) + "\n" for at in moments))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "24")  # a line or two; pieces of a file in several tasks
+    try:
+        found = files.replay_measures(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.measure: r.value for r in found} == {"messages": 9, "falls": 2, "overlaps": 2}
+    whole = files.replay_measures(spark, str(tmp_path)).collect()
+    assert sorted(whole) == sorted(found)
