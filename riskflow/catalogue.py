@@ -16,7 +16,7 @@ from riskflow.operators.keys import orphans, resolve_keys, unresolved_keys
 from riskflow.plans import health, jobs, marts, panels, staging, star
 from riskflow.plans.bucketed import BucketedStar
 from riskflow.plans.incremental import DailyWarehouse
-from riskflow.session import configure, work_dir
+from riskflow.session import configure, land, remove_dir, shuffles_removed, work_dir
 from riskflow.sources import cards, files
 from riskflow.sources.events import ALERT_TOPIC, DEAD_LETTER_TOPIC, ENRICHED_TOPIC, json_topics
 from riskflow.sources.tables import TableStore
@@ -836,9 +836,11 @@ def dlq_pipeline(spark, sf_dir):
 def replay_order(spark, sf_dir):
     """Replay files as they lie: whether time ever falls within a file, and where files overlap."""
     path = work_dir(spark, "replay")
-    payload = cards.raw_fields(cards.card_events(spark, sf_dir))
-    files.write_replay(payload, path, compression="gzip")
-    moment = F.get_json_object("value", "$.unix_time").cast("long")
+    landed = work_dir(spark, "payload")
+    payload = land(cards.raw_fields(cards.card_events(spark, sf_dir)), landed)
+    with shuffles_removed(spark):
+        files.write_replay(payload, path, compression="gzip")
+    remove_dir(spark, landed)
     return files.replay_measures(spark, path)
 
 

@@ -74,11 +74,14 @@ def card_events(
 ) -> DataFrame:
     """Every event, repeated transaction numbers included (unless ``lines`` is unique)."""
     lines = table(spark, sf_dir, "lineitem") if lines is None else lines
-    named = (
-        lines.join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    # Orders are few against lines: their customers are found before the lines are widened by both.
+    placed = (
+        table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
-        .join(
+    )
+    named = (
+        lines.join(
             table(spark, sf_dir, "part").select("p_partkey", "p_type"),
             F.expr("l_partkey = p_partkey"),
         )
@@ -86,6 +89,7 @@ def card_events(
             table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
             F.expr("l_suppkey = s_suppkey"),
         )
+        .join(placed, F.expr("l_orderkey = o_orderkey"))
     )
     batch = F.col("o_orderstatus") != "O"
     home_lat, home_long = _home_lat(), _home_long()

@@ -2,6 +2,8 @@
 
 import csv
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from helpers import SMALL, event
@@ -187,3 +189,22 @@ def test_days_outside_the_calendar_have_no_date_id(spark):
     )
     facts = star.fact_transactions(base, star.SPINE_START, star.SPINE_END)
     assert {r.trans_id: r.date_id for r in facts.collect()} == {"a": None, "b": 20190101}
+
+
+def shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(k).getName() for k in range(found.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_replay_leaves_no_shuffle_and_no_payload_behind(spark):
+    before = shuffle_files(spark)
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    result = catalogue.QUERIES["replay_order"](spark, SMALL)
+    for _ in range(20):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.5)
+    assert left == set() and not list(root.glob("payload-*"))
+    assert {r.measure: r.value for r in result.collect()}["falls"] == 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
