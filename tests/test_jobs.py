@@ -6,13 +6,14 @@ import time
 from pathlib import Path
 
 import pytest
-from helpers import SMALL, event
+from helpers import SMALL, event, frame
 from pyspark.sql import functions as F
 
 from riskflow import catalogue
 from riskflow.operators import quality
 from riskflow.plans import jobs
 from riskflow.sources.tables import TableStore
+from riskflow.streaming.writer import MicroBatchWriter
 
 ROWS = [
     event("t1", unix_time=10, cc_num=1, merchant="m1", amt=10.0),
@@ -191,20 +192,53 @@ def test_days_outside_the_calendar_have_no_date_id(spark):
     assert {r.trans_id: r.date_id for r in facts.collect()} == {"a": None, "b": 20190101}
 
 
-def shuffle_files(spark) -> set[str]:
+def shuffle_files(spark) -> dict[str, int]:
+    """Names and bytes."""
     found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-    names = [found.apply(k).getName() for k in range(found.size())]
-    return {name for name in names if name.startswith("shuffle_")}
+    files = [found.apply(k) for k in range(found.size())]
+    return {f.getName(): f.length() for f in files if f.getName().startswith("shuffle_")}
+
+
+def shuffled_since(spark, before: dict[str, int], most: int = 0) -> int:
+    """Bytes of new shuffle files, once they are ``most`` or after ten seconds."""
+    for _ in range(20):
+        if (left := sum(size for name, size in shuffle_files(spark).items() if name not in before)) <= most:
+            break
+        time.sleep(0.5)
+    return left
 
 
 def test_replay_leaves_no_shuffle_and_no_payload_behind(spark):
     before = shuffle_files(spark)
     root = Path(spark.conf.get("spark.checkpoint.dir"))
     result = catalogue.QUERIES["replay_order"](spark, SMALL)
-    for _ in range(20):
-        if not (left := shuffle_files(spark) - before):
-            break
-        time.sleep(0.5)
-    assert left == set() and not list(root.glob("payload-*"))
+    assert shuffled_since(spark, before) == 0 and not list(root.glob("payload-*"))
     assert {r.measure: r.value for r in result.collect()}["falls"] == 0
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_drained_stream_leaves_no_shuffle_cache_or_spool_behind(spark):
+    before, root = shuffle_files(spark), Path(spark.conf.get("spark.checkpoint.dir"))
+    stores, cached = set(root.glob("tables-*")), len(spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    result = catalogue.QUERIES["dlq_pipeline"](spark, SMALL)
+    # What is left counts the rows that the epoch has stored, by table.
+    assert shuffled_since(spark, before, 10_000) <= 10_000 and len(spark.sparkContext._jsc.sc().getRDDStorageInfo()) == cached
+    (store,) = set(root.glob("tables-*")) - stores
+    assert not list((store / "_writing").glob("*"))
+    assert result.collect()[0].depth > 0
+
+
+def test_spooled_and_cached_epochs_store_the_same(spark, tmp_path):
+    rows = [event("a"), event("a", amt=9.0), event("b", is_fraud=1), event(None), event("c", is_fraud=3), event("d", amt=None)]
+    found = {}
+    for spool in (False, True):
+        store = TableStore(spark, str(tmp_path / f"spool-{spool}"))
+        writer = MicroBatchWriter(store, "s", spool=spool, ingested_at=F.lit("2020-01-01").cast("timestamp"))
+        for epoch, part in enumerate((rows, [event("b"), event("e")], [])):
+            writer(frame(spark, part), epoch)
+        found[spool] = {
+            name: sorted(map(str, store.read(name, with_batch_id=True).drop("_dlq_at", "value").collect()))
+            for name in ("transactions", "fraud_alerts", "stream_staging", "dead_letters")
+        }
+    assert found[True] == found[False]
+    assert len(found[True]["dead_letters"]) == 3 and len(found[True]["transactions"]) == 3
