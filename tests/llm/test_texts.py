@@ -148,6 +148,32 @@ def test_attention_is_causal_and_normalised():
     assert np.allclose(model.score(x, t)[:, :-1], model.score(later, t)[:, :-1], atol=1e-5)
 
 
+@pytest.mark.parametrize("places", [65, 200, 1_000])
+def test_probabilities_of_all_places_add_up(places):
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(3, places, 60).astype(np.int32) for _ in range(20)]
+    model = lm.train(texts, places, steps=20)
+    x, t = lm.windows_of(texts[:1])
+    total = sum(np.exp(model.score(x, np.full_like(t, k))) for k in range(len(model.embed)))
+    assert np.allclose(total, 1, atol=1e-3) and places <= len(model.embed) < places + 40
+
+
+def test_gradients_of_both_levels():
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(3, 90, 70).astype(np.int32) for _ in range(3)]
+    x, t = lm.windows_of(texts)
+    trainer = lm.Trainer(np.bincount(np.concatenate(texts), minlength=90))
+    size = (len(trainer.state) - 1) // 3
+    given = np.concatenate([g.ravel() for g in lm._gradients(trainer.model(), x, t)])
+    for k in [*rng.integers(0, size, 40).tolist(), size - 1, size - 30, size - 200]:
+        ends = []
+        for step in (1e-2, -1e-2):
+            trainer.state[k] += np.float32(step)
+            ends.append(-trainer.model().score(x, t)[t >= 0].astype(np.float64).mean())
+            trainer.state[k] -= np.float32(step)
+        assert abs((ends[0] - ends[1]) / 2e-2 - given[k]) < 2e-3 + 0.05 * abs(given[k])
+
+
 def test_training_lowers_the_loss():
     texts = [np.array([3 + (k + s) % 10 for k in range(80)], np.int16) for s in range(30)]
     x, t = lm.windows_of(texts)
@@ -168,6 +194,17 @@ def test_attention_learns_from_every_block(llm):
         assert -model.score(x, want).mean() < 0.7 * math.log(15)
 
 
+def test_rare_ids_are_known_apart(llm):
+    """180 words, each follows one other: more than the commonest sixty-one have to be told apart."""
+    words = [w[1:].decode() for w, _ in sorted(ranks().items(), key=lambda r: r[1]) if w[:1] == b" " and w[1:].isalpha() and w[1:].islower() and len(w) > 7]
+    words = words[:180]
+    rows = [(k, " ".join(words[(7 * k + j) % 180] for j in range(60))) for k in range(400)]
+    got = lm.scored(llm.createDataFrame(rows, "doc_id long, text string"), ranks(), steps=4_000).collect()
+    held = [r for r in got if r["held_out"]]
+    # With a place for each of the commonest sixty-one ids and one for all others it was -1.25.
+    assert held and sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held) > -0.6
+
+
 def test_words_are_those_of_bytes(odd):
     texts = [(r["text"] or "").encode() for r in odd.collect()] + [b"", b" A\x1cb \x0b\x0cB\xff ", b"\t"]
     names, flat, sizes = lm.words_of(pa.py_buffer(b"".join(texts)), np.array([len(t) for t in texts]))
