@@ -205,6 +205,32 @@ def test_rare_ids_are_known_apart(llm):
     assert held and sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held) > -0.6
 
 
+def test_words_are_spelt_by_all_their_ids(odd):
+    vocabulary = ranks()
+    bytes_of = {k + 2: piece for piece, k in vocabulary.items()}
+    texts = [(r["text"] or "").encode() for r in odd.collect()] + [b"", b"a", b"Unhappiness xqzt!? \xff\xfe", b"z" * 300]
+    names, flat, sizes = lm.words_of(pa.py_buffer(b"".join(texts)), np.array([len(t) for t in texts]))
+    ids, own = lm.Pieces(vocabulary).spelt(names, flat, sizes)
+    for part, text in zip(np.split(ids, np.cumsum(own)[:-1]), texts):
+        assert part[-1] == 1 and b"".join(bytes_of[k] for k in part[:-1]) == b"".join(b" " + w for w in text.lower().split())
+    few = lm.Pieces({b" a": 0, b"b": 1, b"bc": 2})
+    assert np.frombuffer(few.of(b"abcbx"), np.int32).tolist() == [2, 4, 3, 0]
+    assert np.frombuffer(few.of(b"xb"), np.int32).tolist() == [0, 0, 3]
+    none = few.spelt([], np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert [len(n) for n in none] == [0, 0]
+
+
+def test_every_id_of_a_word_counts(llm):
+    """Texts that differ behind the leading piece of a word that no training text has."""
+    held = [k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2][:3]
+    rows = [(k, "the king and the queen went home again") for k in range(100) if k not in held]
+    rows += [(held[0], "the kingqx"), (held[1], "the kingqxqxqxqxqx"), (held[2], "the kingqueen")]
+    got = {r["doc_id"]: r for r in lm.scored(llm.createDataFrame(rows, "doc_id long, text string"), ranks(), steps=200).collect()}
+    scores = [got[k]["score"] for k in held]
+    assert scores[1] < scores[0] - 4 and scores[1] < scores[2] - 4
+    assert len({got[k]["base_score"] for k in held}) == 1
+
+
 def test_words_are_those_of_bytes(odd):
     texts = [(r["text"] or "").encode() for r in odd.collect()] + [b"", b" A\x1cb \x0b\x0cB\xff ", b"\t"]
     names, flat, sizes = lm.words_of(pa.py_buffer(b"".join(texts)), np.array([len(t) for t in texts]))
