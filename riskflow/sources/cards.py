@@ -80,17 +80,14 @@ def card_events(
         .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
     )
-    named = (
-        lines.join(
-            table(spark, sf_dir, "part").select("p_partkey", "p_type"),
-            F.expr("l_partkey = p_partkey"),
-        )
-        .join(
-            table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
-            F.expr("l_suppkey = s_suppkey"),
-        )
-        .join(placed, F.expr("l_orderkey = o_orderkey"))
+    sold = lines.join(
+        table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+        F.expr("l_partkey = p_partkey"),
+    ).join(
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+        F.expr("l_suppkey = s_suppkey"),
     )
+    named = placed.join(sold, F.expr("l_orderkey = o_orderkey"))
     batch = F.col("o_orderstatus") != "O"
     home_lat, home_long = _home_lat(), _home_long()
     trans_at = _hours_after(F.col("o_orderdate"), F.col("l_partkey"))
